@@ -320,7 +320,10 @@ SELECT arquivo FROM (
 )
 EXCEPT
 (VALUES ('PAIS'), ('PAIS_BLOCO') UNION ALL {_years('EXP')} UNION ALL {_years('IMP')})""",
-    "sink_parquet_roundtrip": "SELECT *, 'EXP_' || \"CO_ANO\" AS arquivo FROM raw_exp",
+    "sink_parquet_roundtrip": """
+SELECT * REPLACE (CAST("CO_NCM" AS BIGINT) AS "CO_NCM", CAST("CO_PAIS" AS INTEGER) AS "CO_PAIS",
+                  CAST("CO_URF" AS BIGINT) AS "CO_URF"),
+       'EXP_' || "CO_ANO" AS arquivo FROM raw_exp""",
     "sink_skip_existing": """
 SELECT "CO_ANO", CAST("CO_NCM" AS BIGINT) AS "CO_NCM",
        CASE WHEN "CO_ANO" < '1998' THEN "VL_FOB" ELSE "VL_FOB" * 2 END AS "VL_FOB",

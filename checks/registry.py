@@ -18,9 +18,10 @@ from checks.star_models import (
 from fairlead import sinks
 from fairlead.config import JobConfig, scratch_dir
 from fairlead.functions.codes import share
+from fairlead.functions.formats import percentage, usd_billions, usd_millions
 from fairlead.operators import filters
 from fairlead.operators.ranking import share_and_rank_small
-from fairlead.plans import analytics, ingest, marts, pipeline, quality, staging
+from fairlead.plans import analytics, core, ingest, marts, pipeline, quality, staging
 from fairlead.schemas import EXPORT, IMPORT, RAW_EXPORTS
 from fairlead.sources import landing
 from fairlead.sources.files import SOURCE, read_code_csv, read_parquet_by_name, read_trade_csv
@@ -77,8 +78,8 @@ def scan_union_by_name(m):
     """Two generations of files: numeric codes in another order without CO_VIA, then text."""
     root = scratch_dir(m.spark, "generations")
     rows = m.raw(EXPORT)
-    old = rows.where(F.col("CO_ANO").cast("int") < YEAR).drop("CO_VIA")
-    new = rows.where(F.col("CO_ANO").cast("int") >= YEAR)
+    old = rows.where(F.expr(f"int(CO_ANO) < {YEAR}")).drop("CO_VIA")
+    new = rows.where(F.expr(f"int(CO_ANO) >= {YEAR}"))
     sinks.write_table(old.select(*reversed(old.columns)), f"{root}/old")
     sinks.write_table(
         new.withColumns({c: F.col(c).cast("string") for c in ("CO_NCM", "CO_PAIS", "CO_URF")}),
@@ -106,7 +107,7 @@ def ingest_select(m):
     return (
         m.spark.read.parquet(config.layout.raw(IMPORT))
         .groupBy(SOURCE)
-        .agg(F.count(F.lit(1)).alias("linhas"), F.sum("VL_FOB").alias("vl_fob"))
+        .agg(F.expr("count(1) AS linhas"), F.expr("sum(VL_FOB) AS vl_fob"))
     )
 
 
@@ -119,13 +120,8 @@ def ingest_report(m):
 def ingest_report_rows(m):
     """The part of the conversion report that does not depend on file sizes."""
     report = _converted(m, (EXPORT, IMPORT), code_tables=False)[1]
-    return report.select(
-        SOURCE,
-        "linhas",
-        "colunas",
-        (F.col("bytes_csv") > 0).alias("tem_csv"),
-        (F.col("razao") > 0).alias("tem_razao"),
-        "status",
+    return report.selectExpr(
+        SOURCE, "linhas", "colunas", "bytes_csv > 0 AS tem_csv", "razao > 0 AS tem_razao", "status"
     )
 
 
@@ -156,7 +152,7 @@ def sink_skip_existing(m):
     """Offer every file again with doubled values: files already stored stay as they are."""
     path = f"{scratch_dir(m.spark, 'sink')}/exp"
     rows = m.labelled(EXPORT, "CO_ANO", "CO_NCM", "VL_FOB")
-    early = rows.where(F.col("CO_ANO").cast("int") < YEAR)
+    early = rows.where(F.expr(f"int(CO_ANO) < {YEAR}"))
     sinks.refresh_partitions(sinks.rebalanced(early, SOURCE), path, [SOURCE])
     doubled = rows.withColumn("VL_FOB", F.col("VL_FOB") * 2)
     sinks.add_new_partitions(sinks.rebalanced(doubled, SOURCE), path, SOURCE)
@@ -169,7 +165,7 @@ def sink_refresh_year(m):
     path = f"{scratch_dir(m.spark, 'sink')}/exp"
     rows = m.labelled(EXPORT, "CO_ANO", "CO_NCM", "VL_FOB")
     sinks.refresh_partitions(sinks.rebalanced(rows, SOURCE), path, [SOURCE])
-    revised = rows.where(F.col("CO_ANO").cast("int") == YEAR).withColumn("VL_FOB", F.col("VL_FOB") * 2)
+    revised = rows.where(F.expr(f"int(CO_ANO) = {YEAR}")).withColumn("VL_FOB", F.col("VL_FOB") * 2)
     sinks.refresh_partitions(sinks.rebalanced(revised, SOURCE), path, [SOURCE])
     return m.spark.read.parquet(path)
 
@@ -187,8 +183,8 @@ def sink_csv_roundtrip(m):
 
 @query
 def filter_year_window(m):
-    rows = m.raw(EXPORT, "CO_ANO", "CO_MES", "VL_FOB").withColumn("ano", F.col("CO_ANO").cast("int"))
-    return filters.year_window(rows, *PERIOD).select("ano", "CO_MES", "VL_FOB")
+    rows = m.raw(EXPORT, "CO_ANO", "CO_MES", "VL_FOB")
+    return filters.year_window(rows.selectExpr("int(CO_ANO) AS ano", "CO_MES", "VL_FOB"), *PERIOD)
 
 
 @query
@@ -309,10 +305,9 @@ def scalar_safe_share(m):
     by_mode = (
         m.trade("ano", "direcao", "co_via", "vl_frete_usd")
         .groupBy("ano", "direcao", "co_via")
-        .agg(F.coalesce(F.sum("vl_frete_usd"), F.lit(0.0)).alias("vl_frete_usd"))
+        .agg(F.expr("coalesce(sum(vl_frete_usd), 0D) AS vl_frete_usd"))
     )
-    ranked = share_and_rank_small(by_mode, ["ano", "direcao"], "vl_frete_usd", "peso", "posicao")
-    return ranked.select("ano", "direcao", "co_via", "vl_frete_usd", "peso", "posicao")
+    return share_and_rank_small(by_mode, ["ano", "direcao"], "vl_frete_usd", "peso", "posicao")
 
 
 @query
@@ -323,17 +318,17 @@ def format_kpis(m):
 @query
 def format_missing(m):
     """Export charges are never known: the texts show the mark for a missing number."""
-    from fairlead.functions.formats import percentage, usd_billions, usd_millions
-
-    yearly = m.trade("ano", "direcao", "vl_fob_usd", "vl_frete_usd").groupBy("ano", "direcao").agg(
-        F.sum("vl_fob_usd").alias("fob"), F.sum("vl_frete_usd").alias("frete")
+    yearly = (
+        m.trade("ano", "direcao", "vl_fob_usd", "vl_frete_usd")
+        .groupBy("ano", "direcao")
+        .agg(*marts.sums("vl_fob_usd", "vl_frete_usd"))
     )
-    return yearly.select(
+    return yearly.selectExpr(
         "ano",
         "direcao",
-        usd_billions(F.col("frete")).alias("frete_bi"),
-        usd_millions(F.col("frete")).alias("frete_mi"),
-        percentage(share(F.col("frete"), F.col("fob")), 2).alias("peso_frete"),
+        f"{usd_billions('vl_frete_usd')} AS frete_bi",
+        f"{usd_millions('vl_frete_usd')} AS frete_mi",
+        f"{percentage(share('vl_frete_usd', 'vl_fob_usd'), 2)} AS peso_frete",
     )
 
 
@@ -540,42 +535,63 @@ def partner_import_share_selected(m):
 # -- data quality --------------------------------------------------------------
 
 
-def _tests(m: StarModels, kind: str) -> DataFrame:
-    return quality.report(m.models(), quality.select_checks(kinds=[kind]))
+def _warehouse_tests(m: StarModels, kinds: tuple[str, ...] = ()) -> DataFrame:
+    """Build the warehouse in shared scratch space, running the tests of some kinds.
+
+    The raw tables are stored first, as the converter does: each test of a model then
+    reads a few columns of a table instead of joining the star tables again.
+    """
+    config = JobConfig(
+        landing_root="",
+        warehouse_root=scratch_dir(m.spark, "warehouse"),
+        first_year=FIRST_YEAR,
+        last_year=LAST_YEAR,
+    )
+    m.store_raw(config.layout)
+    raw = pipeline.stored_raw(m.spark, config.layout)
+    return pipeline.build(m.spark, config, raw, quality.select_checks(kinds=kinds))
 
 
 @query
 def dq_not_null(m):
-    return _tests(m, quality.NOT_NULL)
+    return _warehouse_tests(m, (quality.NOT_NULL,))
 
 
 @query
 def dq_unique(m):
-    return _tests(m, quality.UNIQUE)
+    models = m.staged_code_tables()
+    models["core_produtos"] = core.products(models["stg_ncm"])
+    return quality.report(models, quality.select_checks(kinds=[quality.UNIQUE]))
 
 
 @query
 def dq_accepted_values(m):
-    return _tests(m, quality.ACCEPTED)
+    return _warehouse_tests(m, (quality.ACCEPTED,))
 
 
 @query
 def dq_relationships(m):
-    return _tests(m, quality.RELATIONSHIPS)
+    models = m.staged_code_tables() | {
+        "stg_exportacoes": m.staged(EXPORT, "co_ncm", "co_pais", "sg_uf"),
+        "stg_importacoes": m.staged(IMPORT, "co_ncm", "co_pais"),
+        "core_comercio": m.trade("ano", "co_ncm"),
+        "core_produtos": m.products(),
+    }
+    return quality.report(models, quality.select_checks(kinds=[quality.RELATIONSHIPS]))
 
 
 @query
 def dq_grain(m):
-    return _tests(m, quality.COMBINATION)
+    marts_only = {
+        "mart_balanca_comercial": m.balance(),
+        "mart_exportacoes_por_estado": m.exports_by_state(),
+        "mart_importacoes_por_estado": m.imports_by_state(),
+        "mart_top_produtos": m.top_products(),
+        "mart_blocos_economicos": m.blocs(),
+    }
+    return quality.report(marts_only, quality.select_checks(kinds=[quality.COMBINATION]))
 
 
 @query
 def dq_report(m):
-    """Build the whole warehouse in shared scratch space and report every test."""
-    config = JobConfig(
-        landing_root="",
-        warehouse_root=scratch_dir(m.spark, "warehouse"),
-        first_year=FIRST_YEAR,
-        last_year=LAST_YEAR,
-    )
-    return pipeline.build(m.spark, config, m.raw_tables())
+    return _warehouse_tests(m)

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fairlead import sinks
+from fairlead.config import Layout
 from fairlead.plans import core, marts, pipeline, staging
 from fairlead.schemas import CODE_TABLES, EXPORT, IMPORT, RAW_TRADE, TRADE
 from fairlead.sources import star
@@ -42,29 +42,26 @@ COUNTRY_COLUMNS = ("ano", "mes", "data_ref", "direcao", "co_pais", "vl_fob_usd",
 class StarModels:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
-        self.folder = folder
+        self.tables = star.StarTables(spark, folder)
 
     # -- raw and staging -------------------------------------------------------
 
     def raw(self, direction: str, *columns: str) -> DataFrame:
         """All files of a direction; only ``columns`` if any are named."""
-        table = star.raw_trade(self.spark, self.folder, direction, columns or None)
+        table = star.raw_trade(self.tables, direction, columns or None)
         return table.select(*columns) if columns else table
 
     def labelled(self, direction: str, *columns: str) -> DataFrame:
         """Raw rows with the name of the yearly file they are published in."""
-        label = F.concat(F.lit(f"{direction}_"), F.col("CO_ANO")).alias(SOURCE)
-        return self.raw(direction, *columns).select("*", label)
+        return self.raw(direction, *columns).selectExpr("*", f"concat('{direction}_', CO_ANO) AS {SOURCE}")
 
     def code(self, name: str) -> DataFrame:
-        return star.code_table(self.spark, self.folder, name)
+        return star.code_table(self.tables, name)
 
     def staged(self, direction: str, *columns: str) -> DataFrame:
         """Staged rows; raw columns that ``columns`` do not need are not looked up."""
         needed = {raw for c in columns or TRADE.names for raw in _RAW_COLUMNS[c].split()} | {"CO_ANO"}
-        table = star.raw_trade(
-            self.spark, self.folder, direction, needed, (FIRST_YEAR, LAST_YEAR)
-        )
+        table = star.raw_trade(self.tables, direction, needed, (FIRST_YEAR, LAST_YEAR))
         stage = staging.exports if direction == EXPORT else staging.imports
         typed = stage(table, FIRST_YEAR, LAST_YEAR)
         return typed.select(*columns) if columns else typed
@@ -101,28 +98,18 @@ class StarModels:
     def blocs(self) -> DataFrame:
         return marts.economic_blocs(self.trade(*COUNTRY_COLUMNS), self.country_blocs())
 
-    # -- whole-warehouse views -------------------------------------------------
-
-    def raw_tables(self) -> dict[str, DataFrame]:
-        tables = {d: self.raw(d) for d in RAW_TRADE}
-        return tables | {name: self.code(name) for name in CODE_TABLES}
-
-    def models(self) -> dict[str, DataFrame]:
-        """Every model, lazily."""
-        models = pipeline.stage(
-            {d: self.raw(d) for d in RAW_TRADE} | {n: self.code(n) for n in CODE_TABLES},
-            FIRST_YEAR,
-            LAST_YEAR,
-        )
-        return models | {
-            "core_comercio": self.trade(),
-            "core_produtos": self.products(),
-            "mart_balanca_comercial": self.balance(),
-            "mart_exportacoes_por_estado": self.exports_by_state(),
-            "mart_importacoes_por_estado": self.imports_by_state(),
-            "mart_top_produtos": self.top_products(),
-            "mart_blocos_economicos": self.blocs(),
-        }
+    # -- whole warehouse -------------------------------------------------------
+
+    def store_raw(self, layout: Layout) -> None:
+        """Write the raw tables where the converter would."""
+        for direction in RAW_TRADE:
+            rows = sinks.rebalanced(self.labelled(direction), SOURCE)
+            sinks.write_table(rows, layout.raw(direction), [SOURCE])
+        for name in CODE_TABLES:
+            sinks.write_table(self.code(name), layout.code_table(name))
+
+    def staged_code_tables(self) -> dict[str, DataFrame]:
+        return pipeline.stage_code_tables({name: self.code(name) for name in CODE_TABLES})
 
     # -- landing zone ----------------------------------------------------------
 

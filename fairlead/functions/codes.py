@@ -2,38 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from fairlead.schemas import CODE_WIDTHS
 
 
-def text(raw: str, name: str) -> Column:
-    return F.col(raw).cast("string").alias(name)
+def text(raw: str, name: str) -> str:
+    return f"string({raw}) AS {name}"
 
 
-def code(raw: str, name: str) -> Column:
+def code(raw: str, name: str) -> str:
     """Fixed-width code from a string or numeric column; padding twice changes nothing."""
-    return F.lpad(F.col(raw).cast("string"), CODE_WIDTHS[name], "0").alias(name)
+    return f"lpad(string({raw}), {CODE_WIDTHS[name]}, '0') AS {name}"
+
+
+def whole(raw: str, name: str) -> str:
+    return f"bigint({raw}) AS {name}"
 
 
-def month_start(year: str, month: str) -> Column:
-    return F.make_date(F.col(year).cast("int"), F.col(month).cast("int"), F.lit(1))
+def money(raw: str, name: str) -> str:
+    return f"double({raw}) AS {name}"
 
 
-def money(raw: str) -> Column:
-    return F.col(raw).cast("double")
+def month_start(year: str, month: str, name: str) -> str:
+    return f"make_date(int({year}), int({month}), 1) AS {name}"
 
 
-def cif(fob: str, freight: str, insurance: str) -> Column:
-    """FOB plus freight and insurance, where a missing charge costs nothing.
+def cif(fob: str, charges: tuple[str, ...], name: str) -> str:
+    """FOB plus the charges, where a missing charge costs nothing.
 
     A missing FOB is not filled in: its CIF is NULL.
     """
-    charges = [F.coalesce(money(name), F.lit(0.0)) for name in (freight, insurance)]
-    return money(fob) + charges[0] + charges[1]
+    terms = [f"double({fob})"] + [f"ifnull(double({charge}), 0D)" for charge in charges]
+    return f"{' + '.join(terms)} AS {name}"
 
 
-def share(part: Column, whole: Column) -> Column:
+def share(part: str, whole_sum: str) -> str:
     """``part / whole``, NULL when the whole is zero."""
-    return part / F.nullif(whole, F.lit(0.0))
+    return f"({part}) / nullif({whole_sum}, 0D)"

@@ -1,36 +1,33 @@
-"""Brazilian-Portuguese number texts as Column expressions."""
+"""Brazilian-Portuguese number texts as SQL expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Text shown in place of a missing number (fixed value).
 MISSING = "—"
 
 
-def _or_missing(text: Column) -> Column:
-    return F.coalesce(text, F.lit(MISSING))
+def usd_billions(value: str) -> str:
+    return _or_missing(f"concat({_grouped(f'({value}) / 1e9D', 2)}, ' bi US$')")
 
 
-def _grouped(number: Column, decimals: int) -> Column:
-    """``1234.5`` as ``1.234,50``."""
-    return F.translate(F.format_number(number, decimals), ",.", ".,")
+def usd_millions(value: str) -> str:
+    return _or_missing(f"concat({_grouped(f'({value}) / 1e6D', 2)}, ' mi US$')")
 
 
-def usd_billions(value: Column) -> Column:
-    return _or_missing(F.concat(_grouped(value / F.lit(1e9), 2), F.lit(" bi US$")))
+def percentage(fraction: str, decimals: int = 1) -> str:
+    """A fraction as ``12,3%``; without a thousands mark."""
+    number = f"format_number(({fraction}) * 100D, {int(decimals)})"
+    return _or_missing(f"concat(translate({number}, '.,', ','), '%')")
 
 
-def usd_millions(value: Column) -> Column:
-    return _or_missing(F.concat(_grouped(value / F.lit(1e6), 2), F.lit(" mi US$")))
+def whole_number(value: str) -> str:
+    return f"translate(format_number({value}, 0), ',', '.')"
 
 
-def percentage(fraction: Column, decimals: int = 1) -> Column:
-    """A fraction as ``12,3%``; without a thousands mark."""
-    plain = F.translate(F.format_number(fraction * F.lit(100.0), decimals), ".,", ",")
-    return _or_missing(F.concat(plain, F.lit("%")))
+def _grouped(number: str, decimals: int) -> str:
+    """``1234.5`` as ``1.234,50``."""
+    return f"translate(format_number({number}, {decimals}), ',.', '.,')"
 
 
-def whole_number(value: Column) -> Column:
-    return F.translate(F.format_number(value, 0), ",", ".")
+def _or_missing(text: str) -> str:
+    return f"coalesce({text}, '{MISSING}')"

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairlead.functions.codes import share
@@ -22,11 +20,11 @@ def share_and_rank_small(
 
     Total and rank use the same partitioning, so one shuffle serves both.
     """
-    group = Window.partitionBy(*keys)
-    return df.select(
+    group = f"PARTITION BY {', '.join(keys)}"
+    return df.selectExpr(
         "*",
-        share(F.col(value), F.sum(value).over(group)).alias(share_as),
-        F.rank().over(group.orderBy(F.col(value).desc_nulls_last())).cast("long").alias(rank_as),
+        f"{share(value, f'sum({value}) OVER ({group})')} AS {share_as}",
+        f"bigint(rank() OVER ({group} ORDER BY {value} DESC NULLS LAST)) AS {rank_as}",
     )
 
 
@@ -56,55 +54,42 @@ def share_and_rank_large(
     (ReusedExchange). ``payload`` names the other measure of ``df``: the counts include
     it only so that they need the columns the join back needs.
     """
-    keys = list(keys)
+    group = ", ".join(keys)
     levels = (
-        df.groupBy(*keys, F.col(value).alias("_value"))
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.count(payload).alias("_payload_rows"),
-        )
+        df.groupBy(*keys, F.expr(f"{value} AS _value"))
+        .agg(F.expr("count(1) AS _rows"), F.expr(f"count({payload}) AS _payload_rows"))
         # Always true; keeps the payload column alive in this branch (see above).
-        .where(F.col("_payload_rows") <= F.col("_rows"))
-        .withColumn("_band", _band(F.col("_value")))
-    )
-
-    group = Window.partitionBy(*keys)
-    higher_bands = group.orderBy(F.col("_band").desc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, -1
+        .where("_payload_rows <= _rows")
+        # Monotone in the value; NULL for NULL.
+        .selectExpr(
+            "*", f"int(signum(_value) * floor(log1p(abs(_value)) * {BANDS_PER_LOG_UNIT})) AS _band"
+        )
     )
     bands = (
         levels.groupBy(*keys, "_band")
-        .agg(F.sum("_rows").alias("_band_rows"), F.sum(F.col("_value") * F.col("_rows")).alias("_band_total"))
-        .select(
-            *[F.col(k).alias(f"_b_{k}") for k in keys],
-            F.col("_band").alias("_b_band"),
-            F.coalesce(F.sum("_band_rows").over(higher_bands), F.lit(0)).alias("_ahead"),
-            F.sum("_band_total").over(group).alias("_total"),
+        .agg(F.expr("sum(_rows) AS _band_rows"), F.expr("sum(_value * _rows) AS _band_total"))
+        .selectExpr(
+            *[f"{key} AS _b_{key}" for key in keys],
+            "_band AS _b_band",
+            f"coalesce(sum(_band_rows) OVER (PARTITION BY {group} ORDER BY _band DESC NULLS LAST "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _ahead",
+            f"sum(_band_total) OVER (PARTITION BY {group}) AS _total",
         )
     )
-
-    higher_in_band = (
-        Window.partitionBy(*keys, "_band")
-        .orderBy(F.col("_value").desc_nulls_last())
-        .rowsBetween(Window.unboundedPreceding, -1)
+    rows_ahead_in_band = (
+        f"sum(_rows) OVER (PARTITION BY {group}, _band ORDER BY _value DESC NULLS LAST "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     )
-    in_band = _equal({k: f"_b_{k}" for k in keys}) & F.col("_band").eqNullSafe(F.col("_b_band"))
-    placed = levels.join(bands, in_band, "inner").select(
-        *[F.col(k).alias(f"_v_{k}") for k in keys],
+    placed = levels.join(bands, _equal(keys, "_b_", "_band <=> _b_band"), "inner").selectExpr(
+        *[f"{key} AS _v_{key}" for key in keys],
         "_value",
-        share(F.col("_value"), F.col("_total")).alias(share_as),
-        (
-            F.lit(1) + F.col("_ahead") + F.coalesce(F.sum("_rows").over(higher_in_band), F.lit(0))
-        ).alias(rank_as),
+        f"{share('_value', '_total')} AS {share_as}",
+        f"1 + _ahead + coalesce({rows_ahead_in_band}, 0) AS {rank_as}",
+    )
+    return df.join(placed, _equal(keys, "_v_", f"{value} <=> _value"), "left").select(
+        *df.columns, share_as, rank_as
     )
-    same_value = _equal({k: f"_v_{k}" for k in keys}) & F.col(value).eqNullSafe(F.col("_value"))
-    return df.join(placed, same_value, "left").select(*df.columns, share_as, rank_as)
-
-
-def _band(value: Column) -> Column:
-    """Monotone in ``value``; NULL for NULL."""
-    return (F.signum(value) * F.floor(F.log1p(F.abs(value)) * BANDS_PER_LOG_UNIT)).cast("int")
 
 
-def _equal(pairs: dict[str, str]) -> Column:
-    return reduce(and_, (F.col(left) == F.col(right) for left, right in pairs.items()))
+def _equal(keys: Sequence[str], prefix: str, last: str):
+    return F.expr(" AND ".join([f"{key} = {prefix}{key}" for key in keys] + [last]))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairlead.functions.codes import share
@@ -18,20 +18,23 @@ from fairlead.schemas import IMPORT
 
 Names = Sequence[str] | None
 
+# Total of a year over rows already summed per year and bloc or country.
+_YEAR_TOTAL = "sum(vl_fob_usd) OVER (PARTITION BY ano)"
 
-def _up(name: str) -> Column:
-    return F.col(name).asc_nulls_last()
 
+_up = F.asc_nulls_last
+_down = F.desc_nulls_last
 
-def _down(name: str) -> Column:
-    return F.col(name).desc_nulls_last()
+
+def _exprs(*texts: str) -> list[Column]:
+    return [F.expr(text) for text in texts]
 
 
 # -- catalogue -----------------------------------------------------------------
 
 
 def list_states(balance: DataFrame) -> DataFrame:
-    return balance.where(F.col("sg_uf").isNotNull()).select("sg_uf").distinct().orderBy(_up("sg_uf"))
+    return balance.where("sg_uf IS NOT NULL").select("sg_uf").distinct().orderBy(_up("sg_uf"))
 
 
 def list_blocs(blocs: DataFrame) -> DataFrame:
@@ -39,12 +42,12 @@ def list_blocs(blocs: DataFrame) -> DataFrame:
 
 
 def year_range(balance: DataFrame) -> DataFrame:
-    return balance.agg(F.min("ano").alias("ano_min"), F.max("ano").alias("ano_max"))
+    return balance.agg(*_exprs("min(ano) AS ano_min", "max(ano) AS ano_max"))
 
 
 def warehouse_status(trade: DataFrame) -> DataFrame:
     return trade.agg(
-        F.count(F.lit(1)).alias("linhas_core"), F.min("ano").alias("ano_min"), F.max("ano").alias("ano_max")
+        *_exprs("count(1) AS linhas_core", "min(ano) AS ano_min", "max(ano) AS ano_max")
     )
 
 
@@ -55,13 +58,12 @@ def _period(balance: DataFrame, states: Names, first_year: int, last_year: int)
     return filters.any_of(filters.year_window(balance, first_year, last_year), "sg_uf", states)
 
 
-def _balance_sums(*with_flow: str) -> list[Column]:
-    sums = [
-        F.sum("vl_exp_fob_usd").alias("exp_usd"),
-        F.sum("vl_imp_fob_usd").alias("imp_usd"),
-        F.sum("saldo_fob_usd").alias("saldo_usd"),
-    ]
-    return sums + [F.sum(name).alias("corrente_usd") for name in with_flow]
+_SIDES = (
+    "sum(vl_exp_fob_usd) AS exp_usd",
+    "sum(vl_imp_fob_usd) AS imp_usd",
+    "sum(saldo_fob_usd) AS saldo_usd",
+)
+_FLOW = "sum(corrente_comercio_usd) AS corrente_usd"
 
 
 def balance_kpis(balance: DataFrame, states: Names, first_year: int, last_year: int) -> DataFrame:
@@ -69,13 +71,15 @@ def balance_kpis(balance: DataFrame, states: Names, first_year: int, last_year:
     by_state = (
         _period(balance, states, first_year, last_year)
         .groupBy("sg_uf")
-        .agg(F.sum("saldo_fob_usd").alias("saldo"), F.sum("corrente_comercio_usd").alias("corrente"))
+        .agg(*_exprs("sum(saldo_fob_usd) AS saldo", "sum(corrente_comercio_usd) AS corrente"))
     )
     return by_state.agg(
-        F.sum("saldo").alias("saldo_total"),
-        F.sum("corrente").alias("corrente_total"),
-        F.count_if(F.col("saldo") > 0).alias("ufs_positivas"),
-        F.count(F.lit(1)).alias("ufs_total"),
+        *_exprs(
+            "sum(saldo) AS saldo_total",
+            "sum(corrente) AS corrente_total",
+            "count_if(saldo > 0) AS ufs_positivas",
+            "count(1) AS ufs_total",
+        )
     )
 
 
@@ -85,7 +89,7 @@ def balance_monthly_series(
     return (
         _period(balance, states, first_year, last_year)
         .groupBy("data_ref")
-        .agg(*_balance_sums("corrente_comercio_usd"))
+        .agg(*_exprs(*_SIDES, _FLOW))
         .orderBy(_up("data_ref"))
     )
 
@@ -97,7 +101,7 @@ def balance_top_states(
     return (
         _period(balance, states, first_year, last_year)
         .groupBy("sg_uf")
-        .agg(*_balance_sums())
+        .agg(*_exprs(*_SIDES))
         .orderBy(_down("saldo_usd"), _up("sg_uf"))
         .limit(top_n)
     )
@@ -107,21 +111,20 @@ def balance_detail(balance: DataFrame, states: Names, first_year: int, last_year
     return (
         _period(balance, states, first_year, last_year)
         .groupBy("ano", "sg_uf")
-        .agg(*_balance_sums("corrente_comercio_usd"))
+        .agg(*_exprs(*_SIDES, _FLOW))
         .orderBy(_up("ano"), _down("saldo_usd"))
     )
 
 
 def balance_by_year(balance: DataFrame) -> DataFrame:
-    def billions(name: str, alias: str) -> Column:
-        return (F.sum(name) / F.lit(1e9)).alias(alias)
-
     return (
         balance.groupBy("ano")
         .agg(
-            billions("vl_exp_fob_usd", "exp_bi"),
-            billions("vl_imp_fob_usd", "imp_bi"),
-            billions("saldo_fob_usd", "saldo_bi"),
+            *_exprs(
+                "sum(vl_exp_fob_usd) / 1e9D AS exp_bi",
+                "sum(vl_imp_fob_usd) / 1e9D AS imp_bi",
+                "sum(saldo_fob_usd) / 1e9D AS saldo_bi",
+            )
         )
         .orderBy(_up("ano"))
     )
@@ -131,7 +134,7 @@ def top_export_states(exports_by_state: DataFrame, year: int, top_n: int = 5) ->
     return (
         filters.year_window(exports_by_state, year, year)
         .groupBy("sg_uf")
-        .agg((F.sum("vl_fob_usd") / F.lit(1e9)).alias("exp_bilhoes_usd"))
+        .agg(F.expr("sum(vl_fob_usd) / 1e9D AS exp_bilhoes_usd"))
         .orderBy(_down("exp_bilhoes_usd"), _up("sg_uf"))
         .limit(top_n)
     )
@@ -142,14 +145,14 @@ def formatted_kpis(balance: DataFrame, states: Names, first_year: int, last_year
     yearly = (
         _period(balance, states, first_year, last_year)
         .groupBy("ano")
-        .agg(*_balance_sums("corrente_comercio_usd"), F.count(F.lit(1)).alias("linhas"))
+        .agg(*_exprs(*_SIDES, _FLOW, "count(1) AS linhas"))
     )
-    return yearly.select(
+    return yearly.selectExpr(
         "ano",
-        usd_billions(F.col("corrente_usd")).alias("corrente"),
-        usd_millions(F.col("saldo_usd")).alias("saldo"),
-        percentage(share(F.col("exp_usd"), F.col("corrente_usd"))).alias("peso_exp"),
-        whole_number(F.col("linhas")).alias("linhas"),
+        f"{usd_billions('corrente_usd')} AS corrente",
+        f"{usd_millions('saldo_usd')} AS saldo",
+        f"{percentage(share('exp_usd', 'corrente_usd'))} AS peso_exp",
+        f"{whole_number('linhas')} AS linhas",
     ).orderBy(_up("ano"))
 
 
@@ -184,8 +187,8 @@ def top_chapters(products: DataFrame, direction: str, year: int) -> DataFrame:
     return (
         _product_year(products, direction, year)
         .groupBy("co_sh2", "no_sh2_pt")
-        .agg(F.sum("vl_fob_usd").alias("vl_fob_usd"))
-        .where(F.col("vl_fob_usd") > 0)
+        .agg(F.expr("sum(vl_fob_usd) AS vl_fob_usd"))
+        .where("vl_fob_usd > 0")
         .orderBy(_down("vl_fob_usd"))
     )
 
@@ -197,29 +200,29 @@ def _bloc_rows(blocs: DataFrame, codes: Names, direction: str) -> DataFrame:
     return filters.any_of(filters.direction(blocs, direction), "co_bloco", codes)
 
 
+def _bloc_years(blocs: DataFrame, codes: Names, direction: str) -> DataFrame:
+    rows = _bloc_rows(blocs, codes, direction)
+    return rows.groupBy("ano", "no_bloco").agg(F.expr("sum(vl_fob_usd) AS vl_fob_usd"))
+
+
 def bloc_annual_series(blocs: DataFrame, codes: Names, direction: str) -> DataFrame:
     """By bloc name: codes that share a name are merged."""
-    return (
-        _bloc_rows(blocs, codes, direction)
-        .groupBy("ano", "no_bloco")
-        .agg(F.sum("vl_fob_usd").alias("vl_fob_usd"))
-        .orderBy(_up("ano"), _up("no_bloco"))
-    )
+    return _bloc_years(blocs, codes, direction).orderBy(_up("ano"), _up("no_bloco"))
 
 
 def bloc_annual_share(blocs: DataFrame, direction: str) -> DataFrame:
     """Weight of each bloc in the year's total over all blocs, overlaps included."""
-    whole = F.sum("vl_fob_usd").over(Window.partitionBy("ano"))
-    return bloc_annual_series(blocs, None, direction).select(
-        "*", share(F.col("vl_fob_usd"), whole).alias("share_ano")
-    ).orderBy(_up("ano"), _up("no_bloco"))
+    by_name = _bloc_years(blocs, None, direction)
+    return by_name.selectExpr("*", f"{share('vl_fob_usd', _YEAR_TOTAL)} AS share_ano").orderBy(
+        _up("ano"), _up("no_bloco")
+    )
 
 
 def bloc_detail(blocs: DataFrame, codes: Names, direction: str) -> DataFrame:
     return (
         _bloc_rows(blocs, codes, direction)
         .groupBy("ano", "mes", "no_bloco", "direcao")
-        .agg(F.sum("vl_fob_usd").alias("vl_fob_usd"), F.sum("kg_liquido").alias("kg_liquido"))
+        .agg(*_exprs("sum(vl_fob_usd) AS vl_fob_usd", "sum(kg_liquido) AS kg_liquido"))
         .orderBy(_up("ano"), _up("mes"), _down("vl_fob_usd"))
     )
 
@@ -235,10 +238,9 @@ def partner_import_share(trade: DataFrame, countries: DataFrame, partners: Names
     by_country = (
         filters.direction(trade, IMPORT)
         .groupBy("ano", "co_pais")
-        .agg(F.sum("vl_fob_usd").alias("vl_fob_usd"))
+        .agg(F.expr("sum(vl_fob_usd) AS vl_fob_usd"))
     )
-    whole = F.sum("vl_fob_usd").over(Window.partitionBy("ano"))
-    shares = by_country.select("*", share(F.col("vl_fob_usd"), whole).alias("share_importacoes"))
+    shares = by_country.selectExpr("*", f"{share('vl_fob_usd', _YEAR_TOTAL)} AS share_importacoes")
     return (
         filters.any_of(shares, "co_pais", partners)
         .join(countries.select("co_pais", "no_pais"), "co_pais", "left")

@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from fairlead.schemas import EXPORT, IMPORT, TRADE, conform
 
 
 def trade(exports: DataFrame, imports: DataFrame) -> DataFrame:
     """Both directions in one bag: duplicates stay, exports have NULL charges."""
-    outgoing = conform(exports.withColumn("direcao", F.lit(EXPORT)), TRADE)
-    incoming = conform(imports.withColumn("direcao", F.lit(IMPORT)), TRADE)
+    outgoing = conform(exports.selectExpr("*", f"'{EXPORT}' AS direcao"), TRADE)
+    incoming = conform(imports.selectExpr("*", f"'{IMPORT}' AS direcao"), TRADE)
     return outgoing.unionByName(incoming)
 
 

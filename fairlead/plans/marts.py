@@ -7,7 +7,7 @@ state, product or country cheap to shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairlead.operators import filters
@@ -17,19 +17,23 @@ from fairlead.schemas import EXPORT, IMPORT
 MONTH = ("ano", "mes", "data_ref")
 
 
+def sums(*measures: str) -> list[Column]:
+    return [F.expr(f"sum({measure}) AS {measure}") for measure in measures]
+
+
 def trade_balance(trade: DataFrame) -> DataFrame:
     """Exports, imports, balance and flow (FOB) per month and state."""
 
-    def one_side(direction: str):
-        return F.sum(F.when(F.col("direcao") == direction, F.col("vl_fob_usd")).otherwise(0.0))
-
     sides = trade.groupBy(*MONTH, "sg_uf").agg(
-        one_side(EXPORT).alias("vl_exp_fob_usd"), one_side(IMPORT).alias("vl_imp_fob_usd")
+        *[
+            F.expr(f"sum(if(direcao = '{direction}', vl_fob_usd, 0D)) AS {name}")
+            for direction, name in ((EXPORT, "vl_exp_fob_usd"), (IMPORT, "vl_imp_fob_usd"))
+        ]
     )
-    return sides.select(
+    return sides.selectExpr(
         "*",
-        (F.col("vl_exp_fob_usd") - F.col("vl_imp_fob_usd")).alias("saldo_fob_usd"),
-        (F.col("vl_exp_fob_usd") + F.col("vl_imp_fob_usd")).alias("corrente_comercio_usd"),
+        "vl_exp_fob_usd - vl_imp_fob_usd AS saldo_fob_usd",
+        "vl_exp_fob_usd + vl_imp_fob_usd AS corrente_comercio_usd",
     )
 
 
@@ -37,7 +41,7 @@ def state_month_totals(trade: DataFrame, direction: str, *measures: str) -> Data
     return (
         filters.direction(trade, direction)
         .groupBy(*MONTH, "sg_uf")
-        .agg(*[F.sum(m).alias(m) for m in measures])
+        .agg(*sums(*measures))
     )
 
 
@@ -54,9 +58,7 @@ def _ranked_states(totals: DataFrame) -> DataFrame:
 
 
 def product_totals(trade: DataFrame) -> DataFrame:
-    return trade.groupBy("ano", "direcao", "co_ncm").agg(
-        F.sum("vl_fob_usd").alias("vl_fob_usd"), F.sum("kg_liquido").alias("kg_liquido")
-    )
+    return trade.groupBy("ano", "direcao", "co_ncm").agg(*sums("vl_fob_usd", "kg_liquido"))
 
 
 def with_product_names(totals: DataFrame, products: DataFrame) -> DataFrame:
@@ -95,9 +97,7 @@ def top_products(trade: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def country_month_totals(trade: DataFrame) -> DataFrame:
-    return trade.groupBy(*MONTH, "direcao", "co_pais").agg(
-        F.sum("vl_fob_usd").alias("vl_fob_usd"), F.sum("kg_liquido").alias("kg_liquido")
-    )
+    return trade.groupBy(*MONTH, "direcao", "co_pais").agg(*sums("vl_fob_usd", "kg_liquido"))
 
 
 def fan_out_blocs(totals: DataFrame, blocs: DataFrame) -> DataFrame:
@@ -114,5 +114,5 @@ def economic_blocs(trade: DataFrame, blocs: DataFrame) -> DataFrame:
     return (
         fan_out_blocs(country_month_totals(trade), blocs)
         .groupBy(*MONTH, "direcao", "co_bloco", "no_bloco")
-        .agg(F.sum("vl_fob_usd").alias("vl_fob_usd"), F.sum("kg_liquido").alias("kg_liquido"))
+        .agg(*sums("vl_fob_usd", "kg_liquido"))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -46,6 +46,11 @@ def stage(raw: Mapping[str, DataFrame], first_year: int, last_year: int) -> dict
     return {
         "stg_exportacoes": staging.exports(raw[EXPORT], first_year, last_year),
         "stg_importacoes": staging.imports(raw[IMPORT], first_year, last_year),
+    } | stage_code_tables(raw)
+
+
+def stage_code_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    return {
         "stg_ncm": staging.products(raw["NCM"], raw["NCM_SH"]),
         "stg_paises": staging.countries(raw["PAIS"]),
         "stg_uf": staging.states(raw["UF"]),
@@ -55,7 +60,12 @@ def stage(raw: Mapping[str, DataFrame], first_year: int, last_year: int) -> dict
     }
 
 
-def build(spark: SparkSession, config: JobConfig, raw: Mapping[str, DataFrame]) -> DataFrame:
+def build(
+    spark: SparkSession,
+    config: JobConfig,
+    raw: Mapping[str, DataFrame],
+    checks: Iterable[quality.Check] = quality.CHECKS + quality.GRAIN_CHECKS,
+) -> DataFrame:
     """Build core and marts from raw tables, testing each layer before the next one.
 
     Core is written once, partitioned by direction and year; every mart then reads the
@@ -63,13 +73,14 @@ def build(spark: SparkSession, config: JobConfig, raw: Mapping[str, DataFrame])
     """
     layout = config.layout
     models = stage(raw, config.first_year, config.last_year)
-    reports = [_tested(spark, config, models, quality.STAGING)]
+    checks = list(checks)
+    reports = [_tested(spark, config, models, checks, quality.STAGING)]
 
     fact = core.trade(models["stg_exportacoes"], models["stg_importacoes"])
     sinks.write_table(fact, layout.core("core_comercio"), ["direcao", "ano"])
     sinks.write_table(core.products(models["stg_ncm"]), layout.core("core_produtos"))
     models |= stored_core(spark, layout)
-    reports.append(_tested(spark, config, models, quality.CORE))
+    reports.append(_tested(spark, config, models, checks, quality.CORE))
 
     trade, products = models["core_comercio"], models["core_produtos"]
     plans: dict[str, Callable[[], DataFrame]] = {
@@ -87,8 +98,8 @@ def build(spark: SparkSession, config: JobConfig, raw: Mapping[str, DataFrame])
         # list() re-raises the first failure.
         list(pool.map(inheritable_thread_target(spark)(write), plans))
     models |= stored_marts(spark, layout)
-    reports.append(_tested(spark, config, models, quality.MARTS))
-    return reduce(DataFrame.unionByName, reports)
+    reports.append(_tested(spark, config, models, checks, quality.MARTS))
+    return reduce(DataFrame.unionByName, [r for r in reports if r is not None])
 
 
 def stored_core(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
@@ -104,11 +115,18 @@ def stored_marts(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 
 
 def _tested(
-    spark: SparkSession, config: JobConfig, models: Mapping[str, DataFrame], layer: str
-) -> DataFrame:
+    spark: SparkSession,
+    config: JobConfig,
+    models: Mapping[str, DataFrame],
+    checks: Iterable[quality.Check],
+    layer: str,
+) -> DataFrame | None:
     """Run a layer's tests once, keep their report as a table, stop the build on errors."""
+    mine = [c for c in checks if c.layer == layer]
+    if not mine:
+        return None
     path = config.layout.report(layer)
-    sinks.write_table(quality.report(models, quality.select_checks([layer])).coalesce(1), path)
+    sinks.write_table(quality.report(models, mine).coalesce(1), path)
     results = spark.read.parquet(path)
     if config.fail_fast:
         quality.enforce(results)

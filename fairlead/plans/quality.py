@@ -126,10 +126,9 @@ def report(models: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFram
                 parts.append(_labelled(_repeated_keys(models[model], check), check))
             elif check.kind == RELATIONSHIPS:
                 parts.append(_labelled(_orphans(models[model], models[check.parent], check), check))
-    failed = F.col("failures") > 0
-    return reduce(DataFrame.unionByName, parts).withColumn(
-        "status",
-        F.when(~failed, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail"),
+    return reduce(DataFrame.unionByName, parts).selectExpr(
+        "*",
+        "CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status",
     )
 
 
@@ -137,52 +136,49 @@ def enforce(results: DataFrame) -> None:
     """Raise when an error-severity check failed; the report has one row per check."""
     failed = [
         f"{r['model']}.{r['columns']} {r['test']}: {r['failures']}"
-        for r in results.where(F.col("status") == "fail").collect()
+        for r in results.where("status = 'fail'").collect()
     ]
     if failed:
         raise QualityError("; ".join(sorted(failed)))
 
 
 def _row_level(df: DataFrame, checks: list[Check]) -> DataFrame:
-    counters = [_counter(c).alias(str(i)) for i, c in enumerate(checks)]
-    rows = F.array(
-        *[
-            F.struct(*_labels(c), F.col(str(i)).alias("failures"))
-            for i, c in enumerate(checks)
-        ]
-    )
-    return df.agg(*counters).select(F.inline(rows))
+    counted = df.agg(*[F.expr(f"{_counter(c)} AS n{i}") for i, c in enumerate(checks)])
+    rows = ", ".join(f"struct({_labels(c)}, n{i} AS failures)" for i, c in enumerate(checks))
+    return counted.selectExpr(f"inline(array({rows}))")
 
 
-def _counter(check: Check):
-    column = F.col(check.columns[0])
+def _counter(check: Check) -> str:
+    column = check.columns[0]
     if check.kind == NOT_NULL:
-        return F.count_if(column.isNull())
-    return F.count_distinct(F.when(~column.isin(*check.values), column))
+        return f"count_if({column} IS NULL)"
+    values = ", ".join(f"'{value}'" for value in check.values)
+    return f"count(DISTINCT if({column} NOT IN ({values}), {column}, NULL))"
 
 
 def _repeated_keys(df: DataFrame, check: Check) -> DataFrame:
     keyed = df.dropna(subset=list(check.columns))
-    repeated = keyed.groupBy(*check.columns).count().where(F.col("count") > 1)
-    return repeated.agg(F.count(F.lit(1)).alias("failures"))
+    repeated = keyed.groupBy(*check.columns).count().where("count > 1")
+    return repeated.agg(F.expr("count(1) AS failures"))
 
 
 def _orphans(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
     """Child rows are counted per key first: a hot key reaches the join as one row."""
     key = check.columns[0]
-    per_key = child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    per_key = child.where(f"{key} IS NOT NULL").groupBy(key).count()
     orphans = per_key.join(parent.select(key), key, "left_anti")
-    return orphans.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("failures"))
+    return orphans.agg(F.expr("coalesce(sum(count), 0) AS failures"))
 
 
 def _labelled(counted: DataFrame, check: Check) -> DataFrame:
-    return counted.select(*_labels(check), "failures")
+    return counted.selectExpr(f"inline(array(struct({_labels(check)}, failures)))")
 
 
-def _labels(check: Check) -> list:
-    return [
-        F.lit(check.model).alias("model"),
-        F.lit(check.column).alias("columns"),
-        F.lit(check.kind).alias("test"),
-        F.lit(check.severity).alias("severity"),
-    ]
+def _labels(check: Check) -> str:
+    named = {
+        "model": check.model,
+        "columns": check.column,
+        "test": check.kind,
+        "severity": check.severity,
+    }
+    return ", ".join(f"'{value}' AS {name}" for name, value in named.items())

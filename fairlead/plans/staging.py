@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from fairlead.functions.codes import cif, code, money, month_start, text
+from fairlead.functions.codes import cif, code, money, month_start, text, whole
 from fairlead.operators.filters import year_window
 
 
@@ -15,41 +14,41 @@ def exports(raw: DataFrame, first_year: int, last_year: int) -> DataFrame:
 
 def imports(raw: DataFrame, first_year: int, last_year: int) -> DataFrame:
     charges = [
-        money("VL_FRETE").alias("vl_frete_usd"),
-        money("VL_SEGURO").alias("vl_seguro_usd"),
-        cif("VL_FOB", "VL_FRETE", "VL_SEGURO").alias("vl_cif_usd"),
+        money("VL_FRETE", "vl_frete_usd"),
+        money("VL_SEGURO", "vl_seguro_usd"),
+        cif("VL_FOB", ("VL_FRETE", "VL_SEGURO"), "vl_cif_usd"),
     ]
     return _trade(raw, first_year, last_year, charges)
 
 
-def _trade(raw: DataFrame, first_year: int, last_year: int, charges: list) -> DataFrame:
-    typed = raw.withColumn("ano", F.col("CO_ANO").cast("int"))
-    return year_window(typed, first_year, last_year).select(
+def _trade(raw: DataFrame, first_year: int, last_year: int, charges: list[str]) -> DataFrame:
+    dated = raw.selectExpr("*", "int(CO_ANO) AS ano")
+    return year_window(dated, first_year, last_year).selectExpr(
         "ano",
         code("CO_MES", "mes"),
-        month_start("CO_ANO", "CO_MES").alias("data_ref"),
+        month_start("CO_ANO", "CO_MES", "data_ref"),
         code("CO_NCM", "co_ncm"),
         text("CO_UNID", "co_unid"),
         code("CO_PAIS", "co_pais"),
         text("SG_UF_NCM", "sg_uf"),
         text("CO_VIA", "co_via"),
         code("CO_URF", "co_urf"),
-        F.col("QT_ESTAT").cast("long").alias("qt_estat"),
-        F.col("KG_LIQUIDO").cast("long").alias("kg_liquido"),
-        money("VL_FOB").alias("vl_fob_usd"),
+        whole("QT_ESTAT", "qt_estat"),
+        whole("KG_LIQUIDO", "kg_liquido"),
+        money("VL_FOB", "vl_fob_usd"),
         *charges,
     )
 
 
 def products(ncm: DataFrame, hierarchy: DataFrame) -> DataFrame:
     """Products with their classification; unknown subheadings keep NULL names."""
-    items = ncm.select(
+    items = ncm.selectExpr(
         code("CO_NCM", "co_ncm"),
         text("NO_NCM_POR", "no_ncm_pt"),
         text("CO_UNID", "co_unid"),
         code("CO_SH6", "co_sh6"),
     )
-    levels = hierarchy.select(
+    levels = hierarchy.selectExpr(
         code("CO_SH6", "co_sh6"),
         code("CO_SH4", "co_sh4"),
         code("CO_SH2", "co_sh2"),
@@ -71,7 +70,7 @@ def products(ncm: DataFrame, hierarchy: DataFrame) -> DataFrame:
 
 
 def countries(pais: DataFrame) -> DataFrame:
-    return pais.select(
+    return pais.selectExpr(
         code("CO_PAIS", "co_pais"),
         code("CO_PAIS_ISON3", "co_pais_ison3"),
         text("CO_PAIS_ISOA3", "co_pais_isoa3"),
@@ -82,21 +81,21 @@ def countries(pais: DataFrame) -> DataFrame:
 
 
 def states(uf: DataFrame) -> DataFrame:
-    return uf.select(
+    return uf.selectExpr(
         text("SG_UF", "sg_uf"), text("CO_UF", "co_uf"), text("NO_UF", "no_uf"), text("NO_REGIAO", "no_regiao")
     )
 
 
 def modes(via: DataFrame) -> DataFrame:
-    return via.select(text("CO_VIA", "co_via"), text("NO_VIA", "no_via"))
+    return via.selectExpr(text("CO_VIA", "co_via"), text("NO_VIA", "no_via"))
 
 
 def customs_units(urf: DataFrame) -> DataFrame:
-    return urf.select(code("CO_URF", "co_urf"), text("NO_URF", "no_urf"))
+    return urf.selectExpr(code("CO_URF", "co_urf"), text("NO_URF", "no_urf"))
 
 
 def country_blocs(pais_bloco: DataFrame) -> DataFrame:
     """(country, bloc) pairs; a country may appear several times."""
-    return pais_bloco.select(
+    return pais_bloco.selectExpr(
         code("CO_PAIS", "co_pais"), text("CO_BLOCO", "co_bloco"), text("NO_BLOCO", "no_bloco")
     )

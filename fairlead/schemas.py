@@ -7,7 +7,6 @@ data contract and must not be changed.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EXPORT = "EXP"
@@ -76,7 +75,7 @@ def conform(df: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:
     """
     present = set(df.columns)
     fields = [
-        (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+        f"CAST({f.name if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
         for f in schema.fields
     ]
-    return df.select(*fields, *keep)
+    return df.selectExpr(*fields, *keep)

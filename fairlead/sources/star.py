@@ -12,8 +12,9 @@ line items. A lookup whose columns nobody asked for is therefore left out.
 from __future__ import annotations
 
 from collections.abc import Collection
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fairlead.schemas import EXPORT, IMPORT, RAW_TRADE
@@ -22,9 +23,22 @@ from fairlead.schemas import EXPORT, IMPORT, RAW_TRADE
 STATUS = {EXPORT: "O", IMPORT: "F"}
 
 
+class StarTables:
+    """The star tables of one folder; each is listed and its schema read only once."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark = spark
+        self.folder = folder
+        self._opened: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._opened[name]
+
+
 def raw_trade(
-    spark: SparkSession,
-    folder: str,
+    tables: StarTables,
     direction: str,
     columns: Collection[str] | None = None,
     years: tuple[int, int] | None = None,
@@ -37,158 +51,127 @@ def raw_trade(
     """
     schema = RAW_TRADE[direction]
     wanted = set(schema.names if columns is None else columns)
-    lines = _table(spark, folder, "lineitem").where(F.col("l_linestatus") == STATUS[direction])
+    lines = tables["lineitem"].where(f"l_linestatus = '{STATUS[direction]}'")
     if years is not None:
+        first, after = F.lit(datetime(years[0], 1, 1)), F.lit(datetime(years[1] + 1, 1, 1))
+        shipped = F.col("l_shipdate")
         lines = lines.where(
-            (F.col("l_shipdate") >= _new_year(years[0])) & (F.col("l_shipdate") < _new_year(years[1] + 1))
+            (shipped >= first.cast("timestamp_ntz")) & (shipped < after.cast("timestamp_ntz"))
         )
     if wanted & {"CO_UNID", "SG_UF_NCM"}:
-        parts = _table(spark, folder, "part").select("p_partkey", "p_brand", "p_size")
-        lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+        parts = tables["part"].select("p_partkey", "p_brand", "p_size")
+        lines = lines.join(parts, F.expr("l_partkey = p_partkey"), "left")
     if "CO_PAIS" in wanted:
-        lines = _with_country(spark, folder, lines, direction)
+        lines = _with_country(tables, lines, direction)
 
-    filled = _filled_columns()
-    return lines.select(
+    return lines.selectExpr(
         *[
-            (filled[f.name] if f.name in wanted else F.lit(None).cast(f.dataType)).alias(f.name)
+            f"{_FILLED[f.name]} AS {f.name}"
+            if f.name in wanted
+            else f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}"
             for f in schema.fields
         ]
     )
 
 
-def _with_country(spark: SparkSession, folder: str, lines: DataFrame, direction: str) -> DataFrame:
+def _with_country(tables: StarTables, lines: DataFrame, direction: str) -> DataFrame:
     if direction == IMPORT:
-        suppliers = _table(spark, folder, "supplier").select(
-            "s_suppkey", F.col("s_nationkey").alias("_country")
-        )
-        return lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+        suppliers = tables["supplier"].selectExpr("s_suppkey", "s_nationkey AS _country")
+        return lines.join(suppliers, F.expr("l_suppkey = s_suppkey"), "left")
     # Customers meet the orders first: line items, the largest table, move only once.
-    customers = _table(spark, folder, "customer").select(
-        "c_custkey", F.col("c_nationkey").alias("_country")
-    )
+    customers = tables["customer"].selectExpr("c_custkey", "c_nationkey AS _country")
     buyers = (
-        _table(spark, folder, "orders")
-        .select("o_orderkey", "o_custkey")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+        tables["orders"]
+        .join(customers, F.expr("o_custkey = c_custkey"), "left")
         .select("o_orderkey", "_country")
     )
-    return lines.join(buyers, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-
-
-def _filled_columns() -> dict[str, Column]:
-    price = F.col("l_extendedprice")
-    return {
-        "CO_ANO": F.year("l_shipdate").cast("string"),
-        "CO_MES": F.lpad(F.month("l_shipdate").cast("string"), 2, "0"),
-        "CO_NCM": F.col("l_partkey"),
-        "CO_UNID": F.col("p_size").cast("string"),
-        "CO_PAIS": F.col("_country"),
-        "SG_UF_NCM": F.col("p_brand"),
-        "CO_VIA": F.col("l_returnflag"),
-        "CO_URF": F.col("l_suppkey"),
-        "QT_ESTAT": F.col("l_linenumber").cast("long"),
-        "KG_LIQUIDO": F.col("l_quantity").cast("long"),
-        "VL_FOB": F.round(price * 100).cast("long"),
-        "VL_FRETE": F.nullif(F.round(price * F.col("l_tax") * 100).cast("long"), F.lit(0)),
-        "VL_SEGURO": F.nullif(F.round(price * F.col("l_discount") * 10).cast("long"), F.lit(0)),
-    }
+    return lines.join(buyers, F.expr("l_orderkey = o_orderkey"), "left")
+
+
+_FILLED = {
+    "CO_ANO": "string(year(l_shipdate))",
+    "CO_MES": "lpad(string(month(l_shipdate)), 2, '0')",
+    "CO_NCM": "l_partkey",
+    "CO_UNID": "string(p_size)",
+    "CO_PAIS": "_country",
+    "SG_UF_NCM": "p_brand",
+    "CO_VIA": "l_returnflag",
+    "CO_URF": "l_suppkey",
+    "QT_ESTAT": "bigint(l_linenumber)",
+    "KG_LIQUIDO": "bigint(l_quantity)",
+    "VL_FOB": "bigint(round(l_extendedprice * 100))",
+    "VL_FRETE": "nullif(bigint(round(l_extendedprice * l_tax * 100)), 0)",
+    "VL_SEGURO": "nullif(bigint(round(l_extendedprice * l_discount * 10)), 0)",
+}
 
 
-def code_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return _CODE_TABLES[name](spark, folder)
+def code_table(tables: StarTables, name: str) -> DataFrame:
+    return _CODE_TABLES[name](tables)
 
 
-def _products(spark: SparkSession, folder: str) -> DataFrame:
+def _products(tables: StarTables) -> DataFrame:
     # Every 97th part is left out of the dimension: trade rows without a product.
-    return (
-        _table(spark, folder, "part")
-        .where(F.col("p_partkey") % 97 != 0)
-        .select(
-            F.col("p_partkey").alias("CO_NCM"),
-            F.col("p_size").alias("CO_SH6"),
-            F.col("p_size").cast("string").alias("CO_UNID"),
-            F.col("p_name").alias("NO_NCM_POR"),
-        )
+    return tables["part"].where("p_partkey % 97 != 0").selectExpr(
+        "p_partkey AS CO_NCM",
+        "p_size AS CO_SH6",
+        "string(p_size) AS CO_UNID",
+        "p_name AS NO_NCM_POR",
     )
 
 
-def _hierarchy(spark: SparkSession, folder: str) -> DataFrame:
+def _hierarchy(tables: StarTables) -> DataFrame:
     # Size 50 is left out: products whose hierarchy is unknown.
-    sh4, sh2 = F.expr("p_size div 5"), F.expr("p_size div 25")
-    return (
-        _table(spark, folder, "part")
-        .where(F.col("p_size") != 50)
-        .select("p_size")
-        .distinct()
-        .select(
-            F.col("p_size").alias("CO_SH6"),
-            sh4.alias("CO_SH4"),
-            sh2.alias("CO_SH2"),
-            F.concat(F.lit("SH6 "), F.col("p_size")).alias("NO_SH6_POR"),
-            F.concat(F.lit("SH4 "), sh4).alias("NO_SH4_POR"),
-            F.concat(F.lit("SH2 "), sh2).alias("NO_SH2_POR"),
-        )
+    sizes = tables["part"].where("p_size != 50").select("p_size").distinct()
+    return sizes.selectExpr(
+        "p_size AS CO_SH6",
+        "p_size div 5 AS CO_SH4",
+        "p_size div 25 AS CO_SH2",
+        "concat('SH6 ', p_size) AS NO_SH6_POR",
+        "concat('SH4 ', p_size div 5) AS NO_SH4_POR",
+        "concat('SH2 ', p_size div 25) AS NO_SH2_POR",
     )
 
 
-def _countries(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("n_nationkey")
-    return _table(spark, folder, "nation").select(
-        key.alias("CO_PAIS"),
-        key.alias("CO_PAIS_ISON3"),
-        F.concat(F.lit("N"), key).alias("CO_PAIS_ISOA3"),
-        F.col("n_name").alias("NO_PAIS"),
-        F.col("n_name").alias("NO_PAIS_ING"),
-        F.col("n_name").alias("NO_PAIS_ESP"),
+def _countries(tables: StarTables) -> DataFrame:
+    return tables["nation"].selectExpr(
+        "n_nationkey AS CO_PAIS",
+        "n_nationkey AS CO_PAIS_ISON3",
+        "concat('N', n_nationkey) AS CO_PAIS_ISOA3",
+        "n_name AS NO_PAIS",
+        "n_name AS NO_PAIS_ING",
+        "n_name AS NO_PAIS_ESP",
     )
 
 
-def _country_blocs(spark: SparkSession, folder: str) -> DataFrame:
+def _country_blocs(tables: StarTables) -> DataFrame:
     # Country 24 is in no bloc; even ones are in their region's bloc and in CROSS.
-    nations = _table(spark, folder, "nation").where(F.col("n_nationkey") != 24)
-    regions = _table(spark, folder, "region")
-    regional = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey"), "inner").select(
-        F.col("n_nationkey").alias("CO_PAIS"),
-        (F.col("n_regionkey") + 10).alias("CO_BLOCO"),
-        F.col("r_name").alias("NO_BLOCO"),
-    )
-    crossing = nations.where(F.col("n_nationkey") % 2 == 0).select(
-        F.col("n_nationkey").alias("CO_PAIS"),
-        F.lit(99).alias("CO_BLOCO"),
-        F.lit("CROSS").alias("NO_BLOCO"),
-    )
-    return regional.unionByName(crossing)
-
-
-def _states(spark: SparkSession, folder: str) -> DataFrame:
-    number = F.substring_index("p_brand", "#", -1)
-    return (
-        _table(spark, folder, "part")
-        .select("p_brand")
-        .distinct()
-        .select(
-            F.col("p_brand").alias("SG_UF"),
-            number.alias("CO_UF"),
-            F.col("p_brand").alias("NO_UF"),
-            F.concat(F.lit("R"), number.cast("int") % 5).alias("NO_REGIAO"),
-        )
+    nations = tables["nation"].where("n_nationkey != 24")
+    regional = nations.join(tables["region"], F.expr("n_regionkey = r_regionkey"), "inner")
+    crossing = nations.where("n_nationkey % 2 = 0")
+    return regional.selectExpr(
+        "n_nationkey AS CO_PAIS", "n_regionkey + 10 AS CO_BLOCO", "r_name AS NO_BLOCO"
+    ).unionByName(
+        crossing.selectExpr("n_nationkey AS CO_PAIS", "99 AS CO_BLOCO", "'CROSS' AS NO_BLOCO")
     )
 
 
-def _modes(spark: SparkSession, folder: str) -> DataFrame:
-    return (
-        _table(spark, folder, "lineitem")
-        .select(F.col("l_returnflag").alias("CO_VIA"))
-        .distinct()
-        .withColumn("NO_VIA", F.concat(F.lit("VIA "), F.col("CO_VIA")))
+def _states(tables: StarTables) -> DataFrame:
+    brands = tables["part"].select("p_brand").distinct()
+    return brands.selectExpr(
+        "p_brand AS SG_UF",
+        "substring_index(p_brand, '#', -1) AS CO_UF",
+        "p_brand AS NO_UF",
+        "concat('R', int(substring_index(p_brand, '#', -1)) % 5) AS NO_REGIAO",
     )
 
 
-def _customs_units(spark: SparkSession, folder: str) -> DataFrame:
-    return _table(spark, folder, "supplier").select(
-        F.col("s_suppkey").alias("CO_URF"), F.col("s_name").alias("NO_URF")
-    )
+def _modes(tables: StarTables) -> DataFrame:
+    flags = tables["lineitem"].select("l_returnflag").distinct()
+    return flags.selectExpr("l_returnflag AS CO_VIA", "concat('VIA ', l_returnflag) AS NO_VIA")
+
+
+def _customs_units(tables: StarTables) -> DataFrame:
+    return tables["supplier"].selectExpr("s_suppkey AS CO_URF", "s_name AS NO_URF")
 
 
 _CODE_TABLES = {
@@ -200,11 +183,3 @@ _CODE_TABLES = {
     "VIA": _modes,
     "URF": _customs_units,
 }
-
-
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def _new_year(year: int) -> Column:
-    return F.lit(f"{year}-01-01").cast("timestamp_ntz")
