@@ -11,6 +11,7 @@ from fairlead.functions.codes import share
 
 # Bands per unit of the natural logarithm: neighbouring bands differ by about 0.1%.
 BANDS_PER_LOG_UNIT = 1024
+NULL_BAND = -1_000_000
 
 
 def share_and_rank_small(
@@ -47,7 +48,9 @@ def share_and_rank_large(
       total and the number of rows in higher bands;
     * a window inside one (group, band) adds the rows ahead within that band.
 
-    ``keys`` must not be NULL; a NULL value ranks last, as in the window form.
+    A NULL value ranks last, as in the window form. ``keys`` must not be NULL (a row with
+    a NULL key is kept, but gets neither share nor rank); a caller that knows so says it
+    with a filter, or the joins add one to only some branches and nothing is shared.
 
     ``df`` is read again for the join back, and the counts again for the bands. Branches
     that need the same columns plan the same shuffle and Spark runs it once
@@ -57,12 +60,13 @@ def share_and_rank_large(
     group = ", ".join(keys)
     levels = (
         df.groupBy(*keys, F.expr(f"{value} AS _value"))
-        .agg(F.expr("count(1) AS _rows"), F.expr(f"count({payload}) AS _payload_rows"))
-        # Always true; keeps the payload column alive in this branch (see above).
-        .where("_payload_rows <= _rows")
-        # Monotone in the value; NULL for NULL.
+        # The row count, stated so that this branch reads the payload too (see above).
+        .agg(F.expr(f"greatest(count(1), count({payload})) AS _rows"))
+        # Monotone in the value; NULL gets the lowest band.
         .selectExpr(
-            "*", f"int(signum(_value) * floor(log1p(abs(_value)) * {BANDS_PER_LOG_UNIT})) AS _band"
+            "*",
+            f"ifnull(int(signum(_value) * floor(log1p(abs(_value)) * {BANDS_PER_LOG_UNIT})), "
+            f"{NULL_BAND}) AS _band",
         )
     )
     bands = (
@@ -71,7 +75,7 @@ def share_and_rank_large(
         .selectExpr(
             *[f"{key} AS _b_{key}" for key in keys],
             "_band AS _b_band",
-            f"coalesce(sum(_band_rows) OVER (PARTITION BY {group} ORDER BY _band DESC NULLS LAST "
+            f"coalesce(sum(_band_rows) OVER (PARTITION BY {group} ORDER BY _band DESC "
             "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _ahead",
             f"sum(_band_total) OVER (PARTITION BY {group}) AS _total",
         )
@@ -80,7 +84,7 @@ def share_and_rank_large(
         f"sum(_rows) OVER (PARTITION BY {group}, _band ORDER BY _value DESC NULLS LAST "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     )
-    placed = levels.join(bands, _equal(keys, "_b_", "_band <=> _b_band"), "inner").selectExpr(
+    placed = levels.join(bands, _equal(keys, "_b_", "_band = _b_band"), "inner").selectExpr(
         *[f"{key} AS _v_{key}" for key in keys],
         "_value",
         f"{share('_value', '_total')} AS {share_as}",

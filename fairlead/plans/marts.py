@@ -68,8 +68,10 @@ def with_product_names(totals: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def with_product_rank(totals: DataFrame) -> DataFrame:
+    # Years passed a range filter and directions are constants: neither is NULL.
+    keyed = totals.where("ano IS NOT NULL AND direcao IS NOT NULL")
     return share_and_rank_large(
-        totals, ["ano", "direcao"], "vl_fob_usd", "share_direcao_ano", "rank_ano_direcao", "kg_liquido"
+        keyed, ["ano", "direcao"], "vl_fob_usd", "share_direcao_ano", "rank_ano_direcao", "kg_liquido"
     )
 
 
