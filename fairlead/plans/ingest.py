@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,9 @@ OK = "OK"
 SKIPPED = "SKIPPED"
 FAILED = "FAILED"
 
+# What a failed Spark job raises: not every JVM error has a Python class.
+JOB_FAILURES = (PySparkException, Py4JJavaError)
+
 
 def convert(spark: SparkSession, config: JobConfig) -> DataFrame:
     """Convert the selected files; return one report row per file.
@@ -53,7 +57,7 @@ def _convert_direction(
         return outcome
     try:
         _write(spark, pending, direction, target)
-    except PySparkException:
+    except JOB_FAILURES:
         # One bad file fails the shared job, which publishes nothing. Find it, convert the rest.
         bad = {label for label, path in pending.items() if not _parses(spark, path, direction)}
         if not bad:
@@ -77,7 +81,7 @@ def _parses(spark: SparkSession, path: str, direction: str) -> bool:
     try:
         read_trade_csv(spark, [path], direction).write.format("noop").mode("overwrite").save()
         return True
-    except PySparkException:
+    except JOB_FAILURES:
         return False
 
 
@@ -88,7 +92,7 @@ def _convert_code_table(spark: SparkSession, config: JobConfig, name: str, path:
     try:
         sinks.write_table(read_code_csv(spark, path), target)
         return OK
-    except PySparkException:
+    except JOB_FAILURES:
         return FAILED
 
 
