@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fairlead import sinks
 from fairlead.config import Layout
+from fairlead.jobs import side_by_side
 from fairlead.plans import core, marts, pipeline, staging
 from fairlead.schemas import CODE_TABLES, EXPORT, IMPORT, RAW_TRADE, TRADE
 from fairlead.sources import star
@@ -102,11 +103,15 @@ class StarModels:
 
     def store_raw(self, layout: Layout) -> None:
         """Write the raw tables where the converter would."""
-        for direction in RAW_TRADE:
-            rows = sinks.rebalanced(self.labelled(direction), SOURCE)
-            sinks.write_table(rows, layout.raw(direction), [SOURCE])
-        for name in CODE_TABLES:
-            sinks.write_table(self.code(name), layout.code_table(name))
+
+        def store(name: str) -> None:
+            if name in RAW_TRADE:
+                rows = sinks.rebalanced(self.labelled(name), SOURCE)
+                sinks.write_table(rows, layout.raw(name), [SOURCE])
+            else:
+                sinks.write_table(self.code(name), layout.code_table(name))
+
+        side_by_side(self.spark, store, [*RAW_TRADE, *CODE_TABLES])
 
     def staged_code_tables(self) -> dict[str, DataFrame]:
         return pipeline.stage_code_tables({name: self.code(name) for name in CODE_TABLES})

@@ -10,6 +10,12 @@ from pyspark.sql import SparkSession
 
 from fairlead.schemas import DIRECTIONS
 
+# Session settings a job profits from; the models are right without them.
+SESSION_SETTINGS = {
+    # Tasks that write few partitions keep a file open for each instead of sorting first.
+    "spark.sql.maxConcurrentOutputFileWriters": "32",
+}
+
 
 @dataclass(frozen=True)
 class JobConfig:

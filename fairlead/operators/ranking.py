@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from fairlead.functions.codes import share
 
+# Largest group one task may sort: a few hundred megabytes of aggregated rows.
+WINDOW_GROUP_ROWS = 5_000_000
+
 # Bands per unit of the natural logarithm: neighbouring bands differ by about 0.1%.
 BANDS_PER_LOG_UNIT = 1024
 NULL_BAND = -1_000_000
@@ -29,6 +32,26 @@ def share_and_rank_small(
     )
 
 
+def share_and_rank(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    share_as: str,
+    rank_as: str,
+    payload: str,
+    largest_group: int | None = None,
+) -> DataFrame:
+    """Window form when the largest group was counted and is small, else the banded one."""
+    if largest_group is not None and largest_group <= WINDOW_GROUP_ROWS:
+        return share_and_rank_small(df, keys, value, share_as, rank_as)
+    return share_and_rank_large(df, keys, value, share_as, rank_as, payload)
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the largest group; runs a job."""
+    return df.groupBy(*keys).count().agg(F.expr("coalesce(max(count), 0)")).first()[0]
+
+
 def share_and_rank_large(
     df: DataFrame,
     keys: Sequence[str],

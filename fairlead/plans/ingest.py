@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fairlead import sinks
 from fairlead.config import JobConfig
+from fairlead.jobs import side_by_side
 from fairlead.schemas import CODE_TABLES, RAW_TRADE
 from fairlead.sources import landing
 from fairlead.sources.files import SOURCE, read_code_csv, read_trade_csv
@@ -34,9 +35,11 @@ def convert(spark: SparkSession, config: JobConfig) -> DataFrame:
     for direction in config.directions:
         outcome |= _convert_direction(spark, config, direction, datasets)
     if config.code_tables:
-        for name in CODE_TABLES:
-            if name in datasets:
-                outcome[name] = _convert_code_table(spark, config, name, datasets[name])
+        present = [name for name in CODE_TABLES if name in datasets]
+        converted = side_by_side(
+            spark, lambda name: _convert_code_table(spark, config, name, datasets[name]), present
+        )
+        outcome |= dict(zip(present, converted))
     return _report(spark, config, landed, outcome)
 
 

@@ -3,6 +3,10 @@
 Each aggregates the fact before anything else, so what reaches a join or a window has
 one row per key of the mart, not per transaction; partial aggregation makes a hot
 state, product or country cheap to shuffle.
+
+Totals keep the column names of what they sum, so a mart can be built from the fact or
+from stored totals of it: ``trade_balance(state_months(fact))`` equals
+``trade_balance(fact)``.
 """
 
 from __future__ import annotations
@@ -11,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairlead.operators import filters
-from fairlead.operators.ranking import share_and_rank_large, share_and_rank_small
+from fairlead.operators.ranking import share_and_rank, share_and_rank_small
 from fairlead.schemas import EXPORT, IMPORT
 
 MONTH = ("ano", "mes", "data_ref")
@@ -21,6 +25,11 @@ def sums(*measures: str) -> list[Column]:
     return [F.expr(f"sum({measure}) AS {measure}") for measure in measures]
 
 
+def state_months(trade: DataFrame) -> DataFrame:
+    """Totals per month, state and direction: all that the three state marts need."""
+    return trade.groupBy(*MONTH, "sg_uf", "direcao").agg(*sums("vl_fob_usd", "vl_cif_usd", "kg_liquido"))
+
+
 def trade_balance(trade: DataFrame) -> DataFrame:
     """Exports, imports, balance and flow (FOB) per month and state."""
 
@@ -67,21 +76,33 @@ def with_product_names(totals: DataFrame, products: DataFrame) -> DataFrame:
     return totals.join(names, "co_ncm", "left")
 
 
-def with_product_rank(totals: DataFrame) -> DataFrame:
+PRODUCT_GROUP = ("ano", "direcao")
+
+
+def with_product_rank(totals: DataFrame, largest_group: int | None = None) -> DataFrame:
     # Years passed a range filter and directions are constants: neither is NULL.
     keyed = totals.where("ano IS NOT NULL AND direcao IS NOT NULL")
-    return share_and_rank_large(
-        keyed, ["ano", "direcao"], "vl_fob_usd", "share_direcao_ano", "rank_ano_direcao", "kg_liquido"
+    return share_and_rank(
+        keyed,
+        PRODUCT_GROUP,
+        "vl_fob_usd",
+        "share_direcao_ano",
+        "rank_ano_direcao",
+        payload="kg_liquido",
+        largest_group=largest_group,
     )
 
 
-def top_products(trade: DataFrame, products: DataFrame) -> DataFrame:
+def top_products(
+    trade: DataFrame, products: DataFrame, largest_group: int | None = None
+) -> DataFrame:
     """Products per year and direction with names, share and rank.
 
-    Share and rank come before the names, so a repeated product in the dimension could
-    repeat rows but never change a total.
+    ``largest_group`` is the number of products of the largest year and direction, if
+    known. Share and rank come before the names; the unique test on the dimension keeps
+    a repeated product from repeating rows.
     """
-    ranked = with_product_rank(product_totals(trade))
+    ranked = with_product_rank(product_totals(trade), largest_group)
     return with_product_names(ranked, products).select(
         "ano",
         "direcao",

@@ -3,23 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fairlead import sinks
 from fairlead.config import JobConfig, Layout
+from fairlead.jobs import side_by_side
+from fairlead.operators.ranking import largest_group
 from fairlead.plans import core, ingest, marts, quality, staging
 from fairlead.schemas import CODE_TABLES, DIRECTIONS, EXPORT, IMPORT, RAW_TRADE, TRADE, conform
 from fairlead.sources import landing
 
-# Marts do not depend on each other; this many are submitted at a time.
-CONCURRENT_MARTS = 4
-
-
 def run(spark: SparkSession, config: JobConfig) -> DataFrame:
     """Convert the landing zone and build the warehouse; return the quality report."""
     results = ingest.convert(spark, config)
@@ -83,25 +79,38 @@ def build(
     reports.append(_tested(spark, config, models, checks, quality.CORE))
 
     trade, products = models["core_comercio"], models["core_produtos"]
+    totals = _stored_totals(spark, layout, trade)
+    states, product_years = totals["estado_mes"], totals["produto_ano"]
+    largest = largest_group(product_years, marts.PRODUCT_GROUP)
     plans: dict[str, Callable[[], DataFrame]] = {
-        "mart_balanca_comercial": lambda: marts.trade_balance(trade),
-        "mart_exportacoes_por_estado": lambda: marts.exports_by_state(trade),
-        "mart_importacoes_por_estado": lambda: marts.imports_by_state(trade),
-        "mart_top_produtos": lambda: marts.top_products(trade, products),
+        "mart_top_produtos": lambda: marts.top_products(product_years, products, largest),
         "mart_blocos_economicos": lambda: marts.economic_blocs(trade, models["stg_blocos"]),
+        "mart_balanca_comercial": lambda: marts.trade_balance(states),
+        "mart_exportacoes_por_estado": lambda: marts.exports_by_state(states),
+        "mart_importacoes_por_estado": lambda: marts.imports_by_state(states),
     }
 
     def write(name: str) -> None:
         sinks.write_table(plans[name](), layout.mart(name))
 
-    with ThreadPoolExecutor(CONCURRENT_MARTS) as pool:
-        # list() re-raises the first failure.
-        list(pool.map(inheritable_thread_target(spark)(write), plans))
+    side_by_side(spark, write, plans)
     models |= stored_marts(spark, layout)
     reports.append(_tested(spark, config, models, checks, quality.MARTS))
     return reduce(DataFrame.unionByName, [r for r in reports if r is not None])
 
 
+def _stored_totals(spark: SparkSession, layout: Layout, trade: DataFrame) -> dict[str, DataFrame]:
+    """Totals several plans read, written once: the state marts share one scan of the
+    fact, and the products of a year can be counted before choosing how to rank them."""
+    plans = {"estado_mes": marts.state_months, "produto_ano": marts.product_totals}
+
+    def write(name: str) -> None:
+        sinks.write_table(plans[name](trade), layout.core(name))
+
+    side_by_side(spark, write, plans)
+    return {name: spark.read.parquet(layout.core(name)) for name in plans}
+
+
 def stored_core(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     # The fact's schema is given: reading back must not guess the partition columns' types.
     return {

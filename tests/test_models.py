@@ -164,3 +164,14 @@ def test_invariants_on_the_star_tables(spark):
         ("EXP", 2211),
         ("IMP", 2221),
     ]
+
+
+def test_state_marts_are_the_same_from_monthly_totals(spark):
+    from checks.star_models import BALANCE_COLUMNS, StarModels
+
+    fact = StarModels(spark, "/root/testdata/sf0.001").trade(*BALANCE_COLUMNS, "kg_liquido", "vl_cif_usd")
+    unpriced = trade(spark, {"sg_uf": "SP"}, {"sg_uf": "RJ"}, {"sg_uf": "RJ", "direcao": "IMP", "vl_fob_usd": 1.0})
+    for rows in (fact, unpriced):
+        totals = marts.state_months(rows)
+        for mart in (marts.trade_balance, marts.exports_by_state, marts.imports_by_state):
+            assert rows_of(mart(totals)) == rows_of(mart(rows))

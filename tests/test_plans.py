@@ -73,3 +73,32 @@ def test_without_broadcast_the_joins_are_sort_merge(spark):
         assert "BroadcastExchange" not in text and "SortMergeJoin" in text
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_product_is_split_in_the_lookup_join(spark, tmp_path):
+    """A third of the lines share one part: the join splits that partition."""
+    for name in ("part", "lineitem"):
+        rows = spark.read.parquet(f"{FOLDER}/{name}.parquet")
+        if name == "lineitem":
+            rows = rows.selectExpr(
+                "* EXCEPT (l_partkey)", "if(l_orderkey % 3 = 0, 7L, l_partkey) AS l_partkey"
+            )
+        rows.repartition(8).write.parquet(str(tmp_path / f"{name}.parquet"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+        "spark.sql.files.maxPartitionBytes": "32KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        balance = StarModels(spark, str(tmp_path)).balance()
+        balance.collect()
+        final = plan(balance).split("Initial Plan")[0]
+        assert "SortMergeJoin(skew=true)" in final
+    finally:
+        for key in settings:
+            spark.conf.unset(key)

@@ -4,6 +4,7 @@ import random
 
 from frames import rows_of, table, trade
 
+from fairlead.operators import ranking
 from fairlead.operators.ranking import share_and_rank_large, share_and_rank_small
 from fairlead.plans import marts
 from fairlead.schemas import TRADE
@@ -59,3 +60,17 @@ def test_stored_fact_is_scanned_once(spark, tmp_path):
     final = ranked._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert final.count("FileScan") == 1
     assert final.count("ReusedExchange") == 2
+
+
+def test_counted_small_groups_use_windows_and_others_do_not(spark):
+    rows = [(2020, "EXP", str(i), float(i), 1) for i in range(9)] + [(2021, "EXP", "x", 1.0, 1)]
+    df = table(spark, COLUMNS, *rows)
+    assert ranking.largest_group(df, KEYS) == 9
+
+    def joins(largest):
+        ranked = ranking.share_and_rank(df, KEYS, "v", "peso", "posicao", "kg", largest)
+        return "Join" in ranked._jdf.queryExecution().optimizedPlan().toString()
+
+    assert not joins(9)
+    assert joins(ranking.WINDOW_GROUP_ROWS + 1)
+    assert joins(None)
