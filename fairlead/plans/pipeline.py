@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fairlead import sinks
 from fairlead.config import JobConfig, Layout
 from fairlead.jobs import side_by_side
+from fairlead.operators import filters
 from fairlead.operators.ranking import largest_group
 from fairlead.plans import core, ingest, marts, quality, staging
 from fairlead.schemas import CODE_TABLES, DIRECTIONS, EXPORT, IMPORT, RAW_TRADE, TRADE, conform
@@ -70,13 +71,21 @@ def build(
     layout = config.layout
     models = stage(raw, config.first_year, config.last_year)
     checks = list(checks)
-    reports = [_tested(spark, config, models, checks, quality.STAGING)]
+    gating, warning = _by_layer(checks, "error"), _by_layer(checks, "warn")
+    reports = [_tested(spark, config, models, gating[quality.STAGING], quality.STAGING)]
 
     fact = core.trade(models["stg_exportacoes"], models["stg_importacoes"])
     sinks.write_table(fact, layout.core("core_comercio"), ["direcao", "ano"])
     sinks.write_table(core.products(models["stg_ncm"]), layout.core("core_produtos"))
     models |= stored_core(spark, layout)
-    reports.append(_tested(spark, config, models, checks, quality.CORE))
+    # Tests that only warn gate nothing, so those of staging wait for the fact: it holds
+    # the same rows, and a test reads one typed column of it instead of parsing raw rows.
+    stored = models | {
+        "stg_exportacoes": filters.direction(models["core_comercio"], EXPORT),
+        "stg_importacoes": filters.direction(models["core_comercio"], IMPORT),
+    }
+    core_checks = warning[quality.STAGING] + warning[quality.CORE] + gating[quality.CORE]
+    reports.append(_tested(spark, config, stored, core_checks, quality.CORE))
 
     trade, products = models["core_comercio"], models["core_produtos"]
     totals = _stored_totals(spark, layout, trade)
@@ -95,7 +104,8 @@ def build(
 
     side_by_side(spark, write, plans)
     models |= stored_marts(spark, layout)
-    reports.append(_tested(spark, config, models, checks, quality.MARTS))
+    mart_checks = gating[quality.MARTS] + warning[quality.MARTS]
+    reports.append(_tested(spark, config, models, mart_checks, quality.MARTS))
     return reduce(DataFrame.unionByName, [r for r in reports if r is not None])
 
 
@@ -123,19 +133,28 @@ def stored_marts(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(layout.mart(name)) for name in quality.MART_GRAINS}
 
 
+def _by_layer(checks: Iterable[quality.Check], severity: str) -> dict[str, list[quality.Check]]:
+    layers: dict[str, list[quality.Check]] = {
+        layer: [] for layer in (quality.STAGING, quality.CORE, quality.MARTS)
+    }
+    for check in checks:
+        if check.severity == severity:
+            layers[check.layer].append(check)
+    return layers
+
+
 def _tested(
     spark: SparkSession,
     config: JobConfig,
     models: Mapping[str, DataFrame],
-    checks: Iterable[quality.Check],
-    layer: str,
+    checks: list[quality.Check],
+    name: str,
 ) -> DataFrame | None:
-    """Run a layer's tests once, keep their report as a table, stop the build on errors."""
-    mine = [c for c in checks if c.layer == layer]
-    if not mine:
+    """Run tests once, keep their report as a table, stop the build on errors."""
+    if not checks:
         return None
-    path = config.layout.report(layer)
-    sinks.write_table(quality.report(models, mine).coalesce(1), path)
+    path = config.layout.report(name)
+    sinks.write_table(quality.report(models, checks).coalesce(1), path)
     results = spark.read.parquet(path)
     if config.fail_fast:
         quality.enforce(results)
