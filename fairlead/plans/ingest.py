@@ -53,9 +53,10 @@ def _convert_direction(
         and (config.file_years is None or int(label.rsplit("_", 1)[1]) in config.file_years)
     }
     target = config.layout.raw(direction)
-    held = set() if config.force else set(sinks.stored_partitions(spark, target, SOURCE))
-    pending = {label: path for label, path in chosen.items() if label not in held}
-    outcome = {label: SKIPPED for label in chosen if label in held}
+    held = set(sinks.stored_partitions(spark, target, SOURCE))
+    skipped = set() if config.force else held & set(chosen)
+    pending = {label: path for label, path in chosen.items() if label not in skipped}
+    outcome = {label: SKIPPED for label in skipped}
     if not pending:
         return outcome
     try:
@@ -69,6 +70,8 @@ def _convert_direction(
         pending = {label: path for label, path in pending.items() if label not in bad}
         if pending:
             _write(spark, pending, direction, target)
+    for label in held & set(pending):
+        _clear_if_emptied(spark, pending[label], direction, f"{target}/{SOURCE}={label}")
     return outcome | {label: OK for label in pending}
 
 
@@ -80,6 +83,13 @@ def _write(spark: SparkSession, files: dict[str, str], direction: str, target: s
     sinks.refresh_partitions(rows, target, [SOURCE])
 
 
+def _clear_if_emptied(spark: SparkSession, path: str, direction: str, partition: str) -> None:
+    """A refresh replaces partitions that have rows; one whose file lost all rows is emptied."""
+    rows = read_trade_csv(spark, [path], direction)
+    if rows.isEmpty():
+        sinks.write_table(rows.drop(SOURCE), partition)
+
+
 def _parses(spark: SparkSession, path: str, direction: str) -> bool:
     try:
         read_trade_csv(spark, [path], direction).write.format("noop").mode("overwrite").save()
@@ -122,13 +132,15 @@ def _report(
         report = report.select("*", *[F.lit(None).cast(t).alias(n) for n, t in empty.items()])
     else:
         report = report.join(sizes, SOURCE, "left")
-    return report.select(
+    # A failed file keeps what an earlier run stored, but that is not its result.
+    done = f"status != '{FAILED}'"
+    return report.selectExpr(
         SOURCE,
-        "linhas",
-        "colunas",
+        f"if({done}, ifnull(linhas, 0), NULL) AS linhas",
+        f"if({done}, colunas, NULL) AS colunas",
         "bytes_csv",
-        "bytes_parquet",
-        (F.col("bytes_csv") / F.nullif(F.col("bytes_parquet"), F.lit(0))).alias("razao"),
+        f"if({done}, bytes_parquet, NULL) AS bytes_parquet",
+        f"if({done}, bytes_csv / nullif(bytes_parquet, 0), NULL) AS razao",
         "status",
     )
 

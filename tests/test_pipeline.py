@@ -140,6 +140,29 @@ def test_files_already_converted_are_skipped_unless_forced(spark, config, tmp_pa
     ]
 
 
+def test_file_that_lost_its_rows_is_emptied(spark, config, tmp_path):
+    ingest.convert(spark, config)
+    put(tmp_path / "landing/exp/EXP_2021.csv", EXPORT_HEADER)
+    put(tmp_path / "landing/exp/EXP_2022.csv", EXPORT_HEADER)
+    report = ingest.convert(spark, config)
+    assert rows_of(report.where("arquivo LIKE 'EXP%'"), SOURCE, "linhas", "status") == [
+        ("EXP_2020", 2, "OK"),
+        ("EXP_2021", 0, "OK"),
+        ("EXP_2022", 0, "OK"),
+    ]
+    assert rows_of(spark.read.parquet(config.layout.raw("EXP")), SOURCE) == [("EXP_2020",), ("EXP_2020",)]
+
+
+def test_failed_refresh_keeps_the_stored_rows(spark, config, tmp_path):
+    ingest.convert(spark, config)
+    put(tmp_path / "landing/exp/EXP_2021.csv", EXPORT_HEADER, export(2021, "many"))
+    report = ingest.convert(spark, config)
+    failed = rows_of(report.where("status = 'FAILED'"), SOURCE, "linhas", "bytes_parquet")
+    assert failed == [("EXP_2021", None, None)]
+    stored = spark.read.parquet(config.layout.raw("EXP"))
+    assert rows_of(stored, SOURCE, "VL_FOB") == [("EXP_2020", 100), ("EXP_2020", 100), ("EXP_2021", 50)]
+
+
 def test_bad_file_fails_alone(spark, config, tmp_path):
     put(tmp_path / "landing/exp/EXP_2020.csv", EXPORT_HEADER, export(2020, "many"))
     found = statuses(ingest.convert(spark, config))
