@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fairlead.llm import chat, fingerprints, packing, quality, secrets, sharding, simhash_dedup, substring_dedup
+from fairlead.llm import (
+    chat,
+    embedding_dedup,
+    fingerprints,
+    packing,
+    piece_dropout,
+    quality,
+    secrets,
+    sharding,
+    simhash_dedup,
+    substring_dedup,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,10 +42,18 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, folder, "documents"), shards=8)
 
 
+def op4_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")).rows()
 
 
+def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_dropout.digest(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -58,7 +77,9 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_chat_formatting,
         op2_substring_dedup,
         op3_sharding,
+        op4_embedding_dedup,
         op5_packing,
+        op6_sentencepiece,
         op7_quality,
         op8_fingerprints,
         op9_secrets,
@@ -88,6 +109,24 @@ FROM docs LEFT JOIN kept USING (doc_id)
 """
 
 
+OP4_SQL = """
+WITH RECURSIVE vectors AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+),
+reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM vectors
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, CAST(ifnull(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM vectors LEFT JOIN counts ON vec_id = counts.a JOIN least ON vec_id = least.a
+"""
+
+
 def statements() -> dict[str, str]:
-    """DuckDB SQL of the queries that SQL can express."""
-    return {"op2_substring_dedup": OP2_SQL}
+    """DuckDB SQL of the queries that SQL can express at the scale where it is compared."""
+    return {"op2_substring_dedup": OP2_SQL, "op4_embedding_dedup": OP4_SQL}
