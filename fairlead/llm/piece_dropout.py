@@ -19,13 +19,18 @@ DROPOUT = 0.1
 # Texts draw one of this many segmentations of a word.
 VARIANTS = 4
 CHUNK_BYTES = 2 << 20
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_000_000
 
 SPACE = "▁"
 # A space sign that stands in the text itself: it never merges and is written as bytes.
 _LITERAL = "\0" + SPACE
-_WORD = re.compile(rb" +[^ ]*")
+# No piece holds a line feed, so words end there too.
+_WORD = re.compile(rb" +[^ \n]*|\n|[^ \n]+")
 _M64 = (1 << 64) - 1
+_PLACE, _LENGTH, _MIX = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9
+# Longer words are merged one by one; others in tables of so many rows.
+FEW_SYMBOLS = 48
+GROUP_WORDS = 4096
 
 
 class Pieces:
@@ -36,7 +41,7 @@ class Pieces:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.ids: dict[str, int] = {}
-        self.scores: dict[str, float] = {}
+        self.costs: dict[str, float] = {}
         self.bytes = [0] * 256
         self.decoded: list[bytes] = []
         for i in range(model.get_piece_size()):
@@ -48,40 +53,125 @@ class Pieces:
                 self.decoded.append(b"")
             else:
                 self.ids[piece] = i
-                self.scores[piece] = model.get_score(i)
+                self.costs[piece] = -model.get_score(i)
                 self.decoded.append(piece.replace(SPACE, " ").encode())
-
-    def segment(self, word: bytes, dropout: float, key: int) -> list[int]:
-        """Ids of spaces followed by a word.
-
-        The agenda holds every adjacent pair that is a piece, the best score first, then the
-        leftmost. A pair taken from it is skipped if the hash of its key, place and length
-        falls below the dropout; it may return when a neighbour of it has changed.
+        # Ids of single characters by code point: a space stands for the space sign, and the
+        # sign itself and characters without a piece have none.
+        self.char_ids = np.full(0x110000, -1, dtype=np.int32)
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.char_ids[ord(" " if piece == SPACE else piece)] = i
+        self.char_ids[ord(SPACE)] = -1
+        self.chars_of = np.zeros(model.get_piece_size(), dtype=np.uint64)
+        pairs = []
+        for piece, i in self.ids.items():
+            self.chars_of[i] = len(piece)
+            for k in range(1, len(piece)):
+                left, right = self.ids.get(piece[:k]), self.ids.get(piece[k:])
+                if left is not None and right is not None:
+                    pairs.append((left << 32 | right, i, self.costs[piece]))
+        pairs.sort()
+        keys, pieces, costs = zip(*pairs)
+        self.pair_keys = np.array(keys, dtype=np.int64)
+        self.pair_pieces = np.array(pieces, dtype=np.int32)
+        self.pair_costs = np.array(costs, dtype=np.float64)
+
+    def segment(self, words: list[bytes], dropout: float, keys: np.ndarray) -> list[bytes]:
+        """Little-endian 32-bit ids of each word with its leading spaces; ``keys`` are 64-bit.
+
+        The agenda of a word holds every adjacent pair that is a piece, the best score first,
+        then the leftmost. A pair is skipped if the hash of its key, place and length falls
+        below the dropout; other pairs at its place may form when a neighbour changes. Words
+        of usual length advance together, one merge each at a time.
         """
-        text = word.decode("utf-8", "replace")
+        bound = int(dropout * 65536)
+        texts = [w.decode("utf-8", "replace") for w in words]
+        lengths = np.array([len(t) for t in texts])
+        points = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), dtype="<u4")
+        chars = self.char_ids[points]
+        first = np.cumsum(lengths) - lengths
+        plain = np.minimum.reduceat(chars, first) >= 0
+        out: list[bytes] = [b""] * len(words)
+        few = np.flatnonzero(plain & (lengths <= FEW_SYMBOLS))
+        # Words of similar length share a table, so that little of it is padding.
+        for group in np.split(few[np.argsort(lengths[few], kind="stable")], np.arange(GROUP_WORDS, len(few), GROUP_WORDS)):
+            if len(group):
+                self._merge_together(group, chars, first, lengths, bound, keys, out)
+        for k in np.flatnonzero(~(plain & (lengths <= FEW_SYMBOLS))).tolist():
+            out[k] = np.array(self._merge_one(texts[k], bound, int(keys[k])), dtype="<u4").tobytes()
+        return out
+
+    def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(cost, piece) of adjacent pieces; infinite where they form none."""
+        wanted = left.astype(np.int64) << 32 | np.maximum(right, 0)
+        at = np.minimum(np.searchsorted(self.pair_keys, wanted), len(self.pair_keys) - 1)
+        hit = (self.pair_keys[at] == wanted) & (left >= 0) & (right >= 0)
+        return np.where(hit, self.pair_costs[at], np.inf), self.pair_pieces[at]
+
+    def _merge_together(self, group, chars, first, lengths, bound, keys, out) -> None:
+        width = int(lengths[group].max())
+        column = np.arange(width)
+        inside = column < lengths[group][:, None]
+        ids = np.where(inside, chars[np.minimum(first[group][:, None] + column, len(chars) - 1)], -1)
+        start = np.broadcast_to(column, ids.shape).copy()
+        key = keys[group]
+
+        def agenda(left, right, place, key_of):
+            cost, piece = self._pairs(left, right)
+            if bound:
+                cost = np.where(_draws(key_of, place, self.chars_of[piece]) < bound, np.inf, cost)
+            return cost, piece
+
+        def finish(rows: np.ndarray) -> None:
+            table = ids[rows].astype("<u4")
+            for k, n, row in zip(group[rows].tolist(), (ids[rows] >= 0).sum(axis=1).tolist(), table):
+                out[k] = row[:n].tobytes()
+
+        cost, piece = agenda(ids[:, :-1], ids[:, 1:], start[:, :-1], key[:, None])
+        while cost.shape[1]:
+            at = cost.argmin(axis=1)
+            rows = np.arange(len(at))
+            going = np.isfinite(cost[rows, at])
+            if not going.all():
+                finish(np.flatnonzero(~going))
+                group, key, ids, start, cost, piece, at = (x[going] for x in (group, key, ids, start, cost, piece, at))
+                if not len(group):
+                    return
+                rows = np.arange(len(at))
+            ids[rows, at] = piece[rows, at]
+            columns = np.arange(ids.shape[1] - 1)
+            source = columns + (columns > at[:, None])
+            ids, start = np.take_along_axis(ids, source, axis=1), np.take_along_axis(start, source, axis=1)
+            source = columns[:-1] + (columns[:-1] >= at[:, None])
+            cost, piece = np.take_along_axis(cost, source, axis=1), np.take_along_axis(piece, source, axis=1)
+            for shift in (-1, 0):
+                place = at + shift
+                there = np.flatnonzero((place >= 0) & (place < cost.shape[1]))
+                k = place[there]
+                cost[there, k], piece[there, k] = agenda(ids[there, k], ids[there, k + 1], start[there, k], key[there])
+        finish(np.arange(len(group)))
+
+    def _merge_one(self, text: str, bound: int, key: int) -> list[int]:
+        """The same for one word with a heap and linked symbols, so any length is affordable."""
         spaces = len(text) - len(text.lstrip(" "))
         symbols = [SPACE] * spaces + [_LITERAL if c == SPACE else c for c in text[spaces:]]
-        n = len(symbols)
-        after, before, start = list(range(1, n + 1)), list(range(-1, n - 1)), range(n)
+        costs, n = self.costs, len(symbols)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         agenda: list[tuple[float, int, int, str]] = []
-        scores = self.scores
 
         def offer(left: int, right: int) -> None:
             merged = symbols[left] + symbols[right]
-            score = scores.get(merged)
-            if score is not None:
-                heapq.heappush(agenda, (-score, left, right, merged))
+            value = costs.get(merged)
+            if value is not None and not (bound and _draw(key, left, len(merged)) < bound):
+                heapq.heappush(agenda, (value, left, right, merged))
 
         for k in range(n - 1):
             offer(k, k + 1)
-        bound = int(dropout * 65536)
         while agenda:
             _, left, right, merged = heapq.heappop(agenda)
             # Stale if either side has been merged away or has grown since.
             if not symbols[left] or not symbols[right] or after[left] != right or symbols[left] + symbols[right] != merged:
                 continue
-            if bound and _draw(key, start[left], len(merged)) < bound:
-                continue
             symbols[left], symbols[right] = merged, ""
             onward = after[left] = after[right]
             if onward < n:
@@ -90,13 +180,12 @@ class Pieces:
             if before[left] >= 0:
                 offer(before[left], left)
         out = []
-        for symbol in symbols:
-            if symbol:
-                known = self.ids.get(symbol)
-                if known is None:
-                    out += [self.bytes[b] for b in (SPACE if symbol == _LITERAL else symbol).encode("utf-8", "replace")]
-                else:
-                    out.append(known)
+        for symbol in filter(None, symbols):
+            known = self.ids.get(symbol)
+            if known is None:
+                out += [self.bytes[b] for b in (SPACE if symbol == _LITERAL else symbol).encode("utf-8", "replace")]
+            else:
+                out.append(known)
         return out
 
     def decode(self, ids: np.ndarray) -> bytes:
@@ -106,9 +195,12 @@ class Pieces:
 
 
 def _draw(key: int, place: int, length: int) -> int:
-    h = (key ^ (place * 0x9E3779B97F4A7C15 + length * 0xC2B2AE3D27D4EB4F)) & _M64
-    h = ((h ^ (h >> 31)) * 0xBF58476D1CE4E5B9) & _M64
-    return (h ^ (h >> 29)) >> 48
+    return (((key ^ (place * _PLACE + length * _LENGTH)) * _MIX) & _M64) >> 48
+
+
+def _draws(key: np.ndarray, place: np.ndarray, length: np.ndarray) -> np.ndarray:
+    u = np.uint64
+    return ((key ^ (place.astype(u) * u(_PLACE) + length * u(_LENGTH))) * u(_MIX)) >> u(48)
 
 
 @lru_cache(maxsize=4)
@@ -126,27 +218,43 @@ class Encoder:
     def _clear(self) -> None:
         self.known: list[dict[bytes, bytes]] = [{} for _ in range(VARIANTS)]
 
-    def encode(self, text: bytes, variant: int) -> bytes:
-        """Little-endian 32-bit ids of a whole text; an empty one has none."""
-        if not text:
-            return b""
+    def encode(self, texts: list[bytes], variants: list[int]) -> list[bytes]:
+        """Little-endian 32-bit ids of whole texts; an empty one has none."""
         if sum(map(len, self.known)) > CACHE_WORDS:
             self._clear()
-        spaced = b" " + text
-        known, parts, at = self.known[variant], [], 0
-        while at < len(spaced):
-            # Segments begin at the first of a run of spaces.
-            cut = spaced.find(b" ", at + CHUNK_BYTES)
-            while 0 < cut and spaced[cut - 1] == 0x20:
-                cut = spaced.find(b" ", cut + 1)
-            end = cut if cut > 0 else len(spaced)
-            words = _WORD.findall(spaced[at:end])
-            for word in set(words) - known.keys():
-                key = xxhash.xxh64_intdigest(word, self.seed * VARIANTS + variant)
-                known[word] = np.array(self.pieces.segment(word, self.dropout, key), dtype="<u4").tobytes()
-            parts += map(known.__getitem__, words)
-            at = end
-        return b"".join(parts)
+        out = [b"".join(self._parts(t, v)) for t, v in self._learned(texts, variants)]
+        return out
+
+    def _learned(self, texts: list[bytes], variants: list[int]) -> list[tuple[list[list[bytes]], int]]:
+        """The words of each text, in segments, all of them known by now."""
+        split = [(list(_segments(t)), v) for t, v in zip(texts, variants)]
+        for variant, known in enumerate(self.known):
+            new = list({w for parts, v in split if v == variant for part in parts for w in part if w not in known})
+            if new:
+                seed = self.seed * VARIANTS + variant
+                keys = np.array([xxhash.xxh64_intdigest(w, seed) for w in new], dtype=np.uint64)
+                known.update(zip(new, self.pieces.segment(new, self.dropout, keys)))
+        return split
+
+    def _parts(self, segments: list[list[bytes]], variant: int) -> Iterator[bytes]:
+        known = self.known[variant]
+        for words in segments:
+            yield b"".join(map(known.__getitem__, words))
+
+
+def _segments(text: bytes) -> Iterator[list[bytes]]:
+    """Words of a text with their leading spaces; a space is put before the first."""
+    if not text:
+        return
+    spaced, at = b" " + text, 0
+    while at < len(spaced):
+        # Segments begin at the first of a run of spaces.
+        cut = spaced.find(b" ", at + CHUNK_BYTES)
+        while 0 < cut and spaced[cut - 1] == 0x20:
+            cut = spaced.find(b" ", cut + 1)
+        end = cut if cut > 0 else len(spaced)
+        yield _WORD.findall(spaced[at:end])
+        at = end
 
 
 def encode(
@@ -167,7 +275,7 @@ def encode(
         encoder = Encoder(_pieces(model), dropout, seed)
         for part in slices(batches, "_piece_text", CHUNK_BYTES):
             variants = part["_piece_variant"].to_pylist()
-            found = [encoder.encode(t, v) for t, v in zip(byte_values(part["_piece_text"]), variants)]
+            found = encoder.encode(byte_values(part["_piece_text"]), variants)
             kept = [part["_piece_text" if n == "text" else n] for n in keep]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(found, pa.binary())], [*keep, "ids"])
 
