@@ -176,8 +176,11 @@ def fingerprint_documents(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     listed = keyed.select(*_KEY, F.char_length("text").cast("long").alias("n_chars"))
     order = stored(in_order(listed, _KEY, ("n_chars",)), "fingerprint-order")
 
-    # Each text goes by its key once; half a text at most travels on to the document before.
-    unique = keyed.select(*_KEY, "text").dropDuplicates(list(_KEY))
+    # Each text is shuffled by its key once, and half of one at most travels on to the document
+    # before; everything below shares these two exchanges.
+    unique = keyed.select(*_KEY, "text")
+    if order.count() < keyed.count():
+        unique = unique.dropDuplicates(list(_KEY))
     sent = order.select(
         F.col("next.doc_key").alias("doc_key"),
         F.col("next.text_hash").alias("text_hash"),
@@ -189,34 +192,20 @@ def fingerprint_documents(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
         F.col("to_key").alias("doc_key"), F.col("to_hash").alias("text_hash"), "need", F.expr("left(text, need)").alias("head")
     )
     edited = F.concat(F.expr("left(text, char_length(text) - need)"), F.col("head"))
-    both = unique.join(heads, list(_KEY)).select(*_KEY, "text", edited.alias("edited"))
-    sides = both.select(
-        *_KEY,
-        F.explode(
-            F.array(
-                F.struct(F.lit(0).alias("side"), F.col("text").alias("text")),
-                F.struct(F.lit(1).alias("side"), F.col("edited").alias("text")),
-            )
-        ).alias("x"),
-    ).select(*_KEY, "x.side", "x.text")
-    found = stored(votes(sides, (*_KEY, "side")), "fingerprint-votes")
-    shas = stored(both.select(*_KEY, F.sha2("edited", 256).alias("edited_sha256")), "fingerprint-edited")
-    return _assembled(keyed, order, shas, found, radius)
-
-
-def _assembled(keyed: DataFrame, order: DataFrame, shas: DataFrame, found: DataFrame, radius: int) -> DataFrame:
-    zero = F.lit(0).cast("long")
-
-    def side(k: int, high: str, low: str) -> DataFrame:
-        return found.where(F.col("side") == k).select(*_KEY, F.col("high").alias(high), F.col("low").alias(low))
-
-    prints = stored(
+    both = unique.join(heads, list(_KEY)).select(*_KEY, edited.alias("text"))
+    shas = both.select(*_KEY, F.sha2("text", 256).alias("edited_sha256"))
+    edited_votes = votes(both, _KEY).withColumnsRenamed({"high": "edited_high", "low": "edited_low"})
+    prints = (
         order.join(shas, list(_KEY))
-        .join(side(0, "high", "low"), list(_KEY), "left")
-        .join(side(1, "edited_high", "edited_low"), list(_KEY), "left")
-        .fillna(0, ["high", "low", "edited_high", "edited_low"]),
-        "fingerprint-pairs",
+        .join(votes(unique, _KEY), list(_KEY), "left")
+        .join(edited_votes, list(_KEY), "left")
+        .fillna(0, ["high", "low", "edited_high", "edited_low"])
     )
+    return _assembled(keyed, stored(prints, "fingerprint-pairs"), radius)
+
+
+def _assembled(keyed: DataFrame, prints: DataFrame, radius: int) -> DataFrame:
+    zero = F.lit(0).cast("long")
     after = prints.select(
         F.col("doc_key").alias("next_key"), F.col("text_hash").alias("next_hash"), F.col("high").alias("next_high"), F.col("low").alias("next_low")
     )
