@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,11 +22,15 @@ END_ID = 1
 CHUNK_BYTES = 4 << 20
 # Pieces one task packs together, and words whose ids one Python worker remembers.
 GROUP_PIECES = 2000
-CACHE_WORDS = 1_200_000
+CACHE_WORDS = 1_500_000
 # Bins filled less are dissolved and packed again with those of other groups.
 FULL_SHARE = 0.995
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+_LETTERS = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿ]+")
+# Byte-level alphabets write printable bytes as themselves, the others as the signs from 256 on.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_SIGNS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 _MARKS = b".,;:!?*$#%&|"
 _PLAIN = b"abcdefghijklmnopqrstuvwxyz0123456789"
 
@@ -45,8 +50,15 @@ class WordIds:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        probes = ("pro", "letters", "façade", "Übermäßig", "ñandú", "œuvre"[1:])
+        self.direct = all(self._direct(x) == self.tokenizer.encode(x, add_special_tokens=False).ids for x in probes)
         self._clear()
 
+    def _direct(self, letters: str) -> list[int]:
+        """Ids of a word of Latin letters, which the normaliser and splitter only lower-case."""
+        return [t.id for t in self.model.tokenize(letters.lower().encode().decode("latin-1").translate(_BYTE_SIGNS))]
+
     def _clear(self) -> None:
         self.known: dict[bytes, int] = {}
         self.starts = np.empty(0, dtype=np.int64)
@@ -60,16 +72,27 @@ class WordIds:
             halves.append((stem, word[len(stem) :]) if len(stem) < len(word) and stem and stem[-1] in _PLAIN else (word,))
         # Parts that are not words of the list themselves are remembered too.
         parts = list(dict.fromkeys(x for half in halves for x in half if x not in self.known))
-        ids, counts = [self.ids], []
-        for k in range(0, len(parts), 20_000):
-            texts = [w.decode("utf-8", "replace") for w in parts[k : k + 20_000]]
+        names, ids, counts, others = [], [], [], []
+        for part in parts:
+            text = part.decode("utf-8", "replace")
+            if self.direct and _LETTERS.fullmatch(text):
+                found = self._direct(text)
+                names.append(part)
+                ids += found
+                counts.append(len(found))
+            else:
+                others.append((part, text))
+        for k in range(0, len(others), 20_000):
+            batch, texts = zip(*others[k : k + 20_000])
             encoded = self.tokenizer.encode("\n".join(texts), add_special_tokens=False)
             begin = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
             places = np.array([o[0] for o in encoded.offsets], dtype=np.int64)
-            counts.append(np.bincount(np.searchsorted(begin, places, side="right") - 1, minlength=len(texts)))
-            ids.append(np.array(encoded.ids, dtype=np.uint32))
-        lengths = np.concatenate(counts).astype(np.int64) if counts else np.empty(0, dtype=np.int64)
-        self._add(parts, np.concatenate(ids), len(self.ids) + np.cumsum(lengths) - lengths, lengths)
+            counts += np.bincount(np.searchsorted(begin, places, side="right") - 1, minlength=len(texts)).tolist()
+            names += batch
+            ids += encoded.ids
+        lengths = np.array(counts, dtype=np.int64)
+        every = np.concatenate([self.ids, np.array(ids, dtype=np.uint32)])
+        self._add(names, every, len(self.ids) + np.cumsum(lengths) - lengths, lengths)
         joined = [(w, self.known[h[0]], self.known[h[1]]) for w, h in zip(words, halves) if len(h) == 2]
         if joined:
             names, first, second = zip(*joined)
