@@ -22,7 +22,7 @@ END_ID = 1
 CHUNK_BYTES = 4 << 20
 # Pieces one task packs together, and words whose ids one Python worker remembers.
 GROUP_PIECES = 2000
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 1_300_000
 # Bins filled less are dissolved and packed again with those of other groups.
 FULL_SHARE = 0.995
 
@@ -73,7 +73,15 @@ class WordIds:
         # Parts that are not words of the list themselves are remembered too.
         parts = list(dict.fromkeys(x for half in halves for x in half if x not in self.known))
         names, ids, counts, others = [], [], [], []
+        tokenize = self.model.tokenize
         for part in parts:
+            if self.direct and part.isalpha() and part.islower():
+                # ASCII letters are their own signs.
+                found = [t.id for t in tokenize(part.decode())]
+                names.append(part)
+                ids += found
+                counts.append(len(found))
+                continue
             text = part.decode("utf-8", "replace")
             if self.direct and _LETTERS.fullmatch(text):
                 found = self._direct(text)
@@ -119,13 +127,15 @@ class WordIds:
         ends = np.flatnonzero(buffer == 0x20)
         begin = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
         words = [raw[a:b] for a, b in zip(begin[first].tolist(), ends[first].tolist())]
-        new = [w for w in words if w not in self.known]
-        if new:
+        places = list(map(self.known.get, words))
+        if None in places:
+            new = [w for w, place in zip(words, places) if place is None]
             if len(self.known) + len(new) > CACHE_WORDS:
                 self._clear()
-                new = words
+                new, places = words, [None] * len(words)
             self._learn(new)
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))[which]
+            places = [self.known[w] if place is None else place for w, place in zip(words, places)]
+        at = np.array(places, dtype=np.int64)[which]
         lengths = self.lengths[at]
         ids = self.ids[ragged(self.starts[at], lengths)]
         ends_of = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(counts)]
@@ -189,19 +199,19 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def improve(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
+def improve(bins: list[list[int]], lengths: list[int], capacity: int, spare: int = 0) -> list[list[int]]:
     """Swap-based local search over underfull bins.
 
     The emptiest bin gives to the others whatever raises the sum of squared fills most: a
     document moves, one is exchanged for a shorter one, or two for one. Every step raises
     that sum and so the search ends; a bin that runs empty is gone. It stops at the least
-    possible number of bins.
+    possible number of bins, plus ``spare``.
     """
     fill = [sum(lengths[k] for k in b) for b in bins]
     least = -(-sum(fill) // capacity)
     alive = {b for b in range(len(bins)) if bins[b]}
     settled: set[int] = set()
-    while len(alive) > least:
+    while len(alive) > least + spare:
         open_bins = [b for b in alive - settled if fill[b] < capacity]
         if not open_bins:
             break
@@ -257,7 +267,8 @@ def _group_packer(round_: int, last: bool, capacity: int):
     def pack_group(key, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["length", "key"], ascending=False, kind="stable")
         lengths = frame["length"].tolist()
-        bins = improve(best_fit(lengths, capacity), lengths, capacity)
+        # One spare bin is as good as none before the last round: it is dissolved for the next.
+        bins = improve(best_fit(lengths, capacity), lengths, capacity, spare=0 if last else 1)
         item = np.array([x for b in bins for x in b], dtype=np.int64)
         sizes = frame["length"].to_numpy()[item]
         ends = np.cumsum(sizes)
