@@ -221,6 +221,7 @@ def improve(bins: list[list[int]], lengths: list[int], capacity: int, spare: int
             step = _best_step(source, others, bins, fill, lengths, capacity)
             if step is None:
                 break
+            settled.clear()  # a change elsewhere may let a settled bin give again
             target, given, taken = step
             for k in given:
                 bins[source].remove(k)
@@ -264,7 +265,7 @@ def _best_step(source, others, bins, fill, lengths, capacity):
 def _group_packer(round_: int, last: bool, capacity: int):
     """Packs one group: places of its pieces, and whether their bins are settled."""
 
-    def pack_group(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def pack_group(key, frame):
         frame = frame.sort_values(["length", "key"], ascending=False, kind="stable")
         lengths = frame["length"].tolist()
         # One spare bin is as good as none before the last round: it is dissolved for the next.
