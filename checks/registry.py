@@ -97,7 +97,7 @@ def _converted(m: StarModels, directions: tuple[str, ...], **options) -> tuple[J
         **options,
     )
     for direction in (EXPORT, IMPORT):
-        m.land(config.landing_root, direction, "CO_ANO", "CO_MES", "VL_FOB")
+        m.land(config.landing_root, direction)
     return config, ingest.convert(m.spark, config)
 
 
@@ -111,11 +111,6 @@ def ingest_select(m):
     )
 
 
-@query
-def ingest_report(m):
-    return _converted(m, (EXPORT, IMPORT), code_tables=False)[1]
-
-
 @query
 def ingest_report_rows(m):
     """The part of the conversion report that does not depend on file sizes."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from dataclasses import dataclass, field
@@ -22,7 +24,8 @@ class JobConfig:
     """Parameters of one batch run; every root may be any URI Spark can resolve.
 
     ``file_years`` limits which year files are converted, ``first_year`` and
-    ``last_year`` bound (inclusively) the rows the models keep.
+    ``last_year`` bound (inclusively) the rows the models keep. A run refuses to build without a file of
+    every year, direction and code table unless ``allow_missing``.
     """
 
     landing_root: str
@@ -34,6 +37,7 @@ class JobConfig:
     code_tables: bool = True
     force: bool = True
     fail_fast: bool = True
+    allow_missing: bool = False
     layout: "Layout" = field(init=False)
 
     def __post_init__(self) -> None:
@@ -70,11 +74,16 @@ class Layout:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder every executor can reach, below ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting; it gets a temporary folder.
+    Only a local session may go without that setting; it gets a temporary folder
+    that goes when the process ends.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/fairlead/{label}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return f"{tempfile.mkdtemp(prefix='fairlead-')}/{label}"
+    if not shared:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        shared = tempfile.mkdtemp(prefix="fairlead-")
+        # Executors of a local session are its driver; one folder serves the whole session.
+        spark.conf.set("spark.checkpoint.dir", shared)
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
+    return f"{shared.rstrip('/')}/fairlead/{label}-{uuid.uuid4().hex}"

@@ -7,16 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fairlead.config import scratch_dir
 from fairlead.functions.codes import share
 
-# Largest group one task may sort: a few hundred megabytes of aggregated rows.
-WINDOW_GROUP_ROWS = 5_000_000
-
-# Bands per unit of the natural logarithm: neighbouring bands differ by about 0.1%.
-BANDS_PER_LOG_UNIT = 1024
-NULL_BAND = -1_000_000
-
-
 def share_and_rank_small(
     df: DataFrame, keys: Sequence[str], value: str, share_as: str, rank_as: str
 ) -> DataFrame:
@@ -32,90 +25,57 @@ def share_and_rank_small(
     )
 
 
-def share_and_rank(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    share_as: str,
-    rank_as: str,
-    payload: str,
-    largest_group: int | None = None,
-) -> DataFrame:
-    """Window form when the largest group was counted and is small, else the banded one."""
-    if largest_group is not None and largest_group <= WINDOW_GROUP_ROWS:
-        return share_and_rank_small(df, keys, value, share_as, rank_as)
-    return share_and_rank_large(df, keys, value, share_as, rank_as, payload)
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest group; runs a job."""
-    return df.groupBy(*keys).count().agg(F.expr("coalesce(max(count), 0)")).first()[0]
-
+def share_and_rank(df: DataFrame, keys: Sequence[str], value: str, share_as: str, rank_as: str) -> DataFrame:
+    """Share and rank for groups of any size; no task holds a whole group.
 
-def share_and_rank_large(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    share_as: str,
-    rank_as: str,
-    payload: str,
-) -> DataFrame:
-    """Same result for groups of any size; no task ever holds a whole group.
-
-    Share and rank depend on a row only through its group and value, so they are
-    worked out once per distinct value and joined back:
+    Both depend on a row only through its group and value, so they are worked out once per
+    distinct value and joined back:
 
-    * rows are counted per (group, value); ties collapse before the shuffle;
-    * values fall into bands by a monotone function of the value alone. A band table
-      (at most about 75,000 rows per group, whatever the data size) yields the group
-      total and the number of rows in higher bands;
-    * a window inside one (group, band) adds the rows ahead within that band.
+    * ``df`` is stored, so that it is computed once; rows are counted per (group, value), and
+      ties collapse before the shuffle;
+    * the distinct values are range-partitioned by group and falling value into a stored
+      table that keeps the partition's number. Values that lie close together, in whatever
+      numbers, are split like any others;
+    * a partition sums its own rows ahead; those of earlier partitions, one number per
+      partition and group, are added.
 
-    A NULL value ranks last, as in the window form. ``keys`` must not be NULL (a row with
-    a NULL key is kept, but gets neither share nor rank); a caller that knows so says it
-    with a filter, or the joins add one to only some branches and nothing is shared.
-
-    ``df`` is read again for the join back, and the counts again for the bands. Branches
-    that need the same columns plan the same shuffle and Spark runs it once
-    (ReusedExchange). ``payload`` names the other measure of ``df``: the counts include
-    it only so that they need the columns the join back needs.
+    A NULL value ranks last and NaN first; the total adds the partitions' sums in their
+    order, so NaN makes every share of its group NaN. A row with a NULL key is kept, but gets
+    neither share nor rank.
     """
-    group = ", ".join(keys)
-    levels = (
-        df.groupBy(*keys, F.expr(f"{value} AS _value"))
-        # The row count, stated so that this branch reads the payload too (see above).
-        .agg(F.expr(f"greatest(count(1), count({payload})) AS _rows"))
-        # Monotone in the value; NULL gets the lowest band.
-        .selectExpr(
-            "*",
-            f"ifnull(int(signum(_value) * floor(log1p(abs(_value)) * {BANDS_PER_LOG_UNIT})), "
-            f"{NULL_BAND}) AS _band",
-        )
+    spark = df.sparkSession
+    rows = _stored(df, "ranked-rows")
+    levels = rows.groupBy(*keys, F.col(value).alias("_value")).agg(F.expr("count(1) AS _rows"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [*[F.col(k) for k in keys], F.desc_nulls_last("_value")]
+    ranged = _stored(
+        levels.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), "ranked-values"
     )
-    bands = (
-        levels.groupBy(*keys, "_band")
-        .agg(F.expr("sum(_rows) AS _band_rows"), F.expr("sum(_value * _rows) AS _band_total"))
-        .selectExpr(
-            *[f"{key} AS _b_{key}" for key in keys],
-            "_band AS _b_band",
-            f"coalesce(sum(_band_rows) OVER (PARTITION BY {group} ORDER BY _band DESC "
-            "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _ahead",
-            f"sum(_band_total) OVER (PARTITION BY {group}) AS _total",
-        )
+    group = f"PARTITION BY {', '.join(keys)}"
+    sums = ranged.groupBy(*keys, "_part").agg(F.expr("sum(_rows) AS _part_rows"), F.expr("sum(_value * _rows) AS _part_total"))
+    # One row per group and partition: bounded by the number of partitions.
+    ahead = sums.selectExpr(
+        *[f"{key} AS _b_{key}" for key in keys],
+        "_part AS _b_part",
+        f"coalesce(sum(_part_rows) OVER ({group} ORDER BY _part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _ahead",
+        f"sum(_part_total) OVER ({group} ORDER BY _part ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS _total",
     )
-    rows_ahead_in_band = (
-        f"sum(_rows) OVER (PARTITION BY {group}, _band ORDER BY _value DESC NULLS LAST "
-        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    inside = (
+        f"sum(_rows) OVER ({group}, _part ORDER BY _value DESC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     )
-    placed = levels.join(bands, _equal(keys, "_b_", "_band = _b_band"), "inner").selectExpr(
+    placed = ranged.join(ahead, _equal(keys, "_b_", "_part = _b_part"), "inner").selectExpr(
         *[f"{key} AS _v_{key}" for key in keys],
         "_value",
         f"{share('_value', '_total')} AS {share_as}",
-        f"1 + _ahead + coalesce({rows_ahead_in_band}, 0) AS {rank_as}",
-    )
-    return df.join(placed, _equal(keys, "_v_", f"{value} <=> _value"), "left").select(
-        *df.columns, share_as, rank_as
+        f"1 + _ahead + coalesce({inside}, 0) AS {rank_as}",
     )
+    return rows.join(placed, _equal(keys, "_v_", f"{value} <=> _value"), "left").select(*df.columns, share_as, rank_as)
+
+
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _equal(keys: Sequence[str], prefix: str, last: str):

@@ -12,26 +12,32 @@ from fairlead.config import JobConfig
 from fairlead.jobs import side_by_side
 from fairlead.schemas import CODE_TABLES, RAW_TRADE
 from fairlead.sources import landing
-from fairlead.sources.files import SOURCE, read_code_csv, read_trade_csv
+from fairlead.sources.files import SOURCE, MissingColumns, read_code_csv, read_trade_csv
 
 OK = "OK"
 SKIPPED = "SKIPPED"
 FAILED = "FAILED"
 
 # What a failed Spark job raises: not every JVM error has a Python class.
-JOB_FAILURES = (PySparkException, Py4JJavaError)
+JOB_FAILURES = (PySparkException, Py4JJavaError, MissingColumns)
 
 
 def convert(spark: SparkSession, config: JobConfig) -> DataFrame:
     """Convert the selected files; return one report row per file.
 
     Without ``force`` a file already converted is skipped; with it, its partition is
-    replaced and other years stay. A file that cannot be parsed is reported as FAILED
-    and leaves nothing behind; the others are converted.
+    replaced and other years stay. A file that cannot be parsed, or lacks a column of the
+    contract, is reported as FAILED and leaves nothing behind; the others are converted. Two
+    files of one label stop the conversion before anything is written.
     """
     outcome: dict[str, str] = {}
     landed = landing.inventory(spark, config.landing_root)
-    datasets = {row[SOURCE]: row["conjunto"] for row in landed.collect()}
+    datasets: dict[str, str] = {}
+    for row in landed.collect():
+        if row[SOURCE] in datasets:
+            # Reading one of them would lose the other's rows; reading both could double them.
+            raise ValueError(f"{row[SOURCE]} landed twice: {datasets[row[SOURCE]]} and {row['conjunto']}")
+        datasets[row[SOURCE]] = row["conjunto"]
     for direction in config.directions:
         outcome |= _convert_direction(spark, config, direction, datasets)
     if config.code_tables:

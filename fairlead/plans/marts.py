@@ -79,31 +79,22 @@ def with_product_names(totals: DataFrame, products: DataFrame) -> DataFrame:
 PRODUCT_GROUP = ("ano", "direcao")
 
 
-def with_product_rank(totals: DataFrame, largest_group: int | None = None) -> DataFrame:
-    # Years passed a range filter and directions are constants: neither is NULL.
-    keyed = totals.where("ano IS NOT NULL AND direcao IS NOT NULL")
-    return share_and_rank(
-        keyed,
-        PRODUCT_GROUP,
-        "vl_fob_usd",
-        "share_direcao_ano",
-        "rank_ano_direcao",
-        payload="kg_liquido",
-        largest_group=largest_group,
-    )
+def with_product_rank(totals: DataFrame) -> DataFrame:
+    return share_and_rank(totals, PRODUCT_GROUP, "vl_fob_usd", "share_direcao_ano", "rank_ano_direcao")
+
+
+def top_products(trade: DataFrame, products: DataFrame) -> DataFrame:
+    """Products per year and direction with names, share and rank."""
+    return named_top_products(product_totals(trade), products)
 
 
-def top_products(
-    trade: DataFrame, products: DataFrame, largest_group: int | None = None
-) -> DataFrame:
-    """Products per year and direction with names, share and rank.
+def named_top_products(totals: DataFrame, products: DataFrame) -> DataFrame:
+    """The same from ``product_totals``.
 
-    ``largest_group`` is the number of products of the largest year and direction, if
-    known. Share and rank come before the names; the unique test on the dimension keeps
-    a repeated product from repeating rows.
+    Share and rank come before the names; the unique test on the dimension keeps a repeated
+    product from repeating rows.
     """
-    ranked = with_product_rank(product_totals(trade), largest_group)
-    return with_product_names(ranked, products).select(
+    return with_product_names(with_product_rank(totals), products).select(
         "ano",
         "direcao",
         "co_ncm",

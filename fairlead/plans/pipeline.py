@@ -12,13 +12,15 @@ from fairlead import sinks
 from fairlead.config import JobConfig, Layout
 from fairlead.jobs import side_by_side
 from fairlead.operators import filters
-from fairlead.operators.ranking import largest_group
 from fairlead.plans import core, ingest, marts, quality, staging
 from fairlead.schemas import CODE_TABLES, DIRECTIONS, EXPORT, IMPORT, RAW_TRADE, TRADE, conform
 from fairlead.sources import landing
 
 def run(spark: SparkSession, config: JobConfig) -> DataFrame:
     """Convert the landing zone and build the warehouse; return the quality report."""
+    absent = missing_files(spark, config)
+    if absent and not config.allow_missing:
+        raise RuntimeError(f"files not landed: {', '.join(absent)}")
     results = ingest.convert(spark, config)
     failed = [row[0] for row in results.where(F.col("status") == ingest.FAILED).select("arquivo").collect()]
     if failed:
@@ -26,6 +28,14 @@ def run(spark: SparkSession, config: JobConfig) -> DataFrame:
     return build(spark, config, stored_raw(spark, config.layout))
 
 
+def missing_files(spark: SparkSession, config: JobConfig) -> list[str]:
+    """Expected files that the landing zone lacks: chosen years, directions and code tables."""
+    years = config.file_years or range(config.first_year, config.last_year + 1)
+    wanted = landing.expected(spark, years, config.directions, config.code_tables)
+    absent = landing.missing(wanted, landing.inventory(spark, config.landing_root))
+    return sorted(row[0] for row in absent.select("arquivo").collect())
+
+
 def stored_raw(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     """The converted tables. A direction never converted is an empty table."""
     raw = {}
@@ -90,9 +100,8 @@ def build(
     trade, products = models["core_comercio"], models["core_produtos"]
     totals = _stored_totals(spark, layout, trade)
     states, product_years = totals["estado_mes"], totals["produto_ano"]
-    largest = largest_group(product_years, marts.PRODUCT_GROUP)
     plans: dict[str, Callable[[], DataFrame]] = {
-        "mart_top_produtos": lambda: marts.top_products(product_years, products, largest),
+        "mart_top_produtos": lambda: marts.named_top_products(product_years, products),
         "mart_blocos_economicos": lambda: marts.economic_blocs(trade, models["stg_blocos"]),
         "mart_balanca_comercial": lambda: marts.trade_balance(states),
         "mart_exportacoes_por_estado": lambda: marts.exports_by_state(states),
@@ -111,7 +120,7 @@ def build(
 
 def _stored_totals(spark: SparkSession, layout: Layout, trade: DataFrame) -> dict[str, DataFrame]:
     """Totals several plans read, written once: the state marts share one scan of the
-    fact, and the products of a year can be counted before choosing how to rank them."""
+    fact, and so do share, rank and names of the products."""
     plans = {"estado_mes": marts.state_months, "produto_ano": marts.product_totals}
 
     def write(name: str) -> None:

@@ -24,19 +24,27 @@ CSV_FORMAT = {
 SOURCE = "arquivo"
 
 
+class MissingColumns(ValueError):
+    """A published file without a column of its contract."""
+
+
 def read_trade_csv(spark: SparkSession, paths: Iterable[str], direction: str) -> DataFrame:
     """Raw trade rows of CSV files, typed, with their ``SOURCE``.
 
     The reader matches a given schema by position, so files are grouped by header and
     each group gets a schema in its own column order; ``enforceSchema=false`` makes a
     header that differs inside a group an error instead of swapped data. There is one
-    scan per distinct header, not per file. A malformed row or number fails the read.
+    scan per distinct header, not per file. A malformed row or number fails the read, and so
+    does a header without a column of the contract.
     """
     schema = RAW_TRADE[direction]
     types = {f.name: f.dataType for f in schema.fields}
     by_header: dict[tuple[str, ...], list[str]] = {}
     for path in paths:
         header = spark.read.options(**CSV_FORMAT).csv(path).columns
+        lacking = [name for name in schema.names if name not in header]
+        if lacking:
+            raise MissingColumns(f"{path} lacks {', '.join(lacking)}")
         by_header.setdefault(tuple(header), []).append(path)
     if not by_header:
         raise ValueError(f"no {direction} files to read")

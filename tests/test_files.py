@@ -8,7 +8,7 @@ from fairlead import sinks
 from fairlead.plans.ingest import JOB_FAILURES
 from fairlead.schemas import RAW_EXPORTS
 from fairlead.sources import landing
-from fairlead.sources.files import SOURCE, read_code_csv, read_parquet_by_name, read_trade_csv
+from fairlead.sources.files import SOURCE, MissingColumns, read_code_csv, read_parquet_by_name, read_trade_csv
 
 HEADER = '"CO_ANO";"CO_MES";"CO_NCM";"CO_UNID";"CO_PAIS";"SG_UF_NCM";"CO_VIA";"CO_URF";"QT_ESTAT";"KG_LIQUIDO";"VL_FOB"'
 
@@ -33,15 +33,23 @@ def test_codes_keep_zeros_and_empty_fields_are_null(spark, tmp_path):
 
 
 def test_headers_in_another_order_are_read_by_name(spark, tmp_path):
-    first = write(tmp_path / "EXP_2020.csv", '"CO_ANO";"VL_FOB";"QT_ESTAT"', '"2020";1;2')
-    second = write(tmp_path / "EXP_2021.csv", '"QT_ESTAT";"CO_ANO";"VL_FOB"', '4;"2021";3')
+    names = HEADER.split(";")
+    values = ['"2020"', '"04"', '"1"', '"11"', '"049"', '"SP"', '"01"', '"08"', "2", "9", "1"]
+    first = write(tmp_path / "EXP_2020.csv", HEADER, ";".join(values))
+    second = write(tmp_path / "EXP_2021.csv", ";".join(reversed(names)), ";".join(reversed(['"2021"', *values[1:8], "4", "9", "3"])))
     rows = read_trade_csv(spark, [first, second], "EXP")
     assert rows_of(rows, "CO_ANO", "VL_FOB", "QT_ESTAT", "CO_NCM", SOURCE) == [
-        ("2020", 1, 2, None, "EXP_2020"),
-        ("2021", 3, 4, None, "EXP_2021"),
+        ("2020", 1, 2, "1", "EXP_2020"),
+        ("2021", 3, 4, "1", "EXP_2021"),
     ]
 
 
+def test_a_header_without_a_contract_column_fails(spark, tmp_path):
+    path = write(tmp_path / "EXP_2020.csv", HEADER.replace("VL_FOB", "vl_fob"), '"2020";"04";"1";"11";"049";"SP";"01";"08";1;2;3')
+    with pytest.raises(MissingColumns, match="lacks VL_FOB"):
+        read_trade_csv(spark, [path], "EXP")
+
+
 def test_accents_separators_and_quotes_in_code_tables(spark, tmp_path):
     path = write(tmp_path / "UF.csv", '"CO_UF";"NO_UF"', '"01";"Rondônia; ""norte"""')
     assert rows_of(read_code_csv(spark, path)) == [("01", 'Rondônia; "norte"')]
@@ -49,7 +57,7 @@ def test_accents_separators_and_quotes_in_code_tables(spark, tmp_path):
 
 @pytest.mark.parametrize("number", ["abc", "12.5"])
 def test_text_in_a_number_fails_the_read(spark, tmp_path, number):
-    path = write(tmp_path / "EXP_2020.csv", '"CO_ANO";"VL_FOB"', f'"2020";{number}')
+    path = write(tmp_path / "EXP_2020.csv", HEADER, f'"2020";"04";"1";"11";"049";"SP";"01";"08";1;2;{number}')
     with pytest.raises(JOB_FAILURES, match="Malformed records"):
         read_trade_csv(spark, [path], "EXP").collect()
 

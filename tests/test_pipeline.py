@@ -46,7 +46,7 @@ def config(tmp_path):
     put(landing / "imp" / "IMP_2020.csv", IMPORT_HEADER, export(2020, 30, state="RO") + ";5;")
     for name, lines in CODE_FILES.items():
         put(landing / "aux" / f"{name}.csv", *lines)
-    return JobConfig(str(landing), str(tmp_path / "warehouse"))
+    return JobConfig(str(landing), str(tmp_path / "warehouse"), allow_missing=True)
 
 
 def statuses(report):
@@ -179,7 +179,7 @@ def test_failed_test_stops_the_build_before_the_next_layer(spark, config, tmp_pa
     assert str(failure.value) == "stg_vias.co_via not_null: 1; stg_vias.co_via unique: 1"
     assert not pipeline.warehouse_exists(spark, config.layout)
 
-    lenient = JobConfig(config.landing_root, config.warehouse_root, fail_fast=False)
+    lenient = JobConfig(config.landing_root, config.warehouse_root, fail_fast=False, allow_missing=True)
     report = pipeline.run(spark, lenient)
     assert rows_of(report.where("status = 'fail'"), "model", "test") == [
         ("stg_vias", "not_null"),
@@ -188,7 +188,7 @@ def test_failed_test_stops_the_build_before_the_next_layer(spark, config, tmp_pa
 
 
 def test_run_without_any_file_of_a_direction(spark, config, tmp_path):
-    only_exports = JobConfig(config.landing_root, str(tmp_path / "other"), directions=("EXP",))
+    only_exports = JobConfig(config.landing_root, str(tmp_path / "other"), directions=("EXP",), allow_missing=True)
     pipeline.run(spark, only_exports)
     balance = pipeline.stored_marts(spark, only_exports.layout)["mart_balanca_comercial"]
     assert rows_of(balance.selectExpr("sum(vl_imp_fob_usd)")) == [(0.0,)]
@@ -203,3 +203,22 @@ def test_config_refuses_nonsense():
 
 def test_scratch_space_lies_in_the_shared_folder(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_run_refuses_missing_files(spark, config, tmp_path):
+    strict = JobConfig(config.landing_root, str(tmp_path / "strict"), first_year=2020, last_year=2021)
+    assert pipeline.missing_files(spark, strict) == ["IMP_2021"]
+    with pytest.raises(RuntimeError, match="IMP_2021"):
+        pipeline.run(spark, strict)
+
+
+def test_a_label_landed_twice_stops_the_conversion(spark, config, tmp_path):
+    put(tmp_path / "landing" / "more" / "EXP_2020.csv", EXPORT_HEADER, export(2020, 7))
+    with pytest.raises(ValueError, match="EXP_2020 landed twice"):
+        ingest.convert(spark, config)
+
+
+def test_a_renamed_column_fails_its_file_only(spark, config, tmp_path):
+    put(tmp_path / "landing" / "imp" / "IMP_2021.csv", IMPORT_HEADER.replace("VL_FRETE", "vl_frete"), export(2021, 1) + ";1;1")
+    found = statuses(ingest.convert(spark, config))
+    assert found["IMP_2021"] == ingest.FAILED and found["IMP_2020"] == ingest.OK

@@ -3,9 +3,9 @@
 import random
 
 from frames import rows_of, table, trade
+from pyspark.sql import functions as F
 
-from fairlead.operators import ranking
-from fairlead.operators.ranking import share_and_rank_large, share_and_rank_small
+from fairlead.operators.ranking import share_and_rank, share_and_rank_small
 from fairlead.plans import marts
 from fairlead.schemas import TRADE
 
@@ -16,7 +16,7 @@ KEYS = ["ano", "direcao"]
 def both(df):
     return [
         rows_of(share_and_rank_small(df, KEYS, "v", "peso", "posicao")),
-        rows_of(share_and_rank_large(df, KEYS, "v", "peso", "posicao", payload="kg")),
+        rows_of(share_and_rank(df, KEYS, "v", "peso", "posicao")),
     ]
 
 
@@ -31,22 +31,40 @@ def test_same_as_windows_on_ties_nulls_signs_and_a_hot_group(spark):
         else:
             value = pick.choice(values + [float(pick.randint(-(10**6), 10**9))])
             rows.append((2020 + i % 2, pick.choice(["EXP", "IMP"]), str(i), value, pick.choice([None, 3])))
-    windows, banded = both(table(spark, COLUMNS, *rows))
-    assert banded == windows
+    windows, ranged = both(table(spark, COLUMNS, *rows))
+    assert ranged == windows
 
 
 def test_zero_total_has_no_share(spark):
-    windows, banded = both(
+    windows, ranged = both(
         table(spark, COLUMNS, (2020, "EXP", "a", 2.0, 1), (2020, "EXP", "b", -2.0, 1), (2021, "EXP", "c", None, 1))
     )
-    assert banded == windows
-    assert {row[5] for row in banded} == {None}
+    assert ranged == windows
+    assert {row[5] for row in ranged} == {None}
 
 
 def test_neighbouring_values_are_told_apart(spark):
     rows = [(2020, "EXP", str(i), 10.0**12 + i, 1) for i in range(500)]
-    windows, banded = both(table(spark, COLUMNS, *rows))
-    assert banded == windows
+    windows, ranged = both(table(spark, COLUMNS, *rows))
+    assert ranged == windows
+
+
+def test_fractions_and_nan_rank_like_the_window(spark):
+    rows = [(2020, "EXP", str(i), i / 7, 1) for i in range(400)] + [(2021, "EXP", "n", float("nan"), 1), (2021, "EXP", "m", 1.0, 1)]
+    df = table(spark, COLUMNS, *rows)
+    small = share_and_rank_small(df, KEYS, "v", "peso", "posicao").select("ano", "item", "posicao")
+    large = share_and_rank(df, KEYS, "v", "peso", "posicao").select("ano", "item", "posicao")
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+
+
+def test_no_task_sorts_a_group_of_neighbouring_values(spark):
+    df = spark.range(200_000).selectExpr("2020 AS ano", "'EXP' AS direcao", "string(id) AS item", "1e12D + id AS v", "1 AS kg")
+    values = df.selectExpr("ano", "direcao", "v AS _value", "bigint(1) AS _rows")
+    parts = values.repartitionByRange(8, "ano", "direcao", F.desc_nulls_last("_value"))
+    largest = parts.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert largest < 2 * 200_000 / 8
+    ranked = share_and_rank(df, KEYS, "v", "peso", "posicao")
+    assert ranked.where("posicao <> 200000 - bigint(item)").isEmpty()
 
 
 def test_stored_fact_is_scanned_once(spark, tmp_path):
@@ -55,22 +73,7 @@ def test_stored_fact_is_scanned_once(spark, tmp_path):
     trade(spark, *rows).write.partitionBy("direcao", "ano").parquet(path)
     fact = spark.read.schema(TRADE).parquet(path)
     ranked = marts.with_product_rank(marts.product_totals(fact))
-    assert ranked.count() == 50
-    ranked.collect()
-    final = ranked._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert final.count("FileScan") == 1
-    assert final.count("ReusedExchange") == 2
-
-
-def test_counted_small_groups_use_windows_and_others_do_not(spark):
-    rows = [(2020, "EXP", str(i), float(i), 1) for i in range(9)] + [(2021, "EXP", "x", 1.0, 1)]
-    df = table(spark, COLUMNS, *rows)
-    assert ranking.largest_group(df, KEYS) == 9
-
-    def joins(largest):
-        ranked = ranking.share_and_rank(df, KEYS, "v", "peso", "posicao", "kg", largest)
-        return "Join" in ranked._jdf.queryExecution().optimizedPlan().toString()
-
-    assert not joins(9)
-    assert joins(ranking.WINDOW_GROUP_ROWS + 1)
-    assert joins(None)
+    for columns in (["*"], ["rank_ano_direcao"]):
+        chosen = ranked.select(*columns)
+        assert chosen.count() == 50
+        assert path not in chosen._jdf.queryExecution().executedPlan().toString()
