@@ -289,6 +289,30 @@ def _check(model: str, column: str, test: str, severity: str, failures: str) ->
     )
 
 
+# Codes as the Parquet tables of the fixture hold them.
+_STORED_CODES = (
+    'CAST("CO_NCM" AS BIGINT) AS "CO_NCM", CAST("CO_PAIS" AS INTEGER) AS "CO_PAIS", CAST("CO_URF" AS BIGINT) AS "CO_URF"'
+)
+
+
+def _converted_files() -> str:
+    """Rows and columns of every published file, counted from what it holds."""
+    width = "CAST(len(json_keys(to_json(any_value(t)))) AS INTEGER) AS colunas"
+    files = [
+        f"SELECT '{direction}_' || \"CO_ANO\" AS arquivo, count(*) AS linhas, {width} "
+        f"FROM raw_{direction.lower()} t GROUP BY \"CO_ANO\""
+        for direction in ("EXP", "IMP")
+    ]
+    files += [f"SELECT '{name}', count(*), {width} FROM ({_STATEMENTS[f'scan_aux_{name.lower()}']}) t" for name in _CODE_FILES]
+    return (
+        "SELECT *, true AS tem_csv, true AS tem_razao, 'OK' AS status, CAST(NULL AS VARCHAR) AS motivo "
+        f"FROM ({' UNION ALL '.join(files)})"
+    )
+
+
+_CODE_FILES = ("NCM", "NCM_SH", "PAIS", "PAIS_BLOCO", "UF", "VIA", "URF")
+
+
 def _years(direction: str) -> str:
     return f"SELECT DISTINCT '{direction}_' || \"CO_ANO\" AS arquivo FROM raw_{direction.lower()}"
 
@@ -297,20 +321,29 @@ _STATEMENTS = {
     # Sources and sinks
     "scan_exports_csv": "SELECT * FROM raw_exp",
     "scan_imports_csv": "SELECT * FROM raw_imp",
-    "scan_aux_csv": """
+    "scan_aux_ncm": """
 SELECT CAST(p_partkey AS VARCHAR) AS "CO_NCM", CAST(p_size AS VARCHAR) AS "CO_SH6",
        CAST(p_size AS VARCHAR) AS "CO_UNID", p_name AS "NO_NCM_POR" FROM ncm""",
+    "scan_aux_ncm_sh": """
+SELECT CAST(sh6 AS VARCHAR) AS "CO_SH6", CAST(sh4 AS VARCHAR) AS "CO_SH4", CAST(sh2 AS VARCHAR) AS "CO_SH2",
+       'SH6 ' || sh6 AS "NO_SH6_POR", 'SH4 ' || sh4 AS "NO_SH4_POR", 'SH2 ' || sh2 AS "NO_SH2_POR" FROM ncm_sh""",
+    "scan_aux_pais": """
+SELECT CAST(n_nationkey AS VARCHAR) AS "CO_PAIS", CAST(n_nationkey AS VARCHAR) AS "CO_PAIS_ISON3",
+       co_pais_isoa3 AS "CO_PAIS_ISOA3", no_pais AS "NO_PAIS", no_pais_en AS "NO_PAIS_ING",
+       no_pais_es AS "NO_PAIS_ESP" FROM nation JOIN countries ON CAST(co_pais AS INTEGER) = n_nationkey""",
+    "scan_aux_pais_bloco": """
+SELECT CAST(CAST(co_pais AS INTEGER) AS VARCHAR) AS "CO_PAIS", co_bloco AS "CO_BLOCO", no_bloco AS "NO_BLOCO"
+FROM blocs""",
+    "scan_aux_uf": """
+SELECT sg_uf AS "SG_UF", co_uf AS "CO_UF", no_uf AS "NO_UF", no_regiao AS "NO_REGIAO" FROM states""",
+    "scan_aux_via": 'SELECT co_via AS "CO_VIA", no_via AS "NO_VIA" FROM modes',
+    "scan_aux_urf": 'SELECT CAST(s_suppkey AS VARCHAR) AS "CO_URF", s_name AS "NO_URF" FROM supplier',
     "scan_union_by_name": """
 SELECT * REPLACE (CASE WHEN CAST("CO_ANO" AS INTEGER) >= 1998 THEN "CO_VIA" END AS "CO_VIA")
 FROM raw_exp""",
     "ingest_select": """
 SELECT 'IMP_' || "CO_ANO" AS arquivo, count(*) AS linhas, CAST(sum("VL_FOB") AS BIGINT) AS vl_fob
 FROM raw_imp WHERE "CO_ANO" IN ('1997', '1998') GROUP BY ALL""",
-    "ingest_report_rows": """
-SELECT 'EXP_' || "CO_ANO" AS arquivo, count(*) AS linhas, 11 AS colunas, true AS tem_csv,
-       true AS tem_razao, 'OK' AS status FROM raw_exp GROUP BY "CO_ANO"
-UNION ALL
-SELECT 'IMP_' || "CO_ANO", count(*), 13, true, true, 'OK' FROM raw_imp GROUP BY "CO_ANO\"""",
     "landing_missing": f"""
 SELECT arquivo FROM (
   SELECT d || '_' || CAST(y AS VARCHAR) AS arquivo
@@ -320,17 +353,14 @@ SELECT arquivo FROM (
 )
 EXCEPT
 (VALUES ('PAIS'), ('PAIS_BLOCO') UNION ALL {_years('EXP')} UNION ALL {_years('IMP')})""",
-    "sink_parquet_roundtrip": """
-SELECT * REPLACE (CAST("CO_NCM" AS BIGINT) AS "CO_NCM", CAST("CO_PAIS" AS INTEGER) AS "CO_PAIS",
-                  CAST("CO_URF" AS BIGINT) AS "CO_URF"),
-       'EXP_' || "CO_ANO" AS arquivo FROM raw_exp""",
-    "sink_skip_existing": """
-SELECT "CO_ANO", CAST("CO_NCM" AS BIGINT) AS "CO_NCM",
-       CASE WHEN "CO_ANO" < '1998' THEN "VL_FOB" ELSE "VL_FOB" * 2 END AS "VL_FOB",
+    "sink_parquet_roundtrip": f"SELECT * REPLACE ({_STORED_CODES}), 'EXP_' || \"CO_ANO\" AS arquivo FROM raw_exp",
+    "sink_skip_existing": f"""
+SELECT * REPLACE ({_STORED_CODES},
+                  CASE WHEN "CO_ANO" < '1998' THEN "VL_FOB" ELSE "VL_FOB" * 2 END AS "VL_FOB"),
        'EXP_' || "CO_ANO" AS arquivo FROM raw_exp""",
-    "sink_refresh_year": """
-SELECT "CO_ANO", CAST("CO_NCM" AS BIGINT) AS "CO_NCM",
-       CASE WHEN "CO_ANO" = '1998' THEN "VL_FOB" * 2 ELSE "VL_FOB" END AS "VL_FOB",
+    "sink_refresh_year": f"""
+SELECT * REPLACE ({_STORED_CODES},
+                  CASE WHEN "CO_ANO" = '1998' THEN "VL_FOB" * 2 ELSE "VL_FOB" END AS "VL_FOB"),
        'EXP_' || "CO_ANO" AS arquivo FROM raw_exp""",
     # Filters
     "filter_year_window": """
@@ -459,6 +489,7 @@ SELECT ano, sum(vl_exp_fob_usd) / 1e9 AS exp_bi, sum(vl_imp_fob_usd) / 1e9 AS im
     "dq_report": " UNION ALL ".join([_not_null(), _unique(), _accepted(), _relationships(), _grain()]),
 }
 
+_STATEMENTS["ingest_report_rows"] = _converted_files()
 _STATEMENTS["sink_csv_roundtrip"] = _STATEMENTS["balance_detail"]
 
 _PARTNER_SHARE = """

@@ -13,6 +13,7 @@ from checks.star_models import (
     FIRST_YEAR,
     LAST_YEAR,
     PRODUCT_COLUMNS,
+    TOTAL_COLUMNS,
     StarModels,
 )
 from fairlead import sinks
@@ -22,7 +23,7 @@ from fairlead.functions.formats import percentage, usd_billions, usd_millions
 from fairlead.operators import filters
 from fairlead.operators.ranking import share_and_rank_small
 from fairlead.plans import analytics, core, ingest, marts, pipeline, quality, staging
-from fairlead.schemas import EXPORT, IMPORT, RAW_EXPORTS
+from fairlead.schemas import CODE_TABLES, EXPORT, IMPORT, RAW_EXPORTS
 from fairlead.sources import landing
 from fairlead.sources.files import SOURCE, read_code_csv, read_parquet_by_name, read_trade_csv
 
@@ -66,11 +67,45 @@ def scan_imports_csv(m):
     return read_trade_csv(m.spark, _landed(m, IMPORT), IMPORT).drop(SOURCE)
 
 
-@query
-def scan_aux_csv(m):
+def _scan_code_table(m: StarModels, name: str) -> DataFrame:
     root = scratch_dir(m.spark, "landing")
-    m.land_code_table(root, "NCM")
-    return read_code_csv(m.spark, f"{root}/aux/NCM.csv")
+    m.land_code_table(root, name)
+    return read_code_csv(m.spark, f"{root}/aux/{name}.csv")
+
+
+@query
+def scan_aux_ncm(m):
+    return _scan_code_table(m, "NCM")
+
+
+@query
+def scan_aux_ncm_sh(m):
+    return _scan_code_table(m, "NCM_SH")
+
+
+@query
+def scan_aux_pais(m):
+    return _scan_code_table(m, "PAIS")
+
+
+@query
+def scan_aux_pais_bloco(m):
+    return _scan_code_table(m, "PAIS_BLOCO")
+
+
+@query
+def scan_aux_uf(m):
+    return _scan_code_table(m, "UF")
+
+
+@query
+def scan_aux_via(m):
+    return _scan_code_table(m, "VIA")
+
+
+@query
+def scan_aux_urf(m):
+    return _scan_code_table(m, "URF")
 
 
 @query
@@ -89,7 +124,7 @@ def scan_union_by_name(m):
 
 
 def _converted(m: StarModels, directions: tuple[str, ...], **options) -> tuple[JobConfig, DataFrame]:
-    """Land narrow files of both directions, convert the selected ones."""
+    """Land every file of both directions and the code tables, convert the selected ones."""
     config = JobConfig(
         landing_root=scratch_dir(m.spark, "landing"),
         warehouse_root=scratch_dir(m.spark, "warehouse"),
@@ -98,6 +133,9 @@ def _converted(m: StarModels, directions: tuple[str, ...], **options) -> tuple[J
     )
     for direction in (EXPORT, IMPORT):
         m.land(config.landing_root, direction)
+    if config.code_tables:
+        for name in CODE_TABLES:
+            m.land_code_table(config.landing_root, name)
     return config, ingest.convert(m.spark, config)
 
 
@@ -114,17 +152,17 @@ def ingest_select(m):
 @query
 def ingest_report_rows(m):
     """The part of the conversion report that does not depend on file sizes."""
-    report = _converted(m, (EXPORT, IMPORT), code_tables=False)[1]
+    report = _converted(m, (EXPORT, IMPORT))[1]
     return report.selectExpr(
-        SOURCE, "linhas", "colunas", "bytes_csv > 0 AS tem_csv", "razao > 0 AS tem_razao", "status"
+        SOURCE, "linhas", "colunas", "bytes_csv > 0 AS tem_csv", "razao > 0 AS tem_razao", "status", "motivo"
     )
 
 
 @query
 def landing_missing(m):
     root = scratch_dir(m.spark, "landing")
-    m.land(root, EXPORT, "CO_ANO", "VL_FOB")
-    m.land(root, IMPORT, "CO_ANO", "VL_FOB")
+    m.land(root, EXPORT)
+    m.land(root, IMPORT)
     m.land_code_table(root, "PAIS")
     m.land_code_table(root, "PAIS_BLOCO")
     wanted = landing.expected(m.spark, range(1993, 2004), (EXPORT, IMPORT))
@@ -146,7 +184,7 @@ def sink_parquet_roundtrip(m):
 def sink_skip_existing(m):
     """Offer every file again with doubled values: files already stored stay as they are."""
     path = f"{scratch_dir(m.spark, 'sink')}/exp"
-    rows = m.labelled(EXPORT, "CO_ANO", "CO_NCM", "VL_FOB")
+    rows = m.labelled(EXPORT)
     early = rows.where(F.expr(f"int(CO_ANO) < {YEAR}"))
     sinks.refresh_partitions(sinks.rebalanced(early, SOURCE), path, [SOURCE])
     doubled = rows.withColumn("VL_FOB", F.col("VL_FOB") * 2)
@@ -158,7 +196,7 @@ def sink_skip_existing(m):
 def sink_refresh_year(m):
     """Revise one year; the others keep their rows."""
     path = f"{scratch_dir(m.spark, 'sink')}/exp"
-    rows = m.labelled(EXPORT, "CO_ANO", "CO_NCM", "VL_FOB")
+    rows = m.labelled(EXPORT)
     sinks.refresh_partitions(sinks.rebalanced(rows, SOURCE), path, [SOURCE])
     revised = rows.where(F.expr(f"int(CO_ANO) = {YEAR}")).withColumn("VL_FOB", F.col("VL_FOB") * 2)
     sinks.refresh_partitions(sinks.rebalanced(revised, SOURCE), path, [SOURCE])
@@ -178,8 +216,11 @@ def sink_csv_roundtrip(m):
 
 @query
 def filter_year_window(m):
-    rows = m.raw(EXPORT, "CO_ANO", "CO_MES", "VL_FOB")
-    return filters.year_window(rows.selectExpr("int(CO_ANO) AS ano", "CO_MES", "VL_FOB"), *PERIOD)
+    """The window on a stored raw table, whose integer year the scan can use."""
+    config = JobConfig(landing_root="", warehouse_root=scratch_dir(m.spark, "warehouse"))
+    m.store_raw(config.layout)
+    rows = pipeline.stored_raw(m.spark, config.layout)[EXPORT]
+    return filters.year_window(rows.select("ano", "CO_MES", "VL_FOB"), *PERIOD)
 
 
 @query
@@ -433,7 +474,7 @@ def warehouse_freshness(m):
     """Status of a stored fact; the time itself differs from run to run."""
     config = JobConfig(landing_root="", warehouse_root=scratch_dir(m.spark, "warehouse"))
     path = config.layout.core("core_comercio")
-    fact = sinks.rebalanced(m.trade("ano", "direcao", "vl_fob_usd"), "direcao", "ano")
+    fact = sinks.rebalanced(m.trade(), "direcao", "ano")
     sinks.write_table(fact, path, ["direcao", "ano"])
     status = pipeline.freshness(m.spark, config.layout)
     return status.withColumn("atualizado_em", F.col("atualizado_em").isNotNull())
@@ -577,12 +618,16 @@ def dq_relationships(m):
 
 @query
 def dq_grain(m):
+    """Keys of the marts from totals stored once; share and rank add no rows, so they are not worked out."""
+    layout = JobConfig(landing_root="", warehouse_root=scratch_dir(m.spark, "warehouse")).layout
+    totals = pipeline.stored_totals(m.spark, layout, m.trade(*TOTAL_COLUMNS))
+    states = totals["estado_mes"]
     marts_only = {
-        "mart_balanca_comercial": m.balance(),
-        "mart_exportacoes_por_estado": m.exports_by_state(),
-        "mart_importacoes_por_estado": m.imports_by_state(),
-        "mart_top_produtos": m.top_products(),
-        "mart_blocos_economicos": m.blocs(),
+        "mart_balanca_comercial": marts.trade_balance(states),
+        "mart_exportacoes_por_estado": marts.state_month_totals(states, EXPORT, "vl_fob_usd"),
+        "mart_importacoes_por_estado": marts.state_month_totals(states, IMPORT, "vl_fob_usd"),
+        "mart_top_produtos": marts.with_product_names(totals["produto_ano"], m.products()),
+        "mart_blocos_economicos": marts.economic_blocs(totals["pais_mes"], m.country_blocs()),
     }
     return quality.report(marts_only, quality.select_checks(kinds=[quality.COMBINATION]))
 

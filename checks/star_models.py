@@ -37,6 +37,10 @@ _RAW_COLUMNS = {
 
 BALANCE_COLUMNS = ("ano", "mes", "data_ref", "direcao", "sg_uf", "vl_fob_usd")
 PRODUCT_COLUMNS = ("ano", "direcao", "co_ncm", "vl_fob_usd", "kg_liquido")
+# What the stored totals of the job are summed from.
+TOTAL_COLUMNS = (
+    "ano", "mes", "data_ref", "direcao", "sg_uf", "co_ncm", "co_pais", "vl_fob_usd", "vl_cif_usd", "kg_liquido"
+)
 COUNTRY_COLUMNS = ("ano", "mes", "data_ref", "direcao", "co_pais", "vl_fob_usd", "kg_liquido")
 
 
@@ -62,7 +66,7 @@ class StarModels:
     def staged(self, direction: str, *columns: str) -> DataFrame:
         """Staged rows; raw columns that ``columns`` do not need are not looked up."""
         needed = {raw for c in columns or TRADE.names for raw in _RAW_COLUMNS[c].split()} | {"CO_ANO"}
-        table = star.raw_trade(self.tables, direction, needed, (FIRST_YEAR, LAST_YEAR))
+        table = star.raw_trade(self.tables, direction, needed)
         stage = staging.exports if direction == EXPORT else staging.imports
         typed = stage(table, FIRST_YEAR, LAST_YEAR)
         return typed.select(*columns) if columns else typed
@@ -102,11 +106,11 @@ class StarModels:
     # -- whole warehouse -------------------------------------------------------
 
     def store_raw(self, layout: Layout) -> None:
-        """Write the raw tables where the converter would."""
+        """Write the raw tables where the converter would, with the year it adds."""
 
         def store(name: str) -> None:
             if name in RAW_TRADE:
-                rows = sinks.rebalanced(self.labelled(name), SOURCE)
+                rows = sinks.rebalanced(staging.dated(self.labelled(name)), SOURCE)
                 sinks.write_table(rows, layout.raw(name), [SOURCE])
             else:
                 sinks.write_table(self.code(name), layout.code_table(name))

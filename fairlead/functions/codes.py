@@ -5,6 +5,10 @@ from __future__ import annotations
 from fairlead.schemas import CODE_WIDTHS
 
 
+# Year of a raw trade row.
+YEAR = "int(CO_ANO)"
+
+
 def text(raw: str, name: str) -> str:
     return f"string({raw}) AS {name}"
 

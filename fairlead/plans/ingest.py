@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from dataclasses import dataclass
+
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -10,27 +13,40 @@ from pyspark.sql import functions as F
 from fairlead import sinks
 from fairlead.config import JobConfig
 from fairlead.jobs import side_by_side
-from fairlead.schemas import CODE_TABLES, RAW_TRADE
+from fairlead.plans.staging import dated
+from fairlead.schemas import CODE_TABLES
 from fairlead.sources import landing
-from fairlead.sources.files import SOURCE, MissingColumns, read_code_csv, read_trade_csv
+from fairlead.sources.files import SOURCE, MissingColumns, csv_headers, read_code_csv, read_trade_csv
 
 OK = "OK"
 SKIPPED = "SKIPPED"
 FAILED = "FAILED"
+# A CSV file whose name is none of the published ones.
+UNKNOWN = "UNKNOWN"
 
 # What a failed Spark job raises: not every JVM error has a Python class.
 JOB_FAILURES = (PySparkException, Py4JJavaError, MissingColumns)
 
 
+@dataclass(frozen=True)
+class Outcome:
+    """How the conversion of a file ended, its columns as landed, and why it failed."""
+
+    status: str
+    columns: int | None = None
+    reason: str | None = None
+
+
 def convert(spark: SparkSession, config: JobConfig) -> DataFrame:
     """Convert the selected files; return one report row per file.
 
     Without ``force`` a file already converted is skipped; with it, its partition is
     replaced and other years stay. A file that cannot be parsed, or lacks a column of the
-    contract, is reported as FAILED and leaves nothing behind; the others are converted. Two
-    files of one label stop the conversion before anything is written.
+    contract, is reported as FAILED with the reason and leaves nothing behind; the others are
+    converted. CSV files with a name of no published file are reported as UNKNOWN. Two files
+    of one label stop the conversion before anything is written.
     """
-    outcome: dict[str, str] = {}
+    outcome: dict[str, Outcome] = {}
     landed = landing.inventory(spark, config.landing_root)
     datasets: dict[str, str] = {}
     for row in landed.collect():
@@ -51,96 +67,112 @@ def convert(spark: SparkSession, config: JobConfig) -> DataFrame:
 
 def _convert_direction(
     spark: SparkSession, config: JobConfig, direction: str, datasets: dict[str, str]
-) -> dict[str, str]:
+) -> dict[str, Outcome]:
     chosen = {
         label: path
         for label, path in sorted(datasets.items())
         if label.startswith(f"{direction}_")
         and (config.file_years is None or int(label.rsplit("_", 1)[1]) in config.file_years)
     }
+    if not chosen:
+        return {}
+    headers = csv_headers(spark, chosen.values())
+    columns = {label: len(headers[path]) for label, path in chosen.items()}
     target = config.layout.raw(direction)
     held = set(sinks.stored_partitions(spark, target, SOURCE))
     skipped = set() if config.force else held & set(chosen)
     pending = {label: path for label, path in chosen.items() if label not in skipped}
-    outcome = {label: SKIPPED for label in skipped}
+    outcome = {label: Outcome(SKIPPED, columns[label]) for label in skipped}
     if not pending:
         return outcome
     try:
-        _write(spark, pending, direction, target)
+        _write(spark, pending, direction, target, headers)
     except JOB_FAILURES:
         # One bad file fails the shared job, which publishes nothing. Find it, convert the rest.
-        bad = {label for label, path in pending.items() if not _parses(spark, path, direction)}
+        labels = list(pending)
+        faults = side_by_side(spark, lambda label: _fault(spark, pending[label], direction, headers), labels)
+        bad = {label: fault for label, fault in zip(labels, faults) if fault is not None}
         if not bad:
             raise
-        outcome |= {label: FAILED for label in bad}
+        outcome |= {label: Outcome(FAILED, columns[label], fault) for label, fault in bad.items()}
         pending = {label: path for label, path in pending.items() if label not in bad}
         if pending:
-            _write(spark, pending, direction, target)
-    for label in held & set(pending):
-        _clear_if_emptied(spark, pending[label], direction, f"{target}/{SOURCE}={label}")
-    return outcome | {label: OK for label in pending}
+            _write(spark, pending, direction, target, headers)
+
+    def clear_if_emptied(label: str) -> None:
+        """A refresh replaces partitions that have rows; one whose file lost all rows is emptied."""
+        rows = _rows(spark, [pending[label]], direction, headers)
+        if rows.isEmpty():
+            sinks.write_table(rows.drop(SOURCE), f"{target}/{SOURCE}={label}")
+
+    side_by_side(spark, clear_if_emptied, sorted(held & set(pending)))
+    return outcome | {label: Outcome(OK, columns[label]) for label in pending}
+
+
+def _rows(spark: SparkSession, paths: Iterable[str], direction: str, headers: dict[str, list[str]]) -> DataFrame:
+    """Rows of the files with the integer year that the models filter on."""
+    return dated(read_trade_csv(spark, paths, direction, headers))
 
 
-def _write(spark: SparkSession, files: dict[str, str], direction: str, target: str) -> None:
+def _write(
+    spark: SparkSession, files: dict[str, str], direction: str, target: str, headers: dict[str, list[str]]
+) -> None:
     # Partitioned by file, not by the year in the rows: a stray row of another year must
     # not replace that year's partition. Every input split belongs to one file, so no
     # shuffle is needed to keep the number of output files low.
-    rows = read_trade_csv(spark, files.values(), direction)
+    rows = _rows(spark, files.values(), direction, headers)
     sinks.refresh_partitions(rows, target, [SOURCE])
 
 
-def _clear_if_emptied(spark: SparkSession, path: str, direction: str, partition: str) -> None:
-    """A refresh replaces partitions that have rows; one whose file lost all rows is emptied."""
-    rows = read_trade_csv(spark, [path], direction)
-    if rows.isEmpty():
-        sinks.write_table(rows.drop(SOURCE), partition)
+def _fault(spark: SparkSession, path: str, direction: str, headers: dict[str, list[str]]) -> str | None:
+    """Why a file cannot be read; None if it can."""
+    try:
+        _rows(spark, [path], direction, headers).write.format("noop").mode("overwrite").save()
+        return None
+    except JOB_FAILURES as failure:
+        return _reason(failure)
 
 
-def _parses(spark: SparkSession, path: str, direction: str) -> bool:
-    try:
-        read_trade_csv(spark, [path], direction).write.format("noop").mode("overwrite").save()
-        return True
-    except JOB_FAILURES:
-        return False
+def _reason(failure: Exception) -> str:
+    """First line of what went wrong; the whole trace is in Spark's log."""
+    return (str(failure).strip() or type(failure).__name__).splitlines()[0]
 
 
-def _convert_code_table(spark: SparkSession, config: JobConfig, name: str, path: str) -> str:
+def _convert_code_table(spark: SparkSession, config: JobConfig, name: str, path: str) -> Outcome:
     target = config.layout.code_table(name)
-    if not config.force and landing.exists(spark, target):
-        return SKIPPED
     try:
-        sinks.write_table(read_code_csv(spark, path), target)
-        return OK
-    except JOB_FAILURES:
-        return FAILED
+        table = read_code_csv(spark, path)
+        if not config.force and landing.exists(spark, target):
+            return Outcome(SKIPPED, len(table.columns))
+        sinks.write_table(table, target)
+        return Outcome(OK, len(table.columns))
+    except JOB_FAILURES as failure:
+        return Outcome(FAILED, reason=_reason(failure))
 
 
 def _report(
-    spark: SparkSession, config: JobConfig, landed: DataFrame, outcome: dict[str, str]
+    spark: SparkSession, config: JobConfig, landed: DataFrame, outcome: dict[str, Outcome]
 ) -> DataFrame:
-    """File, rows, columns, CSV and Parquet bytes, ratio, status."""
-    statuses = spark.createDataFrame(sorted(outcome.items()), f"{SOURCE} string, status string")
-    stored = [
-        _stored(spark, config.layout.raw(d), len(RAW_TRADE[d].fields)) for d in config.directions
-    ]
-    stored += [
-        _stored(spark, config.layout.code_table(name), None, name)
-        for name in CODE_TABLES
-        if name in outcome
-    ]
+    """File, rows, columns as landed, CSV and Parquet bytes, ratio, status, reason of a failure."""
+    statuses = spark.createDataFrame(
+        [(label, o.status, o.columns, o.reason) for label, o in sorted(outcome.items())],
+        f"{SOURCE} string, status string, colunas int, motivo string",
+    )
+    stored = [_stored(spark, config.layout.raw(d)) for d in config.directions]
+    stored += [_stored(spark, config.layout.code_table(name), name) for name in CODE_TABLES if name in outcome]
     sizes = None
     for part in stored:
         if part is not None:
             sizes = part if sizes is None else sizes.unionByName(part)
     report = statuses.join(landed.select(SOURCE, F.col("bytes").alias("bytes_csv")), SOURCE, "left")
     if sizes is None:
-        empty = {"linhas": "long", "colunas": "int", "bytes_parquet": "long"}
+        empty = {"linhas": "long", "bytes_parquet": "long"}
         report = report.select("*", *[F.lit(None).cast(t).alias(n) for n, t in empty.items()])
     else:
         report = report.join(sizes, SOURCE, "left")
     # A failed file keeps what an earlier run stored, but that is not its result.
     done = f"status != '{FAILED}'"
-    return report.selectExpr(
+    known = report.selectExpr(
         SOURCE,
         f"if({done}, ifnull(linhas, 0), NULL) AS linhas",
         f"if({done}, colunas, NULL) AS colunas",
@@ -148,10 +180,15 @@ def _report(
         f"if({done}, bytes_parquet, NULL) AS bytes_parquet",
         f"if({done}, bytes_csv / nullif(bytes_parquet, 0), NULL) AS razao",
         "status",
+        "motivo",
+    )
+    unknown = landing.unknown(spark, config.landing_root).selectExpr(
+        f"conjunto AS {SOURCE}", "bytes AS bytes_csv", f"'{UNKNOWN}' AS status"
     )
+    return known.unionByName(unknown, allowMissingColumns=True)
 
 
-def _stored(spark: SparkSession, path: str, columns: int | None, label: str | None = None) -> DataFrame | None:
+def _stored(spark: SparkSession, path: str, label: str | None = None) -> DataFrame | None:
     """Rows and bytes per converted file; row counts come from the Parquet footers."""
     if not landing.exists(spark, path):
         return None
@@ -168,7 +205,6 @@ def _stored(spark: SparkSession, path: str, columns: int | None, label: str | No
         .groupBy(SOURCE)
         .agg(
             F.sum("_rows").alias("linhas"),
-            F.lit(columns if columns is not None else len(table.columns)).alias("colunas"),
             F.sum("_size").alias("bytes_parquet"),
         )
     )

@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from fairlead import sinks
 from fairlead.config import JobConfig, Layout
+from fairlead.functions.codes import YEAR
 from fairlead.jobs import side_by_side
 from fairlead.operators import filters
 from fairlead.plans import core, ingest, marts, quality, staging
-from fairlead.schemas import CODE_TABLES, DIRECTIONS, EXPORT, IMPORT, RAW_TRADE, TRADE, conform
+from fairlead.schemas import CODE_TABLES, DIRECTIONS, EXPORT, IMPORT, RAW_TRADE, TRADE
 from fairlead.sources import landing
+from fairlead.sources.files import SOURCE, read_parquet_by_name
+
 
 def run(spark: SparkSession, config: JobConfig) -> DataFrame:
     """Convert the landing zone and build the warehouse; return the quality report."""
@@ -37,13 +40,18 @@ def missing_files(spark: SparkSession, config: JobConfig) -> list[str]:
 
 
 def stored_raw(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    """The converted tables. A direction never converted is an empty table."""
+    """The converted tables. A direction never converted is an empty table.
+
+    The files of a direction are united by column name, whichever types they were stored with.
+    """
     raw = {}
     for direction in DIRECTIONS:
         path = layout.raw(direction)
-        stored = landing.exists(spark, path)
-        table = spark.read.parquet(path) if stored else spark.createDataFrame([], RAW_TRADE[direction])
-        raw[direction] = conform(table, RAW_TRADE[direction])
+        files = [f"{path}/{SOURCE}={label}" for label in sorted(sinks.stored_partitions(spark, path, SOURCE))]
+        if files:
+            raw[direction] = read_parquet_by_name(spark, files, RAW_TRADE[direction], {"ano": YEAR})
+        else:
+            raw[direction] = spark.createDataFrame([], RAW_TRADE[direction])
     for name in CODE_TABLES:
         raw[name] = spark.read.parquet(layout.code_table(name))
     return raw
@@ -98,11 +106,11 @@ def build(
     reports.append(_tested(spark, config, stored, core_checks, quality.CORE))
 
     trade, products = models["core_comercio"], models["core_produtos"]
-    totals = _stored_totals(spark, layout, trade)
+    totals = stored_totals(spark, layout, trade)
     states, product_years = totals["estado_mes"], totals["produto_ano"]
     plans: dict[str, Callable[[], DataFrame]] = {
         "mart_top_produtos": lambda: marts.named_top_products(product_years, products),
-        "mart_blocos_economicos": lambda: marts.economic_blocs(trade, models["stg_blocos"]),
+        "mart_blocos_economicos": lambda: marts.economic_blocs(totals["pais_mes"], models["stg_blocos"]),
         "mart_balanca_comercial": lambda: marts.trade_balance(states),
         "mart_exportacoes_por_estado": lambda: marts.exports_by_state(states),
         "mart_importacoes_por_estado": lambda: marts.imports_by_state(states),
@@ -118,10 +126,14 @@ def build(
     return reduce(DataFrame.unionByName, [r for r in reports if r is not None])
 
 
-def _stored_totals(spark: SparkSession, layout: Layout, trade: DataFrame) -> dict[str, DataFrame]:
-    """Totals several plans read, written once: the state marts share one scan of the
-    fact, and so do share, rank and names of the products."""
-    plans = {"estado_mes": marts.state_months, "produto_ano": marts.product_totals}
+def stored_totals(spark: SparkSession, layout: Layout, trade: DataFrame) -> dict[str, DataFrame]:
+    """Totals per state, product and country, written once: a scan of the fact for each,
+    whatever the marts and their tests read of them."""
+    plans = {
+        "estado_mes": marts.state_months,
+        "produto_ano": marts.product_totals,
+        "pais_mes": marts.country_month_totals,
+    }
 
     def write(name: str) -> None:
         sinks.write_table(plans[name](trade), layout.core(name))

@@ -48,21 +48,21 @@ class QualityError(Exception):
 
 # The declared tests (fixed values): required columns, keys, value lists and parents.
 _REQUIRED = {
-    (STAGING, "stg_exportacoes"): "ano mes data_ref co_ncm co_pais vl_fob_usd",
-    (STAGING, "stg_importacoes"): "ano mes co_ncm co_pais vl_fob_usd vl_cif_usd",
-    (STAGING, "stg_ncm"): "co_ncm",
-    (STAGING, "stg_paises"): "co_pais",
-    (STAGING, "stg_uf"): "sg_uf",
-    (STAGING, "stg_vias"): "co_via",
-    (STAGING, "stg_urf"): "co_urf",
-    (STAGING, "stg_blocos"): "co_pais co_bloco",
-    (CORE, "core_comercio"): "ano mes direcao co_ncm co_pais vl_fob_usd",
-    (CORE, "core_produtos"): "co_ncm",
-    (MARTS, "mart_balanca_comercial"): "ano mes sg_uf saldo_fob_usd",
-    (MARTS, "mart_exportacoes_por_estado"): "ano sg_uf rank_mes",
-    (MARTS, "mart_importacoes_por_estado"): "ano sg_uf",
-    (MARTS, "mart_top_produtos"): "ano direcao co_ncm rank_ano_direcao",
-    (MARTS, "mart_blocos_economicos"): "ano direcao co_bloco no_bloco",
+    (STAGING, "stg_exportacoes"): ("ano", "mes", "data_ref", "co_ncm", "co_pais", "vl_fob_usd"),
+    (STAGING, "stg_importacoes"): ("ano", "mes", "co_ncm", "co_pais", "vl_fob_usd", "vl_cif_usd"),
+    (STAGING, "stg_ncm"): ("co_ncm",),
+    (STAGING, "stg_paises"): ("co_pais",),
+    (STAGING, "stg_uf"): ("sg_uf",),
+    (STAGING, "stg_vias"): ("co_via",),
+    (STAGING, "stg_urf"): ("co_urf",),
+    (STAGING, "stg_blocos"): ("co_pais", "co_bloco"),
+    (CORE, "core_comercio"): ("ano", "mes", "direcao", "co_ncm", "co_pais", "vl_fob_usd"),
+    (CORE, "core_produtos"): ("co_ncm",),
+    (MARTS, "mart_balanca_comercial"): ("ano", "mes", "sg_uf", "saldo_fob_usd"),
+    (MARTS, "mart_exportacoes_por_estado"): ("ano", "sg_uf", "rank_mes"),
+    (MARTS, "mart_importacoes_por_estado"): ("ano", "sg_uf"),
+    (MARTS, "mart_top_produtos"): ("ano", "direcao", "co_ncm", "rank_ano_direcao"),
+    (MARTS, "mart_blocos_economicos"): ("ano", "direcao", "co_bloco", "no_bloco"),
 }
 _KEYS = {
     (STAGING, "stg_ncm"): "co_ncm",
@@ -86,7 +86,7 @@ _PARENTS = {
 }
 
 CHECKS: tuple[Check, ...] = (
-    *(Check(*at, NOT_NULL, (c,)) for at, names in _REQUIRED.items() for c in names.split()),
+    *(Check(*at, NOT_NULL, (c,)) for at, names in _REQUIRED.items() for c in names),
     *(Check(*at, UNIQUE, (c,)) for at, c in _KEYS.items()),
     *(Check(*at, ACCEPTED, (c,), values=v) for at, (c, v) in _VALUE_LISTS.items()),
     *(
@@ -111,8 +111,8 @@ def select_checks(layers: Iterable[str] = (), kinds: Iterable[str] = ()) -> list
 def report(models: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
     """One row per check: model, columns, test, severity, failures, status.
 
-    All row-level checks of a model share one aggregate over it, so a model is scanned
-    once for them however many there are.
+    All row-level checks of a model share one aggregate over it, and so do its relationships,
+    so a model is scanned once for each of these kinds however many checks there are.
     """
     checks = list(checks)
     parts = []
@@ -124,8 +124,9 @@ def report(models: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFram
         for check in mine:
             if check.kind in (UNIQUE, COMBINATION):
                 parts.append(_labelled(_repeated_keys(models[model], check), check))
-            elif check.kind == RELATIONSHIPS:
-                parts.append(_labelled(_orphans(models[model], models[check.parent], check), check))
+        links = [c for c in mine if c.kind == RELATIONSHIPS]
+        if links:
+            parts.append(_orphans(models, links))
     return reduce(DataFrame.unionByName, parts).selectExpr(
         "*",
         "CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status",
@@ -143,7 +144,11 @@ def enforce(results: DataFrame) -> None:
 
 
 def _row_level(df: DataFrame, checks: list[Check]) -> DataFrame:
-    counted = df.agg(*[F.expr(f"{_counter(c)} AS n{i}") for i, c in enumerate(checks)])
+    return _rows_of(df.agg(*[F.expr(f"{_counter(c)} AS n{i}") for i, c in enumerate(checks)]), checks)
+
+
+def _rows_of(counted: DataFrame, checks: list[Check]) -> DataFrame:
+    """One row per check from one row that holds their failures as n0, n1, ..."""
     rows = ", ".join(f"struct({_labels(c)}, n{i} AS failures)" for i, c in enumerate(checks))
     return counted.selectExpr(f"inline(array({rows}))")
 
@@ -162,12 +167,20 @@ def _repeated_keys(df: DataFrame, check: Check) -> DataFrame:
     return repeated.agg(F.expr("count(1) AS failures"))
 
 
-def _orphans(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
-    """Child rows are counted per key first: a hot key reaches the join as one row."""
-    key = check.columns[0]
-    per_key = child.where(f"{key} IS NOT NULL").groupBy(key).count()
-    orphans = per_key.join(parent.select(key), key, "left_anti")
-    return orphans.agg(F.expr("coalesce(sum(count), 0) AS failures"))
+def _orphans(models: Mapping[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """All relationships of one child model, which is scanned once.
+
+    Child rows are counted per (check, key) first: a hot key reaches the join as one row.
+    """
+    child = models[checks[0].model]
+    keys = ", ".join(f"struct({i} AS test, string({c.columns[0]}) AS key)" for i, c in enumerate(checks))
+    per_key = child.selectExpr(f"inline(array({keys}))").where("key IS NOT NULL").groupBy("test", "key").count()
+    known = [
+        models[c.parent].selectExpr(f"{i} AS test", f"string({c.columns[0]}) AS key") for i, c in enumerate(checks)
+    ]
+    orphans = per_key.join(reduce(DataFrame.unionByName, known), ["test", "key"], "left_anti")
+    counted = orphans.agg(*[F.expr(f"coalesce(sum(if(test = {i}, count, 0)), 0) AS n{i}") for i in range(len(checks))])
+    return _rows_of(counted, checks)
 
 
 def _labelled(counted: DataFrame, check: Check) -> DataFrame:

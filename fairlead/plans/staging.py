@@ -1,10 +1,14 @@
-"""Typed views of the raw tables; always lazy."""
+"""Typed views of the raw tables; always lazy.
+
+Raw rows that come with a stored integer ``ano`` are filtered on that column, so that the
+scan can leave out what lies outside the window; otherwise the year is read from the text.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from fairlead.functions.codes import cif, code, money, month_start, text, whole
+from fairlead.functions.codes import YEAR, cif, code, money, month_start, text, whole
 from fairlead.operators.filters import year_window
 
 
@@ -21,9 +25,13 @@ def imports(raw: DataFrame, first_year: int, last_year: int) -> DataFrame:
     return _trade(raw, first_year, last_year, charges)
 
 
+def dated(raw: DataFrame) -> DataFrame:
+    """``raw`` with its year as an integer; a year that is no number is an error."""
+    return raw if "ano" in raw.columns else raw.selectExpr("*", f"{YEAR} AS ano")
+
+
 def _trade(raw: DataFrame, first_year: int, last_year: int, charges: list[str]) -> DataFrame:
-    dated = raw.selectExpr("*", "int(CO_ANO) AS ano")
-    return year_window(dated, first_year, last_year).selectExpr(
+    return year_window(dated(raw), first_year, last_year).selectExpr(
         "ano",
         code("CO_MES", "mes"),
         month_start("CO_ANO", "CO_MES", "data_ref"),

@@ -30,31 +30,49 @@ CODE_WIDTHS = {
 }
 
 
-def _struct(text: str) -> T.StructType:
-    return T.StructType(
-        [T.StructField(name, _TYPES[kind]) for name, kind in (pair.split(":") for pair in text.split())]
-    )
-
-
-_TYPES = {
-    "string": T.StringType(),
-    "long": T.LongType(),
-    "int": T.IntegerType(),
-    "double": T.DoubleType(),
-    "date": T.DateType(),
-}
-
-RAW_EXPORTS = _struct(
-    "CO_ANO:string CO_MES:string CO_NCM:string CO_UNID:string CO_PAIS:string SG_UF_NCM:string "
-    "CO_VIA:string CO_URF:string QT_ESTAT:long KG_LIQUIDO:long VL_FOB:long"
+RAW_EXPORTS = T.StructType(
+    [
+        T.StructField("CO_ANO", T.StringType()),
+        T.StructField("CO_MES", T.StringType()),
+        T.StructField("CO_NCM", T.StringType()),
+        T.StructField("CO_UNID", T.StringType()),
+        T.StructField("CO_PAIS", T.StringType()),
+        T.StructField("SG_UF_NCM", T.StringType()),
+        T.StructField("CO_VIA", T.StringType()),
+        T.StructField("CO_URF", T.StringType()),
+        T.StructField("QT_ESTAT", T.LongType()),
+        T.StructField("KG_LIQUIDO", T.LongType()),
+        T.StructField("VL_FOB", T.LongType()),
+    ]
+)
+RAW_IMPORTS = T.StructType(
+    [
+        *RAW_EXPORTS.fields,
+        T.StructField("VL_FRETE", T.LongType()),
+        T.StructField("VL_SEGURO", T.LongType()),
+    ]
 )
-RAW_IMPORTS = T.StructType(RAW_EXPORTS.fields + _struct("VL_FRETE:long VL_SEGURO:long").fields)
 RAW_TRADE = {EXPORT: RAW_EXPORTS, IMPORT: RAW_IMPORTS}
 
-TRADE = _struct(
-    "ano:int mes:string data_ref:date direcao:string co_ncm:string co_unid:string co_pais:string "
-    "sg_uf:string co_via:string co_urf:string qt_estat:long kg_liquido:long vl_fob_usd:double "
-    "vl_frete_usd:double vl_seguro_usd:double vl_cif_usd:double"
+TRADE = T.StructType(
+    [
+        T.StructField("ano", T.IntegerType()),
+        T.StructField("mes", T.StringType()),
+        T.StructField("data_ref", T.DateType()),
+        T.StructField("direcao", T.StringType()),
+        T.StructField("co_ncm", T.StringType()),
+        T.StructField("co_unid", T.StringType()),
+        T.StructField("co_pais", T.StringType()),
+        T.StructField("sg_uf", T.StringType()),
+        T.StructField("co_via", T.StringType()),
+        T.StructField("co_urf", T.StringType()),
+        T.StructField("qt_estat", T.LongType()),
+        T.StructField("kg_liquido", T.LongType()),
+        T.StructField("vl_fob_usd", T.DoubleType()),
+        T.StructField("vl_frete_usd", T.DoubleType()),
+        T.StructField("vl_seguro_usd", T.DoubleType()),
+        T.StructField("vl_cif_usd", T.DoubleType()),
+    ]
 )
 
 # One row per listed key in every mart.

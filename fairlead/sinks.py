@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +15,56 @@ from fairlead.sources.landing import list_files
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """Replace a Parquet table; ``mode="ignore"`` leaves an existing one untouched.
 
-    The committer publishes files only when the whole job succeeds.
+    Overwriting in place would delete the stored table before the job runs. The rows are
+    written beside it instead, in a folder whose leading underscore hides it from readers,
+    and take its place when the whole job has succeeded; a failed one leaves it as it was.
     """
-    _writer(df, partition_by).mode(mode).parquet(path)
+    if mode != "overwrite":
+        _writer(df, partition_by).mode(mode).parquet(path)
+        return
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    staged = f"{parent}/_new-{uuid.uuid4().hex}-{name}"
+    spark = df.sparkSession
+    try:
+        _writer(df, partition_by).parquet(staged)
+    except Exception:
+        _files(spark, staged, lambda fs, at: fs.delete(at, True))
+        raise
+    _take_place(spark, staged, f"{parent}/{name}")
+
+
+def _take_place(spark: SparkSession, staged: str, path: str) -> None:
+    """Rename ``staged`` to ``path``; what was there goes once that is done.
+
+    Between the two renames the old table lies beside the new one, under a name that starts
+    with ``_old-``; if the second fails it goes back.
+    """
+    parent, name = path.rsplit("/", 1)
+    old = f"{parent}/_old-{uuid.uuid4().hex}-{name}"
+
+    def rename(source: str, target: str) -> None:
+        to = spark._jvm.org.apache.hadoop.fs.Path(target)
+        if not _files(spark, source, lambda fs, at: fs.rename(at, to)):
+            raise OSError(f"cannot rename {source} to {target}")
+
+    held = _files(spark, path, lambda fs, at: fs.exists(at))
+    if held:
+        rename(path, old)
+    try:
+        rename(staged, path)
+    except Exception:
+        if held:
+            rename(old, path)
+        raise
+    if held:
+        _files(spark, old, lambda fs, at: fs.delete(at, True))
+    spark.catalog.refreshByPath(path)
+
+
+def _files(spark: SparkSession, path: str, action: Callable):
+    """``action`` on the file system of ``path``, whichever Spark resolves it to."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return action(at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at)
 
 
 def refresh_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fairlead.jobs import side_by_side
 from fairlead.schemas import RAW_TRADE, conform
 
 # Format of the published files (fixed values): Latin-1, semicolons, quoted, with header.
@@ -28,20 +29,31 @@ class MissingColumns(ValueError):
     """A published file without a column of its contract."""
 
 
-def read_trade_csv(spark: SparkSession, paths: Iterable[str], direction: str) -> DataFrame:
+def csv_headers(spark: SparkSession, paths: Iterable[str]) -> dict[str, list[str]]:
+    """Column names of each CSV dataset; only its first line is read."""
+    paths = list(paths)
+    read = side_by_side(spark, lambda path: spark.read.options(**CSV_FORMAT).csv(path).columns, paths)
+    return dict(zip(paths, read))
+
+
+def read_trade_csv(
+    spark: SparkSession, paths: Iterable[str], direction: str, headers: Mapping[str, list[str]] | None = None
+) -> DataFrame:
     """Raw trade rows of CSV files, typed, with their ``SOURCE``.
 
     The reader matches a given schema by position, so files are grouped by header and
     each group gets a schema in its own column order; ``enforceSchema=false`` makes a
     header that differs inside a group an error instead of swapped data. There is one
     scan per distinct header, not per file. A malformed row or number fails the read, and so
-    does a header without a column of the contract.
+    does a header without a column of the contract. ``headers`` spares reading them again.
     """
+    paths = list(paths)
+    headers = headers or csv_headers(spark, paths)
     schema = RAW_TRADE[direction]
     types = {f.name: f.dataType for f in schema.fields}
     by_header: dict[tuple[str, ...], list[str]] = {}
     for path in paths:
-        header = spark.read.options(**CSV_FORMAT).csv(path).columns
+        header = headers[path]
         lacking = [name for name in schema.names if name not in header]
         if lacking:
             raise MissingColumns(f"{path} lacks {', '.join(lacking)}")
@@ -67,18 +79,27 @@ def read_code_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.options(**CSV_FORMAT, mode="FAILFAST", enforceSchema="false").csv(path)
 
 
-def read_parquet_by_name(spark: SparkSession, paths: Iterable[str], schema: T.StructType) -> DataFrame:
+def read_parquet_by_name(
+    spark: SparkSession, paths: Iterable[str], schema: T.StructType, derived: Mapping[str, str] | None = None
+) -> DataFrame:
     """Union of Parquet datasets by column name; codes may be text in one, numbers in another.
 
     Datasets with equal schemas share a scan, so the plan grows with the number of
-    distinct schemas, not of files.
+    distinct schemas, not of files. ``derived`` names further columns with the expression
+    that stands in where a dataset does not store them.
     """
-    by_schema: dict[str, list[str]] = {}
-    for path in paths:
-        by_schema.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
-    if not by_schema:
+    paths = list(paths)
+    if not paths:
         raise ValueError("no Parquet datasets to read")
-    scans = [conform(spark.read.parquet(*group), schema) for group in by_schema.values()]
+    by_schema: dict[str, list[str]] = {}
+    schemas = side_by_side(spark, lambda path: spark.read.parquet(path).schema.json(), paths)
+    for path, found in zip(paths, schemas):
+        by_schema.setdefault(found, []).append(path)
+    scans = []
+    for group in by_schema.values():
+        scan = spark.read.parquet(*group)
+        more = [name if name in scan.columns else f"{made} AS {name}" for name, made in (derived or {}).items()]
+        scans.append(conform(scan, schema, *more))
     return reduce(DataFrame.unionByName, scans)
 
 

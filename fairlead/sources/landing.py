@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.schemas import CODE_TABLES
+from fairlead.schemas import CODE_TABLES, DIRECTIONS
 from fairlead.sources.files import SOURCE, source_label
 
 _LISTING = f"{SOURCE} string, conjunto string, bytes long, modificado timestamp"
@@ -60,6 +60,15 @@ def inventory(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFra
     )
 
 
+def unknown(spark: SparkSession, root: str) -> DataFrame:
+    """CSV files below ``root`` that ``inventory`` leaves out, by path: their name is no published one."""
+    files = list_files(spark, root, "*.[cC][sS][vV]")
+    if files is None:
+        return spark.createDataFrame([], "conjunto string, bytes long")
+    published = f"^({'|'.join(DIRECTIONS)})_[0-9]{{4}}$|^({'|'.join(CODE_TABLES)})$"
+    return files.where(~source_label(F.col("path")).rlike(published)).selectExpr("path AS conjunto", "length AS bytes")
+
+
 def expected(
     spark: SparkSession, years: Iterable[int], directions: Iterable[str], code_tables: bool = True
 ) -> DataFrame:

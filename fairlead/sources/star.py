@@ -12,7 +12,6 @@ line items. A lookup whose columns nobody asked for is therefore left out.
 from __future__ import annotations
 
 from collections.abc import Collection
-from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,26 +37,12 @@ class StarTables:
 
 
 def raw_trade(
-    tables: StarTables,
-    direction: str,
-    columns: Collection[str] | None = None,
-    years: tuple[int, int] | None = None,
+    tables: StarTables, direction: str, columns: Collection[str] | None = None
 ) -> DataFrame:
-    """Raw exports or imports.
-
-    ``columns`` lists the raw columns to fill, the others come back as NULL.
-    ``years`` keeps an inclusive range of files' years; it is a plain range on the ship
-    date so that the scan can use it.
-    """
+    """Raw exports or imports; ``columns`` lists the raw columns to fill, the others come back as NULL."""
     schema = RAW_TRADE[direction]
     wanted = set(schema.names if columns is None else columns)
     lines = tables["lineitem"].where(f"l_linestatus = '{STATUS[direction]}'")
-    if years is not None:
-        first, after = F.lit(datetime(years[0], 1, 1)), F.lit(datetime(years[1] + 1, 1, 1))
-        shipped = F.col("l_shipdate")
-        lines = lines.where(
-            (shipped >= first.cast("timestamp_ntz")) & (shipped < after.cast("timestamp_ntz"))
-        )
     if wanted & {"CO_UNID", "SG_UF_NCM"}:
         parts = tables["part"].select("p_partkey", "p_brand", "p_size")
         lines = lines.join(parts, F.expr("l_partkey = p_partkey"), "left")

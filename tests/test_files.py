@@ -113,6 +113,32 @@ def test_failed_write_publishes_nothing(spark, tmp_path):
     assert not landing.exists(spark, path)
 
 
+def test_failed_overwrite_keeps_the_stored_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_table(spark.range(3), path)
+    with pytest.raises(PySparkException):
+        sinks.write_table(spark.range(9).selectExpr("assert_true(id < 8)", "id"), path)
+    assert spark.read.parquet(path).count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_overwrite_replaces_all_partitions_and_may_read_its_own_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_table(spark.range(6).selectExpr("id % 3 AS k", "id"), path, ["k"])
+    sinks.write_table(spark.read.parquet(path).where("k < 2"), path, ["k"])
+    assert rows_of(spark.read.parquet(path), "k", "id") == [(0, 0), (0, 3), (1, 1), (1, 4)]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_files_of_no_published_name_are_listed(spark, tmp_path):
+    write(tmp_path / "EXP_2020.csv", "x", "1")
+    write(tmp_path / "exp_2021.csv", "x", "1")
+    write(tmp_path / "EXP_2022.CSV", "x", "1")
+    write(tmp_path / "OTHER.csv", "x", "1")
+    found = {row[0].rsplit("/", 1)[1] for row in landing.unknown(spark, str(tmp_path)).collect()}
+    assert found == {"exp_2021.csv", "EXP_2022.CSV", "OTHER.csv"}
+
+
 def test_tables_are_compressed_with_zstd(spark, tmp_path):
     sinks.write_table(spark.range(3), str(tmp_path / "t"))
     assert [p.name.endswith(".zstd.parquet") for p in (tmp_path / "t").glob("*.parquet")]

@@ -142,6 +142,39 @@ def test_partner_share_counts_every_import_of_the_year(spark):
     assert analytics.partner_import_share(trade(spark, *rows), countries).count() == 2
 
 
+def test_sorted_queries_put_null_keys_last(spark):
+    """Hand-built marts, scattered so that nothing is in order by chance."""
+    balance = table(
+        spark,
+        "ano int, mes string, data_ref date, sg_uf string, vl_exp_fob_usd double, vl_imp_fob_usd double, "
+        "saldo_fob_usd double, corrente_comercio_usd double",
+        *[
+            (year, "01", None, state, value, 0.0, value, value)
+            for year, state, value in [
+                (2021, "SP", 1.0), (None, "RO", 9.0), (2020, None, 5.0), (2020, "MG", None), (2020, "AC", 7.0), (2021, "BA", 3.0),
+            ]
+        ],
+    ).repartition(5)
+    assert [r[0] for r in analytics.list_states(balance).collect()] == ["AC", "BA", "MG", "RO", "SP"]
+    detail = analytics.balance_detail(balance, None, 2020, 2021).collect()
+    assert [(r.ano, r.saldo_usd) for r in detail] == [(2020, 7.0), (2020, 5.0), (2020, None), (2021, 3.0), (2021, 1.0)]
+    assert [r.ano for r in analytics.balance_by_year(balance).collect()] == [2020, 2021, None]
+    states = analytics.balance_top_states(balance, None, 2020, 2021, 9).collect()
+    assert [r.sg_uf for r in states] == ["AC", None, "BA", "SP", "MG"]
+
+    blocs = table(
+        spark,
+        "ano int, mes string, data_ref date, direcao string, co_bloco string, no_bloco string, vl_fob_usd double, kg_liquido bigint",
+        *[(2020, "02", None, "EXP", code, name, value, 1) for code, name, value in [("3", None, 2.0), ("2", "b", None), ("1", "a", 4.0)]],
+        (2020, "01", None, "EXP", "2", "b", 1.0, 1),
+    ).repartition(5)
+    assert [r.co_bloco for r in analytics.list_blocs(blocs).collect()] == ["1", "2", "3"]
+    assert [r.no_bloco for r in analytics.bloc_annual_series(blocs, None, "EXP").collect()] == ["a", "b", None]
+    assert [(r.mes, r.vl_fob_usd) for r in analytics.bloc_detail(blocs, None, "EXP").collect()] == [
+        ("01", 1.0), ("02", 4.0), ("02", 2.0), ("02", None),
+    ]
+
+
 def test_unknown_direction_is_refused(spark):
     with pytest.raises(ValueError, match="unknown direction"):
         marts.state_month_totals(trade(spark), "XXX", "vl_fob_usd")

@@ -51,6 +51,35 @@ def test_matches_sql(spark, duck, name):
     assert not any(isinstance(v, float) and math.isnan(v) for row in rows for v in row)
 
 
+# What each sorted query promises; a minus is descending. NULL comes last in both engines.
+SORTED = {
+    "list_states": ("sg_uf",),
+    "list_blocs": ("no_bloco", "co_bloco"),
+    "balance_monthly_series": ("data_ref",),
+    "balance_top_states": ("-saldo_usd", "sg_uf"),
+    "balance_detail": ("ano", "-saldo_usd"),
+    "balance_by_year": ("ano",),
+    "top_products": ("rank_ano_direcao",),
+    "top_chapters": ("-vl_fob_usd",),
+    "top_export_states_year": ("-exp_bilhoes_usd", "sg_uf"),
+    "bloc_annual_series": ("ano", "no_bloco"),
+    "bloc_annual_share": ("ano", "no_bloco"),
+    "bloc_detail": ("ano", "mes", "-vl_fob_usd"),
+    "partner_import_share": ("ano", "-vl_fob_usd", "co_pais"),
+}
+
+
+@pytest.mark.parametrize("name", SORTED)
+def test_sorted_queries_keep_their_order(spark, duck, name):
+    """The sort keys of the rows, in the order they come, against the same order in SQL."""
+    keys = [key.lstrip("-") for key in SORTED[name]]
+    found = [tuple(row[k] for k in keys) for row in registry.registered()[name](spark, FOLDER).collect()]
+    order = ", ".join(f"{key.lstrip('-')} {'DESC' if key[0] == '-' else 'ASC'} NULLS LAST" for key in SORTED[name])
+    sql = f"SELECT {', '.join(keys)} FROM ({oracle.statements()[name]}) ORDER BY {order}"
+    assert found == duck.execute(sql).fetchall()
+    assert len(found) > 1
+
+
 def test_every_statement_belongs_to_a_query():
     assert set(registry.registered()) == set(oracle.statements())
     assert set(registry.registered()) <= set(entry_point.queries())

@@ -163,6 +163,49 @@ def test_failed_refresh_keeps_the_stored_rows(spark, config, tmp_path):
     assert rows_of(stored, SOURCE, "VL_FOB") == [("EXP_2020", 100), ("EXP_2020", 100), ("EXP_2021", 50)]
 
 
+def test_failed_refresh_keeps_a_stored_code_table(spark, config, tmp_path):
+    ingest.convert(spark, config)
+    put(tmp_path / "landing/aux/VIA.csv", "CO_VIA;NO_VIA", "01")
+    report = ingest.convert(spark, config)
+    assert statuses(report)["VIA"] == "FAILED"
+    assert rows_of(spark.read.parquet(config.layout.code_table("VIA"))) == [("01", "Marítima")]
+
+
+def test_report_gives_real_columns_reasons_and_unknown_files(spark, config, tmp_path):
+    put(tmp_path / "landing/exp/EXP_2021.csv", EXPORT_HEADER + ";MORE", export(2021, 5) + ";x")
+    put(tmp_path / "landing/exp/EXP_2022.csv", EXPORT_HEADER.replace("VL_FOB", "VALUE"), export(2022, 5))
+    put(tmp_path / "landing/exp/EXP_2023.csv", EXPORT_HEADER, export("year", 5))
+    put(tmp_path / "landing/exp/exp_2024.csv", EXPORT_HEADER, export(2024, 5))
+    rows = {row.arquivo.rsplit("/", 1)[-1]: row for row in ingest.convert(spark, config).collect()}
+    assert (rows["EXP_2020"].colunas, rows["EXP_2021"].colunas, rows["VIA"].colunas) == (11, 12, 2)
+    assert rows["EXP_2022"].status == rows["EXP_2023"].status == "FAILED"
+    assert "lacks VL_FOB" in rows["EXP_2022"].motivo and "year" in rows["EXP_2023"].motivo
+    assert rows["EXP_2020"].motivo is None
+    assert (rows["exp_2024.csv"].status, rows["exp_2024.csv"].linhas) == ("UNKNOWN", None)
+
+
+def test_staged_rows_of_converted_files_are_pruned_by_year(spark, config):
+    ingest.convert(spark, config)
+    staged = pipeline.stage(pipeline.stored_raw(spark, config.layout), 2021, 2021)["stg_exportacoes"]
+    scan = next(x for x in staged._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x)
+    assert "GreaterThanOrEqual(ano,2021)" in scan and "LessThanOrEqual(ano,2021)" in scan
+    assert rows_of(staged, "ano", "vl_fob_usd") == [(2021, 50.0)]
+
+
+def test_raw_tables_of_several_generations_are_united(spark, config):
+    """A file stored by another converter: numeric codes, another order, no integer year."""
+    ingest.convert(spark, config)
+    old = spark.createDataFrame([(5, 101600, "2019")], "VL_FOB bigint, CO_NCM bigint, CO_ANO string")
+    old.write.parquet(f"{config.layout.raw('EXP')}/{SOURCE}=EXP_2019")
+    raw = pipeline.stored_raw(spark, config.layout)["EXP"]
+    assert rows_of(raw, "ano", "CO_NCM", "VL_FOB") == [
+        (2019, "101600", 5),
+        (2020, "00101600", 100),
+        (2020, "00101600", 100),
+        (2021, "99999999", 50),
+    ]
+
+
 def test_bad_file_fails_alone(spark, config, tmp_path):
     put(tmp_path / "landing/exp/EXP_2020.csv", EXPORT_HEADER, export(2020, "many"))
     found = statuses(ingest.convert(spark, config))

