@@ -27,7 +27,9 @@ def money(raw: str, name: str) -> str:
 
 
 def month_start(year: str, month: str, name: str) -> str:
-    return f"make_date(int({year}), int({month}), 1) AS {name}"
+    """First day of a month; NULL where ``month`` is none, which the tests of the models report."""
+    known = f"try_cast({month} AS INT) BETWEEN 1 AND 12"
+    return f"CASE WHEN {known} THEN make_date(int({year}), int({month}), 1) END AS {name}"
 
 
 def cif(fob: str, charges: tuple[str, ...], name: str) -> str:

@@ -1,4 +1,4 @@
-"""The batch job: convert, stage, test, write core, test, write marts, test."""
+"""The batch job: convert, test code tables, write core, test it, publish it, write marts, test them."""
 
 from __future__ import annotations
 
@@ -19,6 +19,10 @@ from fairlead.sources import landing
 from fairlead.sources.files import SOURCE, read_parquet_by_name
 
 
+# Staged trade models and their direction.
+TRADE_MODELS = {"stg_exportacoes": EXPORT, "stg_importacoes": IMPORT}
+
+
 def run(spark: SparkSession, config: JobConfig) -> DataFrame:
     """Convert the landing zone and build the warehouse; return the quality report."""
     absent = missing_files(spark, config)
@@ -84,26 +88,36 @@ def build(
     """Build core and marts from raw tables, testing each layer before the next one.
 
     Core is written once, partitioned by direction and year; every mart then reads the
-    columns and partitions it needs instead of the raw tables.
+    columns and partitions it needs instead of the raw tables. The raw trade rows are parsed
+    only for that write: the fact holds the staged rows with all their columns, so the tests
+    of the trade models read it before it is published. A failed one leaves the core of an
+    earlier build in place.
     """
     layout = config.layout
     models = stage(raw, config.first_year, config.last_year)
     checks = list(checks)
-    gating, warning = _by_layer(checks, "error"), _by_layer(checks, "warn")
-    reports = [_tested(spark, config, models, gating[quality.STAGING], quality.STAGING)]
+    mart_checks = [c for c in checks if c.layer == quality.MARTS]
+    code_checks = [c for c in checks if c.layer == quality.STAGING and c.model not in TRADE_MODELS]
+    core_checks = [c for c in checks if c not in mart_checks and c not in code_checks]
+    reports = [_tested(spark, config, models, code_checks, quality.STAGING)]
 
     fact = core.trade(models["stg_exportacoes"], models["stg_importacoes"])
-    sinks.write_table(fact, layout.core("core_comercio"), ["direcao", "ano"])
-    sinks.write_table(core.products(models["stg_ncm"]), layout.core("core_produtos"))
-    models |= stored_core(spark, layout)
-    # Tests that only warn gate nothing, so those of staging wait for the fact: it holds
-    # the same rows, and a test reads one typed column of it instead of parsing raw rows.
-    stored = models | {
-        "stg_exportacoes": filters.direction(models["core_comercio"], EXPORT),
-        "stg_importacoes": filters.direction(models["core_comercio"], IMPORT),
+    written = {
+        "core_produtos": sinks.write_unpublished(core.products(models["stg_ncm"]), layout.core("core_produtos")),
+        "core_comercio": sinks.write_unpublished(fact, layout.core("core_comercio"), ["direcao", "ano"]),
     }
-    core_checks = warning[quality.STAGING] + warning[quality.CORE] + gating[quality.CORE]
-    reports.append(_tested(spark, config, stored, core_checks, quality.CORE))
+    try:
+        tested = models | _core_tables(spark, written["core_comercio"], written["core_produtos"])
+        for model, direction in TRADE_MODELS.items():
+            tested[model] = filters.direction(tested["core_comercio"], direction)
+        reports.append(_tested(spark, config, tested, core_checks, quality.CORE))
+    except Exception:
+        for path in written.values():
+            sinks.discard(spark, path)
+        raise
+    for name, path in written.items():
+        sinks.publish(spark, path, layout.core(name))
+    models |= stored_core(spark, layout)
 
     trade, products = models["core_comercio"], models["core_produtos"]
     totals = stored_totals(spark, layout, trade)
@@ -121,7 +135,6 @@ def build(
 
     side_by_side(spark, write, plans)
     models |= stored_marts(spark, layout)
-    mart_checks = gating[quality.MARTS] + warning[quality.MARTS]
     reports.append(_tested(spark, config, models, mart_checks, quality.MARTS))
     return reduce(DataFrame.unionByName, [r for r in reports if r is not None])
 
@@ -143,27 +156,18 @@ def stored_totals(spark: SparkSession, layout: Layout, trade: DataFrame) -> dict
 
 
 def stored_core(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
+    return _core_tables(spark, layout.core("core_comercio"), layout.core("core_produtos"))
+
+
+def _core_tables(spark: SparkSession, fact: str, products: str) -> dict[str, DataFrame]:
     # The fact's schema is given: reading back must not guess the partition columns' types.
-    return {
-        "core_comercio": spark.read.schema(TRADE).parquet(layout.core("core_comercio")),
-        "core_produtos": spark.read.parquet(layout.core("core_produtos")),
-    }
+    return {"core_comercio": spark.read.schema(TRADE).parquet(fact), "core_produtos": spark.read.parquet(products)}
 
 
 def stored_marts(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(layout.mart(name)) for name in quality.MART_GRAINS}
 
 
-def _by_layer(checks: Iterable[quality.Check], severity: str) -> dict[str, list[quality.Check]]:
-    layers: dict[str, list[quality.Check]] = {
-        layer: [] for layer in (quality.STAGING, quality.CORE, quality.MARTS)
-    }
-    for check in checks:
-        if check.severity == severity:
-            layers[check.layer].append(check)
-    return layers
-
-
 def _tested(
     spark: SparkSession,
     config: JobConfig,

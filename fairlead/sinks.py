@@ -22,24 +22,33 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
     if mode != "overwrite":
         _writer(df, partition_by).mode(mode).parquet(path)
         return
+    publish(df.sparkSession, write_unpublished(df, path, partition_by), path)
+
+
+def write_unpublished(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
+    """Write what is to become the table at ``path``; returns where it waits for ``publish``."""
     parent, name = path.rstrip("/").rsplit("/", 1)
     staged = f"{parent}/_new-{uuid.uuid4().hex}-{name}"
-    spark = df.sparkSession
     try:
         _writer(df, partition_by).parquet(staged)
     except Exception:
-        _files(spark, staged, lambda fs, at: fs.delete(at, True))
+        discard(df.sparkSession, staged)
         raise
-    _take_place(spark, staged, f"{parent}/{name}")
+    return staged
+
 
+def discard(spark: SparkSession, staged: str) -> None:
+    """Drop what ``write_unpublished`` wrote."""
+    _files(spark, staged, lambda fs, at: fs.delete(at, True))
 
-def _take_place(spark: SparkSession, staged: str, path: str) -> None:
+
+def publish(spark: SparkSession, staged: str, path: str) -> None:
     """Rename ``staged`` to ``path``; what was there goes once that is done.
 
     Between the two renames the old table lies beside the new one, under a name that starts
     with ``_old-``; if the second fails it goes back.
     """
-    parent, name = path.rsplit("/", 1)
+    parent, name = path.rstrip("/").rsplit("/", 1)
     old = f"{parent}/_old-{uuid.uuid4().hex}-{name}"
 
     def rename(source: str, target: str) -> None:

@@ -230,6 +230,15 @@ def test_failed_test_stops_the_build_before_the_next_layer(spark, config, tmp_pa
     ]
 
 
+def test_failed_test_of_the_fact_keeps_the_core_of_the_last_build(spark, config, tmp_path):
+    pipeline.run(spark, config)
+    put(tmp_path / "landing/exp/EXP_2021.csv", EXPORT_HEADER, "2021;13;1;11;160;SP;01;1;1;2;3", "2021;;1;11;160;SP;01;1;1;2;3")
+    with pytest.raises(quality.QualityError, match="stg_exportacoes.mes accepted_values: 1; stg_exportacoes.mes not_null: 1"):
+        pipeline.run(spark, config)
+    assert pipeline.stored_core(spark, config.layout)["core_comercio"].count() == 4
+    assert sorted(p.name for p in (tmp_path / "warehouse/core").iterdir() if "comercio" in p.name) == ["core_comercio"]
+
+
 def test_run_without_any_file_of_a_direction(spark, config, tmp_path):
     only_exports = JobConfig(config.landing_root, str(tmp_path / "other"), directions=("EXP",), allow_missing=True)
     pipeline.run(spark, only_exports)
