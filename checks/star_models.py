@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fairlead import sinks
 from fairlead.config import Layout
@@ -105,13 +106,20 @@ class StarModels:
 
     # -- whole warehouse -------------------------------------------------------
 
-    def store_raw(self, layout: Layout) -> None:
-        """Write the raw tables where the converter would, with the year it adds."""
+    def store_raw(self, layout: Layout, copies: int = 1) -> None:
+        """Write the raw tables where the converter would, with the year it adds.
+
+        ``copies`` repeats every trade row, for a table of a given size. The copies are
+        scattered by hash: side by side they would be stored far smaller than real rows.
+        """
 
         def store(name: str) -> None:
             if name in RAW_TRADE:
-                rows = sinks.rebalanced(staging.dated(self.labelled(name)), SOURCE)
-                sinks.write_table(rows, layout.raw(name), [SOURCE])
+                rows = staging.dated(self.labelled(name))
+                if copies > 1:
+                    rows = rows.selectExpr("*", f"explode(sequence(1, {copies})) AS copia")
+                    rows = rows.sortWithinPartitions(F.xxhash64(*rows.columns)).drop("copia")
+                sinks.write_table(sinks.rebalanced(rows, SOURCE), layout.raw(name), [SOURCE])
             else:
                 sinks.write_table(self.code(name), layout.code_table(name))
 
