@@ -18,6 +18,8 @@ from fairlead.llm.common import byte_values, kept_fields, slices, stored
 # Bounds of the samples the automata are inferred from: distinct values a kind, and of other words.
 SAMPLE_VALUES = 1000
 SAMPLE_WORDS = 4000
+# About 3.4 standard deviations above the median, were the ratios of words normal.
+WORD_SPREADS = 5.0
 CHUNK_BYTES = 4 << 20
 REPLACEMENT = "[SECRET]"
 
@@ -90,13 +92,22 @@ class Formats:
 
 
 def learn(credentials: dict[int, list[bytes]], words: list[bytes]) -> Formats:
-    """Automata from labelled credentials, and bounds that ordinary words do not reach.
+    """Automata from labelled credentials, and bounds that ordinary words hardly reach.
 
     Every second value is kept from the inference and sets the bounds: a candidate must
     have no larger share of unseen characters than all but a hundredth of the credentials,
-    and a likelihood ratio above that of every sampled word and of the worst hundredth of
-    the credentials. A kind with fewer than 20 values gets no automaton.
+    and a likelihood ratio above that of the worst hundredth of the credentials and above
+    ``WORD_SPREADS`` times the median's distance to the lower quartile over the median of the
+    words. The words are unlabelled, so credentials may be among them: neither quartile nor
+    median lets a few of those set the bound. Words found to be credentials are left out of a
+    second inference. A kind with fewer than 20 values gets no automaton.
     """
+    formats = _fitted(credentials, words)
+    plain = formats.kinds and [x for x in words if formats.kind_of(x) < 0]
+    return _fitted(credentials, plain) if plain and len(plain) < len(words) else formats
+
+
+def _fitted(credentials: dict[int, list[bytes]], words: list[bytes]) -> Formats:
     formats = Formats()
     if not words:
         return formats
@@ -106,8 +117,10 @@ def learn(credentials: dict[int, list[bytes]], words: list[bytes]) -> Formats:
             continue
         formats.kinds[kind] = infer(values[::2]).tables()
         own, unseen = np.array([formats.fit(kind, x) for x in values[1::2]]).T
-        other = max(formats.fit(kind, x)[0] for x in words)
-        formats.least[kind] = max(float(np.quantile(own, 0.01)), other, 0.0)
+        low, middle = np.quantile([formats.fit(kind, x)[0] for x in words], [0.25, 0.5])
+        other = float(middle + WORD_SPREADS * (middle - low))
+        # Just below the quantile: with few values it is the least one, which must pass itself.
+        formats.least[kind] = max(float(np.quantile(own, 0.01)) - 1e-9, other, 0.0)
         formats.unseen[kind] = float(np.quantile(unseen, 0.99))
     return formats
 
