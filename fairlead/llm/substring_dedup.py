@@ -133,16 +133,22 @@ class _Packer:
             return
         least, ids, versions, starts, windows, hashes = (np.concatenate(x) for x in zip(*self.columns))
         texts = self.texts
-        # Equal super-k-mers of this task: only the earliest carries its words.
+        # Equal super-k-mers of this task: only the earliest carries its words. One at the same
+        # place of the same document is that of a repeated row.
         order = np.lexsort((starts, versions, ids, hashes))
         head = np.ones(len(order), dtype=bool)
         head[1:] = hashes[order[1:]] != hashes[order[:-1]]
         origin = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
-        for k, o in zip(order[~head].tolist(), origin[~head].tolist()):
+        k, o = order[~head], origin[~head]
+        again = (ids[k] == ids[o]) & (versions[k] == versions[o]) & (starts[k] == starts[o])
+        sent = np.ones(len(order), dtype=bool)
+        for k, o, row in zip(k.tolist(), o.tolist(), again.tolist()):
             if texts[k] == texts[o]:
+                sent[k] = not row
                 texts[k] = b""
         bucket = ((least * _U(0x9E3779B97F4A7C15)) >> _U(20)) % _U(self.buckets)
         order = np.argsort(bucket, kind="stable")
+        order = order[sent[order]]
         edges = np.flatnonzero(np.diff(bucket[order])) + 1
         for part in np.split(order, edges):
             yield int(bucket[part[0]]), _pack(
@@ -184,10 +190,10 @@ def _chunks(batches: Iterator[pa.RecordBatch], window: int):
 
 
 def _first_matches(text, offsets, lengths, ranks, window):
-    """For the super-k-mers of one bucket, the windows that occur earlier, as flags.
+    """For the super-k-mers of one bucket, the first window equal to each window.
 
-    Returns (flags, record of each window, place of it in its record), windows in the order
-    of (document, start).
+    Returns (first window, record of each window, place of it in its record), windows in the
+    order of (document, start).
     """
     spans = Spans(text)
     first = np.searchsorted(spans.starts, offsets)
@@ -218,12 +224,10 @@ def _first_matches(text, offsets, lengths, ranks, window):
     proven[proven] = same_bytes(text, from_a[proven], from_o[proven], (b[k] - from_a)[proven])
     if not proven.all():
         # Two different windows with one hash: settle the bucket on the words themselves.
-        seen: set[bytes] = set()
+        seen: dict[bytes, int] = {}
         for w in range(len(at)):
-            words_of = text[a[w] : b[w]].tobytes()
-            repeats[w] = words_of in seen
-            seen.add(words_of)
-    return repeats, record, place
+            origin[w] = seen.setdefault(text[a[w] : b[w]].tobytes(), w)
+    return origin, record, place
 
 
 def _bucket_ranges(blobs: list[bytes], window: int) -> tuple[np.ndarray, ...]:
@@ -237,8 +241,11 @@ def _bucket_ranges(blobs: list[bytes], window: int) -> tuple[np.ndarray, ...]:
         ids, versions, starts, lengths = (x[~copies] for x in (ids, versions, starts, lengths))
         ranks = np.empty(len(ids), dtype=np.int64)
         ranks[np.lexsort((starts, versions, ids))] = np.arange(len(ids))
-        repeats, record, place = _first_matches(text, np.cumsum(lengths) - lengths, lengths, ranks, window)
-        k = np.flatnonzero(repeats)
+        origin, record, place = _first_matches(text, np.cumsum(lengths) - lengths, lengths, ranks, window)
+        k = np.flatnonzero(origin != np.arange(len(origin)))
+        # A window at the place of its first is that of a repeated row, and not later.
+        a, b = record[k], record[origin[k]]
+        k = k[(ids[a] != ids[b]) | (versions[a] != versions[b]) | (starts[a] + place[k] != starts[b] + place[origin[k]])]
         if len(k):
             new = np.ones(len(k), dtype=bool)
             new[1:] = (np.diff(k) != 1) | (record[k[1:]] != record[k[:-1]])

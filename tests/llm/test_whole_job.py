@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from fairlead.llm import secrets
+from fairlead.llm import secrets, substring_dedup
 
 LETTERS = list("abcdefghijklmnopqrstuvwxyz")
 ALNUM = list("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
@@ -25,3 +25,27 @@ def test_unlabelled_credentials_of_a_known_format_are_found(spark, n_words, n_pl
     found = [k for k in range(n_planted) if rows[200 + k].redacted == "here [SECRET] there"]
     assert len(found) >= 0.9 * n_planted
     assert sum(len(rows[k].spans) for k in range(200 + n_planted, len(texts))) <= n_words / 1000
+
+
+@pytest.mark.parametrize("partitions", [1, 6])
+def test_repeated_rows_keep_what_occurs_nowhere_else(spark, partitions):
+    alone = " ".join(f"a{k}" for k in range(300))
+    within = " ".join(f"b{k % 25}" for k in range(50))
+    rows = [(1, alone), (1, alone), (1, alone), (2, within), (2, within), (3, "see " + alone)]
+    rows += [(None, "n " + alone.upper()), (None, "n " + alone.upper()), (4, alone + " x"), (4, "y " + within), (4, "y " + within)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(partitions)
+    result = substring_dedup.dedup_substrings(docs).collect()
+    first = " ".join(f"b{k}" for k in range(25))
+    kept = {1: {alone}, 2: {first}, 3: {"see"}, None: {"n " + alone.upper()}, 4: {"x", "y"}}
+    assert len(result) == len(rows)
+    assert {i: {r.kept for r in result if r.doc_id == i} for i in kept} == kept
+
+
+def test_windows_of_one_hash_are_told_apart(spark, monkeypatch):
+    """Two copies of a record, and the words compared one by one."""
+    monkeypatch.setattr(substring_dedup, "same_bytes", lambda text, a, b, n: np.zeros(len(a), dtype=bool))
+    text = " ".join(f"c{k}" for k in range(30)).encode() + b" "
+    blobs = [
+        substring_dedup._pack(np.array([i]), np.array([0]), np.array([0]), np.array([11]), [text]) for i in (5, 5, 6)
+    ]
+    assert np.concatenate(substring_dedup._bucket_ranges(blobs, 20)).tolist() == [6, 0, 0, 30]
