@@ -4,22 +4,27 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairlead.llm.common import byte_values, kept_fields, slices
+from fairlead.llm.words import ragged
 
 DROPOUT = 0.1
-# Texts draw one of this many segmentations of a word.
-VARIANTS = 4
 CHUNK_BYTES = 2 << 20
+# Remembered words and segmentations of a worker, and words that draw at once.
 CACHE_WORDS = 1_000_000
+BLOCK_WORDS = 1 << 16
+# A remembered segmentation goes by word number and one bit for each merge that may be skipped.
+MASK_BITS = 42
+# A word is merged anew until it has occurred so often; rare ones are not worth their candidates.
+LEARN_AT = 12
 
 SPACE = "▁"
 # A space sign that stands in the text itself: it never merges and is written as bytes.
@@ -70,6 +75,7 @@ class Pieces:
                 left, right = self.ids.get(piece[:k]), self.ids.get(piece[k:])
                 if left is not None and right is not None:
                     pairs.append((left << 32 | right, i, self.costs[piece]))
+        self.beginnings = {piece[:k] for piece in self.ids for k in range(2, len(piece) + 1)}
         pairs.sort()
         keys, pieces, costs = zip(*pairs)
         self.pair_keys = np.array(keys, dtype=np.int64)
@@ -101,6 +107,19 @@ class Pieces:
             out[k] = np.array(self._merge_one(texts[k], bound, int(keys[k])), dtype="<u4").tobytes()
         return out
 
+    def candidates(self, word: bytes) -> list[tuple[int, int]]:
+        """(place, length) of all merges that any segmentation of a word may make."""
+        text = word.decode("utf-8", "replace").replace(SPACE, "\0").replace(" ", SPACE)
+        n, ids, beginnings, found = len(text), self.ids, self.beginnings, []
+        for a in range(n - 1):
+            for b in range(a + 2, n + 1):
+                part = text[a:b]
+                if part not in beginnings:
+                    break
+                if part in ids:
+                    found.append((a, b - a))
+        return found
+
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(cost, piece) of adjacent pieces; infinite where they form none."""
         wanted = left.astype(np.int64) << 32 | np.maximum(right, 0)
@@ -208,38 +227,112 @@ def _pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit hashes of 64-bit numbers."""
+    u = np.uint64
+    x = (x ^ (x >> u(30))) * u(_MIX)
+    x = (x ^ (x >> u(27))) * u(0x94D049BB133111EB)
+    return x ^ (x >> u(31))
+
+
 class Encoder:
-    """Remembers the ids of words, per variant of the dropout."""
+    """Draws for every word of every text; remembers the ids by word and skipped merges."""
 
     def __init__(self, pieces: Pieces, dropout: float, seed: int):
         self.pieces, self.dropout, self.seed = pieces, dropout, seed
         self._clear()
 
     def _clear(self) -> None:
-        self.known: list[dict[bytes, bytes]] = [{} for _ in range(VARIANTS)]
-
-    def encode(self, texts: list[bytes], variants: list[int]) -> list[bytes]:
-        """Little-endian 32-bit ids of whole texts; an empty one has none."""
-        if sum(map(len, self.known)) > CACHE_WORDS:
+        self.numbers: dict[bytes, int] = {}
+        # Per word: its occurrences, where its candidate merges begin, how many they are (-1: not
+        # known yet, -2: too many to remember).
+        self.seen, self.salts, self.first, self.merges = array("q"), array("Q"), array("q"), array("q")
+        self.known: dict[int, bytes] = {}
+
+    def encode(self, texts: list[bytes], documents: list[int]) -> list[bytes]:
+        """Little-endian 32-bit ids of whole texts, drawn by 64-bit ``documents``; an empty one has none."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        words: list[bytes] = []
+        runs: list[tuple[int, int, int, int]] = []
+
+        def flush() -> None:
+            owners, drawn_by, positions, counts = zip(*runs)
+            found, at = self._block(words, self._keys(drawn_by, positions, counts)), 0
+            for owner, n in zip(owners, counts):
+                out[owner].append(b"".join(found[at : at + n]))
+                at += n
+            words.clear()
+            runs.clear()
+
+        for k, (text, document) in enumerate(zip(texts, documents)):
+            position = 0
+            for segment in _segments(text):
+                for at in range(0, len(segment), BLOCK_WORDS):
+                    some = segment[at : at + BLOCK_WORDS]
+                    runs.append((k, document & _M64, position, len(some)))
+                    words += some
+                    position += len(some)
+                    if len(words) >= BLOCK_WORDS:
+                        flush()
+        if words:
+            flush()
+        return [b"".join(x) for x in out]
+
+    def _keys(self, documents, positions, counts) -> np.ndarray:
+        """One key for each word, by seed, document and position."""
+        u, counts = np.uint64, np.array(counts)
+        base = _mixed(np.array(documents, dtype=u) ^ u(self.seed * _LENGTH & _M64))
+        return _mixed(np.repeat(base, counts) + ragged(np.array(positions), counts).astype(u) * u(_PLACE))
+
+    def _block(self, words: list[bytes], keys: np.ndarray) -> list[bytes]:
+        if len(self.numbers) + len(self.known) > CACHE_WORDS:
             self._clear()
-        out = [b"".join(self._parts(t, v)) for t, v in self._learned(texts, variants)]
-        return out
-
-    def _learned(self, texts: list[bytes], variants: list[int]) -> list[tuple[list[list[bytes]], int]]:
-        """The words of each text, in segments, all of them known by now."""
-        split = [(list(_segments(t)), v) for t, v in zip(texts, variants)]
-        for variant, known in enumerate(self.known):
-            new = list({w for parts, v in split if v == variant for part in parts for w in part if w not in known})
-            if new:
-                seed = self.seed * VARIANTS + variant
-                keys = np.array([xxhash.xxh64_intdigest(w, seed) for w in new], dtype=np.uint64)
-                known.update(zip(new, self.pieces.segment(new, self.dropout, keys)))
-        return split
-
-    def _parts(self, segments: list[list[bytes]], variant: int) -> Iterator[bytes]:
-        known = self.known[variant]
-        for words in segments:
-            yield b"".join(map(known.__getitem__, words))
+        fresh = set(words).difference(self.numbers)
+        self.numbers.update(zip(fresh, range(len(self.numbers), len(self.numbers) + len(fresh))))
+        for column, value in ((self.seen, 0), (self.first, 0), (self.merges, -1)):
+            column.extend([value] * len(fresh))
+        number = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+        seen = np.frombuffer(self.seen, dtype=np.int64)
+        seen += np.bincount(number, minlength=len(seen))
+        merges = np.frombuffer(self.merges, dtype=np.int64)
+        due, at = np.unique(number, return_index=True)
+        for k in at[(merges[due] == -1) & (seen[due] >= LEARN_AT)].tolist():
+            self._learn(words[k])
+        first = np.frombuffer(self.first, dtype=np.int64)
+        many = merges[number] < 0
+        wanted = number << MASK_BITS
+        bound = int(self.dropout * 65536)
+        if bound and len(self.salts):
+            counts = np.maximum(merges[number], 0)
+            drawn = np.repeat(keys, counts)
+            drawn ^= np.frombuffer(self.salts, dtype=np.uint64)[ragged(first[number], counts)]
+            drawn *= np.uint64(_MIX)
+            skipped = np.flatnonzero(drawn >> np.uint64(48) < bound)
+            ends = np.cumsum(counts)
+            owner = np.searchsorted(ends, skipped, side="right")
+            bit = skipped - (ends - counts)[owner]
+            # Sums of different powers of two below 2 ** 53 are exact.
+            wanted += np.bincount(owner, np.ldexp(1.0, bit), len(words)).astype(np.int64)
+        known = self.known
+        listed, at = np.unique(wanted[~many], return_index=True)
+        at = np.flatnonzero(~many)[at]
+        new = np.array([k for k, x in zip(at.tolist(), listed.tolist()) if x not in known], dtype=np.int64)
+        some = np.concatenate([new, np.flatnonzero(many)])
+        merged = self.pieces.segment([words[k] for k in some], self.dropout, keys[some]) if len(some) else []
+        known.update(zip(wanted[new].tolist(), merged))
+        found = list(map(known.get, wanted.tolist()))
+        for k, ids in zip(some[len(new) :].tolist(), merged[len(new) :]):
+            found[k] = ids
+        return found
+
+    def _learn(self, word: bytes) -> None:
+        number = self.numbers[word]
+        found = self.pieces.candidates(word) if len(word) <= 4 * FEW_SYMBOLS else None
+        if found is None or len(found) > MASK_BITS:
+            self.merges[number] = -2
+            return
+        self.first[number], self.merges[number] = len(self.salts), len(found)
+        self.salts.extend([(place * _PLACE + length * _LENGTH) & _M64 for place, length in found])
 
 
 def _segments(text: bytes) -> Iterator[list[bytes]]:
@@ -263,8 +356,8 @@ def encode(
     """The ``keep`` columns of every row of ``docs`` and ``ids``: little-endian 32-bit piece ids.
 
     Each candidate merge is skipped with probability ``dropout`` by a hash of the seed, the
-    text's variant (one of ``VARIANTS``, drawn by its doc_id) and the candidate, so a seed
-    gives the same ids anywhere and another seed others. Without dropout the ids are those
+    doc_id and text, the position of the word and the candidate, so a seed gives the same ids
+    anywhere and another seed others. Without dropout the ids are those
     of the library's own encoder.
 
     Whole texts are encoded; a null or empty text has no ids; characters without a piece, and
@@ -274,15 +367,14 @@ def encode(
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(_pieces(model), dropout, seed)
         for part in slices(batches, "_piece_text", CHUNK_BYTES):
-            variants = part["_piece_variant"].to_pylist()
-            found = encoder.encode(byte_values(part["_piece_text"]), variants)
+            found = encoder.encode(byte_values(part["_piece_text"]), part["_piece_document"].to_pylist())
             kept = [part["_piece_text" if n == "text" else n] for n in keep]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(found, pa.binary())], [*keep, "ids"])
 
     given = docs.select(
         *[n for n in keep if n != "text"],
         F.col("text").cast("string").alias("_piece_text"),
-        F.expr(f"int(pmod(xxhash64({int(seed)}, doc_id), {VARIANTS}))").alias("_piece_variant"),
+        F.xxhash64("doc_id", F.col("text").cast("string")).alias("_piece_document"),
     )
     return given.mapInArrow(rows, f"{kept_fields(docs, keep)}, ids binary")
 

@@ -1,9 +1,10 @@
 """Cases where an operator once did less than its whole job."""
 
 import numpy as np
+import public_tokenizers
 import pytest
 
-from fairlead.llm import secrets, substring_dedup
+from fairlead.llm import piece_dropout, secrets, substring_dedup
 
 LETTERS = list("abcdefghijklmnopqrstuvwxyz")
 ALNUM = list("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
@@ -49,3 +50,34 @@ def test_windows_of_one_hash_are_told_apart(spark, monkeypatch):
         substring_dedup._pack(np.array([i]), np.array([0]), np.array([0]), np.array([11]), [text]) for i in (5, 5, 6)
     ]
     assert np.concatenate(substring_dedup._bucket_ranges(blobs, 20)).tolist() == [6, 0, 0, 30]
+
+
+def test_every_occurrence_of_a_word_draws_its_own_merges():
+    pieces = piece_dropout.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    text = b"international the " * 4000
+    whole = piece_dropout.Encoder(pieces, 0.1, 1)
+    ids = np.frombuffer(whole.encode([text], [7])[0], "<u4")
+    assert pieces.decode(ids) == text
+    # A word of n characters with only one merge: skipped in a tenth of its places.
+    one = next(w for w in (f" {a}".encode() for a in "abcdefghijklmnopqrstuvwxyz") if len(pieces.candidates(w)) == 1)
+    ids = np.frombuffer(whole.encode([one[1:] + one * 9999], [3])[0], "<u4")
+    assert 0.09 < (len(ids) - 10_000) / 10_000 < 0.11
+    # More segmentations than a handful, the same by any division into blocks, others by document and seed.
+    words = [b" international"] * 4000
+    keys = whole._keys([7], [0], [4000])
+    assert len(set(whole._block(words, keys))) > 40
+    assert whole._block(words, keys) == pieces.segment(words, 0.1, keys)
+    assert whole.encode([text], [7]) == piece_dropout.Encoder(pieces, 0.1, 1).encode([text], [7])
+    assert whole.encode([text], [7]) != whole.encode([text], [8])
+    assert whole.encode([text], [7]) != piece_dropout.Encoder(pieces, 0.1, 2).encode([text], [7])
+
+
+def test_remembered_segmentations_are_those_of_the_draw(monkeypatch):
+    pieces = piece_dropout.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    text = ("  two \n\u2581literal\u2581 \u65e5\u672c\u8a9e na\u00efve \U0001f600x " + "long" * 30 + " " + "word" * 8 + " ends").encode() * 50
+    words = [w for part in piece_dropout._segments(text) for w in part]
+    encoder = piece_dropout.Encoder(pieces, 0.3, 4)
+    expected = b"".join(pieces.segment(words, 0.3, encoder._keys([9], [0], [len(words)])))
+    assert encoder.encode([text], [9]) == [expected]
+    monkeypatch.setattr(piece_dropout, "BLOCK_WORDS", 7)
+    assert encoder.encode([text, b"", text], [9, 1, 9]) == [expected, b"", expected]
