@@ -67,6 +67,22 @@ def _outside(text: bytes, spans: list[Span]) -> Iterator[re.Match]:
             yield m
 
 
+def _beyond(text: bytes, spans: list[Span]) -> Iterator[re.Match]:
+    """Candidates that base spans do not cover whole."""
+    joined: list[list[int]] = []
+    for start, _, end, _ in spans:
+        if joined and start <= joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], end)
+        else:
+            joined.append([start, end])
+    k = 0
+    for m in _CANDIDATE.finditer(text):
+        while k < len(joined) and joined[k][1] < m.end():
+            k += 1
+        if k == len(joined) or joined[k][0] > m.start():
+            yield m
+
+
 @dataclass
 class Formats:
     """Automata of the kinds and of ordinary words, and what a credential of a kind must reach."""
@@ -178,7 +194,7 @@ class Scanner:
         if not self.formats.kinds:
             return base, []
         added = []
-        for m in _outside(text, base):
+        for m in _beyond(text, base):
             value = m.group()
             kind = self.known.get(value)
             if kind is None:

@@ -81,3 +81,16 @@ def test_remembered_segmentations_are_those_of_the_draw(monkeypatch):
     assert encoder.encode([text], [9]) == [expected]
     monkeypatch.setattr(piece_dropout, "BLOCK_WORDS", 7)
     assert encoder.encode([text, b"", text], [9, 1, 9]) == [expected, b"", expected]
+
+
+def test_a_credential_around_a_base_span_is_found_whole(spark):
+    rng = np.random.default_rng(8)
+    words = [drawn(rng, "", LETTERS, int(rng.integers(12, 20))) for _ in range(600)]
+    key = lambda: drawn(rng, "SK-", list("0123456789abcdef"), 16) + drawn(rng, "-", ALNUM, 8)
+    texts = [f"api_key = {key()} is set" for _ in range(300)] + [f"here {key()} there" for _ in range(40)]
+    texts += [" ".join(words[k : k + 30]) for k in range(0, 600, 30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in secrets.scan(docs, secrets.train(docs)).collect()}
+    whole = [k for k in range(300, 340) if rows[k].redacted == "here [SECRET] there"]
+    assert len(whole) >= 36
+    assert all([(s.kind, s.base) for s in rows[k].spans] == [("assign", False), ("hex", True)] for k in whole)
