@@ -8,15 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from fairlead.llm import (
+    centroid_clustering,
     chat,
     embedding_dedup,
     fingerprints,
+    line_dedup,
     packing,
     piece_dropout,
     quality,
     secrets,
     sharding,
     simhash_dedup,
+    source_divergence,
     substring_dedup,
 )
 
@@ -72,6 +75,18 @@ def op10_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.dedup_lines(_table(spark, folder, "documents")))
+
+
+def op12_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return centroid_clustering.cluster_vectors(_table(spark, folder, "embeddings"))
+
+
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence.audit(_table(spark, folder, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     queries = (
         op1_chat_formatting,
@@ -84,6 +99,9 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_fingerprints,
         op9_secrets,
         op10_simhash_dedup,
+        op11_line_dedup,
+        op12_centroid_clustering,
+        op13_source_divergence,
     )
     return {f.__name__: f for f in queries}
 
@@ -127,6 +145,108 @@ FROM vectors LEFT JOIN counts ON vec_id = counts.a JOIN least ON vec_id = least.
 """
 
 
+OP11_SQL = r"""
+WITH docs AS (SELECT doc_id, string_split(ifnull(text, ''), chr(10)) AS lines FROM documents),
+each AS (SELECT doc_id, unnest(generate_series(1, len(lines))) AS k, unnest(lines) AS line FROM docs),
+keyed AS (SELECT *, translate(trim(line, E' \t\n\x0b\f\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM each),
+firsts AS (SELECT key, min(doc_id) AS first_id FROM keyed WHERE length(key) >= 10 GROUP BY key),
+judged AS (SELECT doc_id, k, line, ifnull(doc_id > first_id, false) AS gone FROM keyed LEFT JOIN firsts USING (key))
+SELECT doc_id, count(*) AS n_lines, CAST(count_if(gone) AS BIGINT) AS n_dropped,
+       sha256(ifnull(string_agg(line, chr(10) ORDER BY k) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
+def op12_sql(clusters: int = 40, rounds: int = 5) -> str:
+    """Every vector meets every centroid in each round, component by component."""
+    parts = [
+        """vectors AS (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+)""",
+        "parts AS MATERIALIZED (SELECT r, unnest(generate_series(1, 64)) AS i, unnest(v) AS x FROM vectors)",
+        f"""firsts AS (
+    SELECT r, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c FROM vectors QUALIFY c < {clusters}
+)""",
+        "centroids0 AS MATERIALIZED (SELECT c, i, x FROM firsts JOIN parts USING (r))",
+    ]
+    for n in range(rounds + 1):
+        parts.append(f"""apart{n} AS (
+    SELECT r, c, sum((p.x - m.x) * (p.x - m.x)) AS d FROM parts p JOIN centroids{n} m USING (i) GROUP BY r, c
+)""")
+        parts.append(f"nearest{n} AS MATERIALIZED (SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d FROM apart{n} GROUP BY r)")
+        if n < rounds:
+            parts.append(f"""moved{n} AS (
+    SELECT c, i, sum(x) AS s, count(*) AS n FROM nearest{n} JOIN parts USING (r) GROUP BY c, i
+)""")
+            parts.append(f"""centroids{n + 1} AS MATERIALIZED (
+    SELECT c, i, ifnull((s - ((s % n) + n) % n) // n, x) AS x FROM centroids{n} LEFT JOIN moved{n} USING (c, i)
+)""")
+    return f"""
+WITH {", ".join(parts)},
+texts AS (
+    SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM centroids{rounds} GROUP BY c
+)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       centroid_sha256
+FROM nearest{rounds} JOIN vectors USING (r) JOIN texts USING (c)
+"""
+
+
+OP13_SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, ifnull(lang, '') AS lang, ifnull(source, '') AS source,
+           translate(ifnull(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents
+),
+words AS (
+    SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+),
+vocabulary AS (
+    SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 10
+),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM vocabulary GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words JOIN vocabulary USING (lang, term) GROUP BY ALL),
+sources AS (SELECT DISTINCT lang, source FROM docs),
+totals AS (
+    SELECT s.lang, s.source, ifnull(sum(n), 0) AS total FROM sources s LEFT JOIN counts USING (lang, source) GROUP BY ALL
+),
+dense AS (
+    SELECT t.lang, t.source, w.term, ifnull(c.n, 0) AS n,
+           1 + CAST(1000000000 AS HUGEINT) * (ifnull(c.n, 0) + 2) // (t.total + 2 * l.v) AS p,
+           1 + CAST(1000000000 AS HUGEINT) * (w.n + 2) // (l.total + 2 * l.v) AS q
+    FROM totals t JOIN vocabulary w USING (lang) JOIN langs l USING (lang) LEFT JOIN counts c USING (lang, source, term)
+),
+apart AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, ifnull(value, 0) AS value
+    FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+),
+terms AS (
+    SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+    FROM dense WHERE n > 0 AND p > q
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
 def statements() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express at the scale where it is compared."""
-    return {"op2_substring_dedup": OP2_SQL, "op4_embedding_dedup": OP4_SQL}
+    return {
+        "op2_substring_dedup": OP2_SQL,
+        "op4_embedding_dedup": OP4_SQL,
+        "op11_line_dedup": OP11_SQL,
+        "op12_centroid_clustering": op12_sql(),
+        "op13_source_divergence": OP13_SQL,
+    }
