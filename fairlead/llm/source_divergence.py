@@ -31,6 +31,7 @@ _FOLDED = bytes(
 )
 _COUNTS = "lang string, source string, term string, n long, docs long"
 _PART = "lang string, a string, b string, partial long, met long, rest long, terms long"
+_PART_SCHEMA = pa.schema([(n, pa.string() if t == "string" else pa.int64()) for n, t in map(str.split, _PART.split(", "))])
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -218,9 +219,12 @@ def _cell(key: tuple, table: pa.Table) -> pa.Table:
     """Part of the divergence of every pair of a cell: one slice on the diagonal, two off it."""
     lang, row, column = key[0].as_py(), key[1].as_py(), key[2].as_py()
     sides = {b: i for i, b in enumerate(table["group_block"].to_pylist())}
-    used = [_entries(table, sides[b]) for b in dict.fromkeys((row, column))]
+    wanted = list(dict.fromkeys((row, column)))
+    if len(sides) < len(wanted):  # hashing left a block without groups
+        return pa.Table.from_pylist([], _PART_SCHEMA)
+    used = [_entries(table, sides[b]) for b in wanted]
     columns = np.unique(np.concatenate([u[1] for u in used]))
-    slices = [_slice(table, sides[b], u, columns) for b, u in zip(dict.fromkeys((row, column)), used)]
+    slices = [_slice(table, sides[b], u, columns) for b, u in zip(wanted, used)]
     (names, left, base) = slices[0]
     (others, right, other_base) = slices[-1]
     a, b, partial, rest = [], [], [], []
