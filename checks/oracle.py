@@ -489,7 +489,29 @@ SELECT ano, sum(vl_exp_fob_usd) / 1e9 AS exp_bi, sum(vl_imp_fob_usd) / 1e9 AS im
     "dq_report": " UNION ALL ".join([_not_null(), _unique(), _accepted(), _relationships(), _grain()]),
 }
 
-_STATEMENTS["ingest_report_rows"] = _converted_files()
+_STATEMENTS["ingest_report_rows"] = (
+    _converted_files()
+    + """
+UNION ALL
+SELECT 'EXP_2003', NULL, NULL, true, NULL, 'FAILED', CAST(count(*) AS VARCHAR) || ' malformed rows'
+FROM raw_exp WHERE "CO_ANO" = '1998' AND CAST("CO_MES" AS INTEGER) % 2 = 0"""
+)
+_STATEMENTS["ingest_revised"] = f"""
+SELECT 'EXP_' || "CO_ANO" AS arquivo, CASE WHEN "CO_ANO" = '1998' THEN 'OK' ELSE 'SKIPPED' END AS status,
+       CAST(sum(CASE WHEN "CO_ANO" = '1998' THEN 2 * "VL_FOB" ELSE "VL_FOB" END) AS BIGINT) AS vl_fob
+FROM raw_exp GROUP BY "CO_ANO"
+UNION ALL
+SELECT unnest([{", ".join(f"'{name}'" for name in _CODE_FILES)}]), 'SKIPPED', NULL"""
+_STATEMENTS["refresh_year_to_marts"] = """
+SELECT ano, mes, data_ref, sg_uf, e AS vl_exp_fob_usd, i AS vl_imp_fob_usd,
+       e - i AS saldo_fob_usd, e + i AS corrente_comercio_usd
+FROM (
+  SELECT ano, mes, data_ref, sg_uf,
+         coalesce(sum(CASE WHEN ano = 1998 THEN 2 * vl_fob_usd ELSE vl_fob_usd END) FILTER (direcao = 'EXP'), 0) AS e,
+         coalesce(sum(vl_fob_usd) FILTER (direcao = 'IMP'), 0) AS i
+  FROM fact GROUP BY ALL
+)"""
+_STATEMENTS["top_products_mart"] = _STATEMENTS["top_products"]
 _STATEMENTS["sink_csv_roundtrip"] = _STATEMENTS["balance_detail"]
 
 _PARTNER_SHARE = """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,13 +24,15 @@ from fairlead.functions.formats import percentage, usd_billions, usd_millions
 from fairlead.operators import filters
 from fairlead.operators.ranking import share_and_rank_small
 from fairlead.plans import analytics, core, ingest, marts, pipeline, quality, staging
-from fairlead.schemas import CODE_TABLES, EXPORT, IMPORT, RAW_EXPORTS
+from fairlead.schemas import CODE_TABLES, DIRECTIONS, EXPORT, IMPORT, RAW_EXPORTS
 from fairlead.sources import landing
 from fairlead.sources.files import SOURCE, read_code_csv, read_parquet_by_name, read_trade_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 YEAR = 1998
+# Label of a file that cannot be read.
+BROKEN_YEAR = 2003
 TOP_N = 10
 STATES = ("Brand#1", "Brand#7", "Brand#13")
 BLOCS = ("10", "12", "99")
@@ -48,6 +51,10 @@ def query(build: Callable[[StarModels], DataFrame]) -> Callable[[StarModels], Da
     return build
 
 
+def _warehouse(m: StarModels) -> JobConfig:
+    return JobConfig("", scratch_dir(m.spark, "warehouse"), first_year=FIRST_YEAR, last_year=LAST_YEAR)
+
+
 # -- sources and sinks ---------------------------------------------------------
 
 
@@ -123,8 +130,13 @@ def scan_union_by_name(m):
     return read_parquet_by_name(m.spark, [f"{root}/old", f"{root}/new"], RAW_EXPORTS)
 
 
-def _converted(m: StarModels, directions: tuple[str, ...], **options) -> tuple[JobConfig, DataFrame]:
-    """Land every file of both directions and the code tables, convert the selected ones."""
+def _converted(
+    m: StarModels, directions: tuple[str, ...], broken: bool = False, **options
+) -> tuple[JobConfig, DataFrame]:
+    """Land every file of both directions and the code tables, convert the selected ones.
+
+    ``broken`` adds a year of exports with text for an amount in every second month.
+    """
     config = JobConfig(
         landing_root=scratch_dir(m.spark, "landing"),
         warehouse_root=scratch_dir(m.spark, "warehouse"),
@@ -133,6 +145,11 @@ def _converted(m: StarModels, directions: tuple[str, ...], **options) -> tuple[J
     )
     for direction in (EXPORT, IMPORT):
         m.land(config.landing_root, direction)
+    if broken:
+        odd = f"CASE WHEN CO_MES IN ('02', '04', '06', '08', '10', '12') THEN 'n/a' ELSE string(VL_FOB) END"
+        rows = m.raw(EXPORT).where(f"CO_ANO = '{YEAR}'").withColumn("VL_FOB", F.expr(odd))
+        rows = rows.selectExpr("*", f"'{EXPORT}_{BROKEN_YEAR}' AS {SOURCE}")
+        sinks.land_csv(rows, f"{config.landing_root}/broken")
     if config.code_tables:
         for name in CODE_TABLES:
             m.land_code_table(config.landing_root, name)
@@ -152,12 +169,30 @@ def ingest_select(m):
 @query
 def ingest_report_rows(m):
     """The part of the conversion report that does not depend on file sizes."""
-    report = _converted(m, (EXPORT, IMPORT))[1]
+    report = _converted(m, (EXPORT, IMPORT), broken=True)[1]
     return report.selectExpr(
-        SOURCE, "linhas", "colunas", "bytes_csv > 0 AS tem_csv", "razao > 0 AS tem_razao", "status", "motivo"
+        SOURCE,
+        "linhas",
+        "colunas",
+        "bytes_csv > 0 AS tem_csv",
+        "razao > 0 AS tem_razao",
+        "status",
+        "substring_index(motivo, ',', 1) AS motivo",
     )
 
 
+@query
+def ingest_revised(m):
+    """Land one year again with doubled values and offer all files: only that one is converted again."""
+    config, _ = _converted(m, (EXPORT,))
+    twice = m.labelled(EXPORT).where(f"CO_ANO = '{YEAR}'").withColumn("VL_FOB", F.col("VL_FOB") * 2)
+    # One file in the place of the folder's files, as a revision lands: the whole year again.
+    sinks.land_csv_file(twice, f"{config.landing_root}/{EXPORT.lower()}", f"{EXPORT}_{YEAR}")
+    report = ingest.convert(m.spark, replace(config, force=False, revised=True))
+    sums = m.spark.read.parquet(config.layout.raw(EXPORT)).groupBy(SOURCE).agg(F.expr("sum(VL_FOB) AS vl_fob"))
+    return report.select(SOURCE, "status").join(sums, SOURCE, "left")
+
+
 @query
 def landing_missing(m):
     root = scratch_dir(m.spark, "landing")
@@ -203,6 +238,18 @@ def sink_refresh_year(m):
     return m.spark.read.parquet(path)
 
 
+@query
+def refresh_year_to_marts(m):
+    """Build the warehouse, revise one file, build only what depends on it: the balance of all years."""
+    config = _warehouse(m)
+    m.store_raw(config.layout)
+    pipeline.build(m.spark, config, pipeline.stored_raw(m.spark, config.layout))
+    revised = m.labelled(EXPORT).where(f"CO_ANO = '{YEAR}'").withColumn("VL_FOB", F.col("VL_FOB") * 2)
+    sinks.refresh_partitions(sinks.rebalanced(staging.dated(revised), SOURCE), config.layout.raw(EXPORT), [SOURCE])
+    pipeline.refresh(m.spark, config, [f"{EXPORT}_{YEAR}"])
+    return pipeline.stored_marts(m.spark, config.layout)["mart_balanca_comercial"]
+
+
 @query
 def sink_csv_roundtrip(m):
     detail = analytics.balance_detail(m.balance(), None, *PERIOD)
@@ -471,11 +518,9 @@ def warehouse_status(m):
 
 @query
 def warehouse_freshness(m):
-    """Status of a stored fact; the time itself differs from run to run."""
-    config = JobConfig(landing_root="", warehouse_root=scratch_dir(m.spark, "warehouse"))
-    path = config.layout.core("core_comercio")
-    fact = sinks.rebalanced(m.trade(), "direcao", "ano")
-    sinks.write_table(fact, path, ["direcao", "ano"])
+    """Status of a published fact; the time itself differs from run to run."""
+    config = _warehouse(m)
+    pipeline.publish_fact(m.spark, config, {d: m.labelled(d) for d in DIRECTIONS})
     status = pipeline.freshness(m.spark, config.layout)
     return status.withColumn("atualizado_em", F.col("atualizado_em").isNotNull())
 
@@ -517,6 +562,11 @@ def _product_year(m: StarModels, direction: str) -> DataFrame:
 
 @query
 def top_products(m):
+    return analytics.top_products_of_fact(m.trade(*PRODUCT_COLUMNS), m.products(), EXPORT, YEAR, TOP_N)
+
+
+@query
+def top_products_mart(m):
     mart = marts.top_products(_product_year(m, EXPORT), m.products())
     return analytics.top_products(mart, EXPORT, YEAR, TOP_N)
 
@@ -577,12 +627,7 @@ def _warehouse_tests(m: StarModels, kinds: tuple[str, ...] = ()) -> DataFrame:
     The raw tables are stored first, as the converter does: each test of a model then
     reads a few columns of a table instead of joining the star tables again.
     """
-    config = JobConfig(
-        landing_root="",
-        warehouse_root=scratch_dir(m.spark, "warehouse"),
-        first_year=FIRST_YEAR,
-        last_year=LAST_YEAR,
-    )
+    config = _warehouse(m)
     m.store_raw(config.layout)
     raw = pipeline.stored_raw(m.spark, config.layout)
     return pipeline.build(m.spark, config, raw, quality.select_checks(kinds=kinds))

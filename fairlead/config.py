@@ -25,7 +25,8 @@ class JobConfig:
 
     ``file_years`` limits which year files are converted, ``first_year`` and
     ``last_year`` bound (inclusively) the rows the models keep. A run refuses to build without a file of
-    every year, direction and code table unless ``allow_missing``.
+    every year, direction and code table unless ``allow_missing``. ``force`` converts files again
+    that are converted already; without it, ``revised`` does so for those that changed since.
     """
 
     landing_root: str
@@ -36,6 +37,7 @@ class JobConfig:
     file_years: tuple[int, ...] | None = None
     code_tables: bool = True
     force: bool = True
+    revised: bool = False
     fail_fast: bool = True
     allow_missing: bool = False
     layout: "Layout" = field(init=False)
@@ -67,6 +69,12 @@ class Layout:
     def mart(self, name: str) -> str:
         return f"{self.root}/marts/{name}"
 
+    def ledger(self) -> str:
+        return f"{self.root}/raw/ledger"
+
+    def snapshots(self) -> str:
+        return f"{self.root}/published"
+
     def report(self, layer: str) -> str:
         return f"{self.root}/quality/{layer}"
 

@@ -72,6 +72,25 @@ def share_and_rank(df: DataFrame, keys: Sequence[str], value: str, share_as: str
     return rows.join(placed, _equal(keys, "_v_", f"{value} <=> _value"), "left").select(*df.columns, share_as, rank_as)
 
 
+def top_ranked(
+    df: DataFrame, keys: Sequence[str], value: str, top_n: int, share_as: str, rank_as: str
+) -> DataFrame:
+    """The rows that ``share_and_rank`` ranks ``top_n`` or better, all ties at the limit included.
+
+    Each task keeps its own best rows of a group before they move, so about ``top_n`` rows a task
+    reach the task that ranks the group, whatever its size; the total of a group is
+    a sum of its own. A NULL value ranks last and NaN first. Rows with a NULL key have no rank.
+    """
+    known = df.dropna(subset=list(keys))
+    totals = known.groupBy(*keys).agg(F.expr(f"sum({value}) AS _total"))
+    group = f"PARTITION BY {', '.join(keys)}"
+    ranked = known.selectExpr("*", f"rank() OVER ({group} ORDER BY {value} DESC NULLS LAST) AS _rank")
+    best = ranked.where(F.col("_rank") <= top_n)  # on the bare rank: that is what tasks can cut by themselves
+    return best.join(totals, list(keys)).selectExpr(
+        *df.columns, f"{share(value, '_total')} AS {share_as}", f"bigint(_rank) AS {rank_as}"
+    )
+
+
 def _stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from fairlead.functions.codes import share
 from fairlead.functions.formats import percentage, usd_billions, usd_millions, whole_number
 from fairlead.operators import filters
+from fairlead.plans import marts
 from fairlead.schemas import IMPORT
 
 Names = Sequence[str] | None
@@ -182,6 +183,13 @@ def top_products(products: DataFrame, direction: str, year: int, top_n: int) ->
     )
 
 
+def top_products_of_fact(
+    trade: DataFrame, products: DataFrame, direction: str, year: int, top_n: int
+) -> DataFrame:
+    """The same from the fact, for where no mart is stored: only the leading products are ranked and named."""
+    return top_products(marts.leading_products(_product_year(trade, direction, year), products, top_n), direction, year, top_n)
+
+
 def top_chapters(products: DataFrame, direction: str, year: int) -> DataFrame:
     """FOB per chapter; unknown chapters form one row, chapters without value go."""
     return (

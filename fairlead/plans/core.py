@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame
 from fairlead.schemas import EXPORT, IMPORT, TRADE, conform
 
 
-def trade(exports: DataFrame, imports: DataFrame) -> DataFrame:
-    """Both directions in one bag: duplicates stay, exports have NULL charges."""
-    outgoing = conform(exports.selectExpr("*", f"'{EXPORT}' AS direcao"), TRADE)
-    incoming = conform(imports.selectExpr("*", f"'{IMPORT}' AS direcao"), TRADE)
+def trade(exports: DataFrame, imports: DataFrame, *keep: str) -> DataFrame:
+    """Both directions in one bag: duplicates stay, exports have NULL charges; ``keep`` names further columns."""
+    outgoing = conform(exports.selectExpr("*", f"'{EXPORT}' AS direcao"), TRADE, *keep)
+    incoming = conform(imports.selectExpr("*", f"'{IMPORT}' AS direcao"), TRADE, *keep)
     return outgoing.unionByName(incoming)
 
 

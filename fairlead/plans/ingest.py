@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from fairlead import sinks
 from fairlead.config import JobConfig
 from fairlead.jobs import side_by_side
-from fairlead.plans.staging import dated
-from fairlead.schemas import CODE_TABLES
+from fairlead.plans import ledger
+from fairlead.schemas import CODE_TABLES, RAW_TRADE
 from fairlead.sources import landing
-from fairlead.sources.files import SOURCE, MissingColumns, csv_headers, read_code_csv, read_trade_csv
+from fairlead.sources.files import CORRUPT, SOURCE, BadHeader, first_lines, header_fault, read_code_csv, read_trade_csv
 
 OK = "OK"
 SKIPPED = "SKIPPED"
@@ -25,7 +25,11 @@ FAILED = "FAILED"
 UNKNOWN = "UNKNOWN"
 
 # What a failed Spark job raises: not every JVM error has a Python class.
-JOB_FAILURES = (PySparkException, Py4JJavaError, MissingColumns)
+JOB_FAILURES = (PySparkException, Py4JJavaError, BadHeader)
+
+# Whether a row cannot be read: keeps bad rows apart while a file is converted.
+_BAD = "com_erro"
+YEAR_COLUMN = "ano"
 
 
 @dataclass(frozen=True)
@@ -40,11 +44,17 @@ class Outcome:
 def convert(spark: SparkSession, config: JobConfig) -> DataFrame:
     """Convert the selected files; return one report row per file.
 
-    Without ``force`` a file already converted is skipped; with it, its partition is
+    Without ``force`` a file already converted is skipped, or with ``revised`` only one whose
+    size and time are those of its last conversion; with ``force`` its partition is
     replaced and other years stay. A file that cannot be parsed, or lacks a column of the
     contract, is reported as FAILED with the reason and leaves nothing behind; the others are
     converted. CSV files with a name of no published file are reported as UNKNOWN. Two files
     of one label stop the conversion before anything is written.
+
+    Each file is read once, whether others are bad or not, and the number of jobs does not
+    depend on the number of files: lines that cannot be read are marked and written
+    apart, so the listing of what was written tells the bad files, and only those are read again for
+    the reason.
     """
     outcome: dict[str, Outcome] = {}
     landed = landing.inventory(spark, config.landing_root)
@@ -54,19 +64,26 @@ def convert(spark: SparkSession, config: JobConfig) -> DataFrame:
             # Reading one of them would lose the other's rows; reading both could double them.
             raise ValueError(f"{row[SOURCE]} landed twice: {datasets[row[SOURCE]]} and {row['conjunto']}")
         datasets[row[SOURCE]] = row["conjunto"]
+    settled = ledger.settled(spark, config, landed) if config.revised else None
     for direction in config.directions:
-        outcome |= _convert_direction(spark, config, direction, datasets)
+        outcome |= _convert_direction(spark, config, direction, datasets, settled)
     if config.code_tables:
         present = [name for name in CODE_TABLES if name in datasets]
         converted = side_by_side(
-            spark, lambda name: _convert_code_table(spark, config, name, datasets[name]), present
+            spark, lambda name: _convert_code_table(spark, config, name, datasets[name], settled), present
         )
         outcome |= dict(zip(present, converted))
+    ledger.record(spark, config, landed, [label for label, o in outcome.items() if o.status == OK])
     return _report(spark, config, landed, outcome)
 
 
+def converted(report: DataFrame) -> list[str]:
+    """Labels of the files that a conversion has written."""
+    return sorted(row[0] for row in report.where(F.col("status") == OK).select(SOURCE).collect())
+
+
 def _convert_direction(
-    spark: SparkSession, config: JobConfig, direction: str, datasets: dict[str, str]
+    spark: SparkSession, config: JobConfig, direction: str, datasets: dict[str, str], settled: set[str] | None
 ) -> dict[str, Outcome]:
     chosen = {
         label: path
@@ -76,56 +93,84 @@ def _convert_direction(
     }
     if not chosen:
         return {}
-    headers = csv_headers(spark, chosen.values())
-    columns = {label: len(headers[path]) for label, path in chosen.items()}
+    headers = first_lines(spark, chosen.values())
+    columns = {label: len(headers[path][0]) if headers[path] else 0 for label, path in chosen.items()}
     target = config.layout.raw(direction)
     held = set(sinks.stored_partitions(spark, target, SOURCE))
     skipped = set() if config.force else held & set(chosen)
-    pending = {label: path for label, path in chosen.items() if label not in skipped}
+    if not config.force and settled is not None:
+        # A file whose conversion gave no rows has no partition; the ledger knows it all the same.
+        skipped = settled & set(chosen)
     outcome = {label: Outcome(SKIPPED, columns[label]) for label in skipped}
+    pending: dict[str, str] = {}
+    for label in sorted(chosen.keys() - skipped):
+        fault = header_fault(chosen[label], headers[chosen[label]], RAW_TRADE[direction])
+        if fault:
+            outcome[label] = Outcome(FAILED, columns[label], _reason(fault))
+        else:
+            pending[label] = chosen[label]
     if not pending:
         return outcome
     try:
-        _write(spark, pending, direction, target, headers)
+        reasons = _write(spark, pending, direction, target, headers, held)
     except JOB_FAILURES:
-        # One bad file fails the shared job, which publishes nothing. Find it, convert the rest.
-        labels = list(pending)
-        faults = side_by_side(spark, lambda label: _fault(spark, pending[label], direction, headers), labels)
-        bad = {label: fault for label, fault in zip(labels, faults) if fault is not None}
-        if not bad:
+        # A file that cannot be read at all, such as a broken archive, fails the shared job.
+        labels = sorted(pending)
+        faults = side_by_side(spark, lambda label: _unreadable(spark, pending[label], direction, headers), labels)
+        reasons = {label: fault for label, fault in zip(labels, faults) if fault is not None}
+        if not reasons:
             raise
-        outcome |= {label: Outcome(FAILED, columns[label], fault) for label, fault in bad.items()}
-        pending = {label: path for label, path in pending.items() if label not in bad}
-        if pending:
-            _write(spark, pending, direction, target, headers)
-
-    def clear_if_emptied(label: str) -> None:
-        """A refresh replaces partitions that have rows; one whose file lost all rows is emptied."""
-        rows = _rows(spark, [pending[label]], direction, headers)
-        if rows.isEmpty():
-            sinks.write_table(rows.drop(SOURCE), f"{target}/{SOURCE}={label}")
-
-    side_by_side(spark, clear_if_emptied, sorted(held & set(pending)))
-    return outcome | {label: Outcome(OK, columns[label]) for label in pending}
+        others = {label: path for label, path in pending.items() if label not in reasons}
+        if others:
+            reasons |= _write(spark, others, direction, target, headers, held)
+    return outcome | {
+        label: Outcome(FAILED if label in reasons else OK, columns[label], reasons.get(label)) for label in pending
+    }
 
 
-def _rows(spark: SparkSession, paths: Iterable[str], direction: str, headers: dict[str, list[str]]) -> DataFrame:
-    """Rows of the files with the integer year that the models filter on."""
-    return dated(read_trade_csv(spark, paths, direction, headers))
+def _rows(
+    spark: SparkSession, paths: Iterable[str], direction: str, headers: dict[str, list[list[str]]]
+) -> DataFrame:
+    """Rows of the files with the integer year that the models filter on; bad ones have a text in CORRUPT."""
+    rows = read_trade_csv(spark, paths, direction, headers, mark_errors=True)
+    year = f"try_cast(CO_ANO AS INT) AS {YEAR_COLUMN}"
+    no_year = "CO_ANO IS NOT NULL AND try_cast(CO_ANO AS INT) IS NULL"
+    return rows.selectExpr("* EXCEPT (" + CORRUPT + ")", year, f"ifnull({CORRUPT}, if({no_year}, concat('CO_ANO ', CO_ANO), NULL)) AS {CORRUPT}")
 
 
 def _write(
-    spark: SparkSession, files: dict[str, str], direction: str, target: str, headers: dict[str, list[str]]
-) -> None:
-    # Partitioned by file, not by the year in the rows: a stray row of another year must
-    # not replace that year's partition. Every input split belongs to one file, so no
-    # shuffle is needed to keep the number of output files low.
+    spark: SparkSession,
+    files: dict[str, str],
+    direction: str,
+    target: str,
+    headers: dict[str, list[list[str]]],
+    held: set[str],
+) -> dict[str, str]:
+    """Convert files into their partitions; returns the reasons of those that cannot be read.
+
+    Partitioned by file, not by the year in the rows: a stray row of another year must not
+    replace that year's partition. Every input split belongs to one file, so no shuffle is
+    needed to keep the number of output files low. Rows wait beside the table, bad ones
+    apart from good ones, and the partitions of the good files take their places when all are written.
+    """
     rows = _rows(spark, files.values(), direction, headers)
-    sinks.refresh_partitions(rows, target, [SOURCE])
+    marked = rows.selectExpr(f"* EXCEPT ({CORRUPT})", f"{CORRUPT} IS NOT NULL AS {_BAD}")
+    staged = sinks.write_unpublished(marked, f"{target}/rows", [_BAD, SOURCE])
+    try:
+        bad = set(sinks.stored_partitions(spark, f"{staged}/{_BAD}=true", SOURCE))
+        good = set(sinks.stored_partitions(spark, f"{staged}/{_BAD}=false", SOURCE)) - bad
+        for label in sorted(good):
+            sinks.publish(spark, f"{staged}/{_BAD}=false/{SOURCE}={label}", f"{target}/{SOURCE}={label}")
+        # A file that has lost all its rows.
+        for label in sorted(held & files.keys() - good - bad):
+            sinks.discard(spark, f"{target}/{SOURCE}={label}")
+    finally:
+        sinks.discard(spark, staged)
+    return _reasons(spark, {label: files[label] for label in bad}, direction, headers) if bad else {}
 
 
-def _fault(spark: SparkSession, path: str, direction: str, headers: dict[str, list[str]]) -> str | None:
-    """Why a file cannot be read; None if it can."""
+def _unreadable(spark: SparkSession, path: str, direction: str, headers: dict[str, list[list[str]]]) -> str | None:
+    """Why a file cannot be read to its end; None if it can."""
     try:
         _rows(spark, [path], direction, headers).write.format("noop").mode("overwrite").save()
         return None
@@ -133,16 +178,32 @@ def _fault(spark: SparkSession, path: str, direction: str, headers: dict[str, li
         return _reason(failure)
 
 
+def _reasons(
+    spark: SparkSession, files: dict[str, str], direction: str, headers: dict[str, list[list[str]]]
+) -> dict[str, str]:
+    """How many lines of each bad file cannot be read, and one of them."""
+    bad = _rows(spark, files.values(), direction, headers).where(F.col(CORRUPT).isNotNull())
+    # The reader only parses columns that are used: without the hash it would find less to mark.
+    counted = bad.groupBy(SOURCE).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(F.substring(CORRUPT, 1, 200)).alias("line"),
+        F.max(F.xxhash64(*RAW_TRADE[direction].names)),
+    )
+    return {row[SOURCE]: f"{row['n']} malformed rows, such as: {row['line']}" for row in counted.collect()}
+
+
 def _reason(failure: Exception) -> str:
     """First line of what went wrong; the whole trace is in Spark's log."""
     return (str(failure).strip() or type(failure).__name__).splitlines()[0]
 
 
-def _convert_code_table(spark: SparkSession, config: JobConfig, name: str, path: str) -> Outcome:
+def _convert_code_table(
+    spark: SparkSession, config: JobConfig, name: str, path: str, settled: set[str] | None
+) -> Outcome:
     target = config.layout.code_table(name)
     try:
         table = read_code_csv(spark, path)
-        if not config.force and landing.exists(spark, target):
+        if not config.force and landing.exists(spark, target) and (settled is None or name in settled):
             return Outcome(SKIPPED, len(table.columns))
         sinks.write_table(table, target)
         return Outcome(OK, len(table.columns))

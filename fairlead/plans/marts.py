@@ -11,23 +11,53 @@ from stored totals of it: ``trade_balance(state_months(fact))`` equals
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairlead.operators import filters
-from fairlead.operators.ranking import share_and_rank, share_and_rank_small
+from fairlead.operators.ranking import share_and_rank, share_and_rank_small, top_ranked
 from fairlead.schemas import EXPORT, IMPORT
 
 MONTH = ("ano", "mes", "data_ref")
 
 
+@dataclass(frozen=True)
+class Total:
+    keys: tuple[str, ...]
+    measures: tuple[str, ...]
+
+
+# What the marts are made of: sums of the fact by these keys.
+TOTALS = {
+    "estado_mes": Total((*MONTH, "sg_uf", "direcao"), ("vl_fob_usd", "vl_cif_usd", "kg_liquido")),
+    "produto_ano": Total(("ano", "direcao", "co_ncm"), ("vl_fob_usd", "kg_liquido")),
+    "pais_mes": Total((*MONTH, "direcao", "co_pais"), ("vl_fob_usd", "kg_liquido")),
+}
+# Rows of the fact behind a total.
+ROWS = "linhas"
+
+
+def file_totals(name: str, trade: DataFrame, file: str) -> DataFrame:
+    """A total of the fact for each published file (column ``file``) on its own, with the rows behind it."""
+    total = TOTALS[name]
+    return trade.groupBy(file, *total.keys).agg(*sums(*total.measures), F.expr(f"count(1) AS {ROWS}"))
+
+
+def added(name: str, totals: DataFrame) -> DataFrame:
+    """The totals of all files as one: files may share a key, as rows can lie in the file of another year."""
+    total = TOTALS[name]
+    return totals.groupBy(*total.keys).agg(*sums(*total.measures, ROWS))
+
+
 def sums(*measures: str) -> list[Column]:
     return [F.expr(f"sum({measure}) AS {measure}") for measure in measures]
 
 
 def state_months(trade: DataFrame) -> DataFrame:
     """Totals per month, state and direction: all that the three state marts need."""
-    return trade.groupBy(*MONTH, "sg_uf", "direcao").agg(*sums("vl_fob_usd", "vl_cif_usd", "kg_liquido"))
+    return trade.groupBy(*TOTALS["estado_mes"].keys).agg(*sums(*TOTALS["estado_mes"].measures))
 
 
 def trade_balance(trade: DataFrame) -> DataFrame:
@@ -67,7 +97,7 @@ def _ranked_states(totals: DataFrame) -> DataFrame:
 
 
 def product_totals(trade: DataFrame) -> DataFrame:
-    return trade.groupBy("ano", "direcao", "co_ncm").agg(*sums("vl_fob_usd", "kg_liquido"))
+    return trade.groupBy(*TOTALS["produto_ano"].keys).agg(*sums(*TOTALS["produto_ano"].measures))
 
 
 def with_product_names(totals: DataFrame, products: DataFrame) -> DataFrame:
@@ -94,7 +124,19 @@ def named_top_products(totals: DataFrame, products: DataFrame) -> DataFrame:
     Share and rank come before the names; the unique test on the dimension keeps a repeated
     product from repeating rows.
     """
-    return with_product_names(with_product_rank(totals), products).select(
+    return _product_columns(with_product_rank(totals), products)
+
+
+def leading_products(trade: DataFrame, products: DataFrame, top_n: int) -> DataFrame:
+    """The rows of ``top_products`` ranked ``top_n`` or better, without ranking the others."""
+    best = top_ranked(
+        product_totals(trade), PRODUCT_GROUP, "vl_fob_usd", top_n, "share_direcao_ano", "rank_ano_direcao"
+    )
+    return _product_columns(best, products)
+
+
+def _product_columns(ranked: DataFrame, products: DataFrame) -> DataFrame:
+    return with_product_names(ranked, products).select(
         "ano",
         "direcao",
         "co_ncm",
@@ -111,7 +153,7 @@ def named_top_products(totals: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def country_month_totals(trade: DataFrame) -> DataFrame:
-    return trade.groupBy(*MONTH, "direcao", "co_pais").agg(*sums("vl_fob_usd", "kg_liquido"))
+    return trade.groupBy(*TOTALS["pais_mes"].keys).agg(*sums(*TOTALS["pais_mes"].measures))
 
 
 def fan_out_blocs(totals: DataFrame, blocs: DataFrame) -> DataFrame:

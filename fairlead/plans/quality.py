@@ -11,7 +11,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairlead.schemas import DIRECTIONS, MART_GRAINS, MONTHS
@@ -108,14 +108,46 @@ def select_checks(layers: Iterable[str] = (), kinds: Iterable[str] = ()) -> list
     ]
 
 
-def report(models: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
+def row_counters(checks: Iterable[Check], rows: str = "true") -> dict[Check, Column]:
+    """What to observe while a model is written: rows that fail each of its row-level checks.
+
+    ``rows`` limits a model to some of the rows that are written.
+    """
+    return {
+        c: F.count_if(F.expr(f"({rows}) AND {_fails(c)}")) for c in checks if c.kind in (NOT_NULL, ACCEPTED)
+    }
+
+
+def known_failures(observed: Mapping[Check, int]) -> dict[Check, int]:
+    """Failures of the checks that the observed rows settle.
+
+    Unexpected values are counted as distinct ones: where there are any, the model must be read.
+    """
+    return {c: n for c, n in observed.items() if c.kind == NOT_NULL or n == 0}
+
+
+def report(
+    models: Mapping[str, DataFrame],
+    checks: Iterable[Check],
+    known: Mapping[Check, int] | None = None,
+    counted: Mapping[tuple[str, str], DataFrame] | None = None,
+) -> DataFrame:
     """One row per check: model, columns, test, severity, failures, status.
 
     All row-level checks of a model share one aggregate over it, and so do its relationships,
     so a model is scanned once for each of these kinds however many checks there are.
+    Failures in ``known`` are not worked out again; ``counted`` gives the rows of a
+    model per value of a column (that column and ``linhas``), in place of the model's rows.
     """
+    known = known or {}
     checks = list(checks)
     parts = []
+    settled = [c for c in checks if c in known]
+    if settled:
+        rows = [(c.model, c.column, c.kind, c.severity, known[c]) for c in settled]
+        spark = next(iter(models.values())).sparkSession
+        parts.append(spark.createDataFrame(rows, "model string, columns string, test string, severity string, failures long"))
+    checks = [c for c in checks if c not in known]
     for model in dict.fromkeys(c.model for c in checks):
         mine = [c for c in checks if c.model == model]
         row_level = [c for c in mine if c.kind in (NOT_NULL, ACCEPTED)]
@@ -126,7 +158,7 @@ def report(models: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFram
                 parts.append(_labelled(_repeated_keys(models[model], check), check))
         links = [c for c in mine if c.kind == RELATIONSHIPS]
         if links:
-            parts.append(_orphans(models, links))
+            parts.append(_orphans(models, links, counted or {}))
     return reduce(DataFrame.unionByName, parts).selectExpr(
         "*",
         "CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status",
@@ -153,12 +185,18 @@ def _rows_of(counted: DataFrame, checks: list[Check]) -> DataFrame:
     return counted.selectExpr(f"inline(array({rows}))")
 
 
-def _counter(check: Check) -> str:
+def _fails(check: Check) -> str:
     column = check.columns[0]
     if check.kind == NOT_NULL:
-        return f"count_if({column} IS NULL)"
+        return f"{column} IS NULL"
     values = ", ".join(f"'{value}'" for value in check.values)
-    return f"count(DISTINCT if({column} NOT IN ({values}), {column}, NULL))"
+    return f"{column} NOT IN ({values})"
+
+
+def _counter(check: Check) -> str:
+    if check.kind == NOT_NULL:
+        return f"count_if({_fails(check)})"
+    return f"count(DISTINCT if({_fails(check)}, {check.columns[0]}, NULL))"
 
 
 def _repeated_keys(df: DataFrame, check: Check) -> DataFrame:
@@ -167,20 +205,33 @@ def _repeated_keys(df: DataFrame, check: Check) -> DataFrame:
     return repeated.agg(F.expr("count(1) AS failures"))
 
 
-def _orphans(models: Mapping[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """All relationships of one child model, which is scanned once.
+def _orphans(
+    models: Mapping[str, DataFrame], checks: list[Check], counted: Mapping[tuple[str, str], DataFrame]
+) -> DataFrame:
+    """All relationships of one child model, which is scanned once at most.
 
     Child rows are counted per (check, key) first: a hot key reaches the join as one row.
     """
-    child = models[checks[0].model]
-    keys = ", ".join(f"struct({i} AS test, string({c.columns[0]}) AS key)" for i, c in enumerate(checks))
-    per_key = child.selectExpr(f"inline(array({keys}))").where("key IS NOT NULL").groupBy("test", "key").count()
+    frames = []
+    scanned = []
+    for i, c in enumerate(checks):
+        key = f"{i} AS test, string({c.columns[0]}) AS key"
+        rows = counted.get((c.model, c.columns[0]))
+        if rows is None:
+            scanned.append(f"struct({key})")
+        else:
+            frames.append(rows.selectExpr(*key.split(", ", 1), "linhas"))
+    if scanned:
+        rows = models[checks[0].model].selectExpr(f"inline(array({', '.join(scanned)}))")
+        frames.append(rows.selectExpr("test", "key", "1L AS linhas"))
+    child = reduce(DataFrame.unionByName, frames).where("key IS NOT NULL")
+    per_key = child.groupBy("test", "key").agg(F.expr("sum(linhas) AS linhas"))
     known = [
         models[c.parent].selectExpr(f"{i} AS test", f"string({c.columns[0]}) AS key") for i, c in enumerate(checks)
     ]
     orphans = per_key.join(reduce(DataFrame.unionByName, known), ["test", "key"], "left_anti")
-    counted = orphans.agg(*[F.expr(f"coalesce(sum(if(test = {i}, count, 0)), 0) AS n{i}") for i in range(len(checks))])
-    return _rows_of(counted, checks)
+    failures = [F.expr(f"coalesce(sum(if(test = {i}, linhas, 0)), 0) AS n{i}") for i in range(len(checks))]
+    return _rows_of(orphans.agg(*failures), checks)
 
 
 def _labelled(counted: DataFrame, check: Check) -> DataFrame:

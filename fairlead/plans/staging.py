@@ -12,17 +12,17 @@ from fairlead.functions.codes import YEAR, cif, code, money, month_start, text,
 from fairlead.operators.filters import year_window
 
 
-def exports(raw: DataFrame, first_year: int, last_year: int) -> DataFrame:
-    return _trade(raw, first_year, last_year, [])
+def exports(raw: DataFrame, first_year: int, last_year: int, *keep: str) -> DataFrame:
+    return _trade(raw, first_year, last_year, [*keep])
 
 
-def imports(raw: DataFrame, first_year: int, last_year: int) -> DataFrame:
+def imports(raw: DataFrame, first_year: int, last_year: int, *keep: str) -> DataFrame:
     charges = [
         money("VL_FRETE", "vl_frete_usd"),
         money("VL_SEGURO", "vl_seguro_usd"),
         cif("VL_FOB", ("VL_FRETE", "VL_SEGURO"), "vl_cif_usd"),
     ]
-    return _trade(raw, first_year, last_year, charges)
+    return _trade(raw, first_year, last_year, [*charges, *keep])
 
 
 def dated(raw: DataFrame) -> DataFrame:
@@ -30,7 +30,7 @@ def dated(raw: DataFrame) -> DataFrame:
     return raw if "ano" in raw.columns else raw.selectExpr("*", f"{YEAR} AS ano")
 
 
-def _trade(raw: DataFrame, first_year: int, last_year: int, charges: list[str]) -> DataFrame:
+def _trade(raw: DataFrame, first_year: int, last_year: int, more: list[str]) -> DataFrame:
     return year_window(dated(raw), first_year, last_year).selectExpr(
         "ano",
         code("CO_MES", "mes"),
@@ -44,7 +44,7 @@ def _trade(raw: DataFrame, first_year: int, last_year: int, charges: list[str])
         whole("QT_ESTAT", "qt_estat"),
         whole("KG_LIQUIDO", "kg_liquido"),
         money("VL_FOB", "vl_fob_usd"),
-        *charges,
+        *more,
     )
 
 

@@ -6,7 +6,8 @@ data contract and must not be changed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EXPORT = "EXP"
@@ -85,7 +86,7 @@ MART_GRAINS = {
 }
 
 
-def conform(df: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, *keep: str | Column) -> DataFrame:
     """Select ``schema`` by name, casting each column and filling absent ones with NULL.
 
     Casting before any union matters: a union of a string code with a numeric one
@@ -96,4 +97,4 @@ def conform(df: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:
         f"CAST({f.name if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
         for f in schema.fields
     ]
-    return df.selectExpr(*fields, *keep)
+    return df.select(*[F.expr(x) if isinstance(x, str) else x for x in (*fields, *keep)])

@@ -25,6 +25,16 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
     publish(df.sparkSession, write_unpublished(df, path, partition_by), path)
 
 
+def write_new(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
+    """Write a table to a folder of its own, which a snapshot may name later; nothing is left if that fails."""
+    try:
+        _writer(df, partition_by).parquet(path)
+    except Exception:
+        discard(df.sparkSession, path)
+        raise
+    return path
+
+
 def write_unpublished(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     """Write what is to become the table at ``path``; returns where it waits for ``publish``."""
     parent, name = path.rstrip("/").rsplit("/", 1)
@@ -38,7 +48,7 @@ def write_unpublished(df: DataFrame, path: str, partition_by: Sequence[str] = ()
 
 
 def discard(spark: SparkSession, staged: str) -> None:
-    """Drop what ``write_unpublished`` wrote."""
+    """Drop a folder nobody reads, such as what ``write_unpublished`` wrote; none is fine."""
     _files(spark, staged, lambda fs, at: fs.delete(at, True))
 
 
@@ -123,6 +133,11 @@ def land_csv(df: DataFrame, path: str) -> None:
     )
 
 
+def land_csv_file(df: DataFrame, path: str, label: str) -> None:
+    """Publish the rows of one ``SOURCE`` file anew; the others below ``path`` stay."""
+    df.drop(SOURCE).write.mode("overwrite").options(**CSV_FORMAT, quoteAll="true").csv(f"{path}/{SOURCE}={label}.csv")
+
+
 def _writer(df: DataFrame, partition_by: Sequence[str]):
     writer = df.write.option("compression", "zstd")
     return writer.partitionBy(*partition_by) if partition_by else writer

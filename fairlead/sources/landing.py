@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fairlead.schemas import CODE_TABLES, DIRECTIONS
-from fairlead.sources.files import SOURCE, source_label
+from fairlead.sources.files import DATASET, SOURCE, source_label
 
 _LISTING = f"{SOURCE} string, conjunto string, bytes long, modificado timestamp"
 
@@ -50,7 +50,7 @@ def inventory(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFra
     return (
         files.select(
             source_label(F.col("path")).alias(SOURCE),
-            F.regexp_extract("path", r"^(.*?[A-Z_]+(?:_[0-9]{4})?\.csv)", 1).alias("conjunto"),
+            F.regexp_extract("path", DATASET, 1).alias("conjunto"),
             "length",
             "modificationTime",
         )

@@ -60,6 +60,7 @@ SORTED = {
     "balance_detail": ("ano", "-saldo_usd"),
     "balance_by_year": ("ano",),
     "top_products": ("rank_ano_direcao",),
+    "top_products_mart": ("rank_ano_direcao",),
     "top_chapters": ("-vl_fob_usd",),
     "top_export_states_year": ("-exp_bilhoes_usd", "sg_uf"),
     "bloc_annual_series": ("ano", "no_bloco"),

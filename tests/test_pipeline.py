@@ -1,11 +1,17 @@
 """The batch job from CSV files to the tested warehouse."""
 
+import pathlib
+from dataclasses import replace
+
 import pytest
 from frames import rows_of
 
+from fairlead import sinks, snapshots
 from fairlead.config import JobConfig, scratch_dir
-from fairlead.plans import analytics, ingest, pipeline, quality
-from fairlead.sources.files import SOURCE
+from fairlead.plans import analytics, ingest, ledger, marts, pipeline, quality
+from fairlead.schemas import RAW_EXPORTS
+from fairlead.sources import landing
+from fairlead.sources.files import SOURCE, read_parquet_by_name
 
 EXPORT_HEADER = "CO_ANO;CO_MES;CO_NCM;CO_UNID;CO_PAIS;SG_UF_NCM;CO_VIA;CO_URF;QT_ESTAT;KG_LIQUIDO;VL_FOB"
 IMPORT_HEADER = EXPORT_HEADER + ";VL_FRETE;VL_SEGURO"
@@ -274,3 +280,197 @@ def test_a_renamed_column_fails_its_file_only(spark, config, tmp_path):
     put(tmp_path / "landing" / "imp" / "IMP_2021.csv", IMPORT_HEADER.replace("VL_FRETE", "vl_frete"), export(2021, 1) + ";1;1")
     found = statuses(ingest.convert(spark, config))
     assert found["IMP_2021"] == ingest.FAILED and found["IMP_2020"] == ingest.OK
+
+
+def jobs_of(spark, work):
+    """How many Spark jobs a piece of work submits."""
+    context = spark.sparkContext
+    context.setJobGroup("counted", "", False)
+    before = len(context.statusTracker().getJobIdsForGroup("counted"))
+    try:
+        work()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    return len(context.statusTracker().getJobIdsForGroup("counted")) - before
+
+
+def test_bad_files_cost_no_further_read_of_good_ones_nor_jobs_by_file(spark, tmp_path, monkeypatch):
+    read = []
+    rows = ingest._rows
+    monkeypatch.setattr(ingest, "_rows", lambda s, paths, *more: (read.append(sorted(paths)), rows(s, paths, *more))[1])
+    jobs = []
+    for n in (3, 12):
+        root = tmp_path / f"landing-{n}"
+        for k in range(n):
+            put(root / f"EXP_{2000 + k}.csv", EXPORT_HEADER, export(2000 + k, "many" if k % 3 == 1 else k))
+        config = JobConfig(str(root), str(tmp_path / f"out-{n}"), directions=("EXP",), code_tables=False)
+        read.clear()
+        report = []
+        jobs.append(jobs_of(spark, lambda: report.extend(ingest.convert(spark, config).collect())))
+        found = {r.arquivo: (r.status, r.linhas, r.motivo) for r in report}
+        for k in range(n):
+            expected = ("FAILED", None) if k % 3 == 1 else ("OK", 1)
+            assert found[f"EXP_{2000 + k}"][:2] == expected
+        assert "1 malformed rows, such as: 2001;04" in found["EXP_2001"][2]
+        # Everything once, then only the bad ones for their reason.
+        assert [len(paths) for paths in read] == [n, n // 3]
+    assert jobs[0] == jobs[1]
+
+
+def test_part_files_with_different_headers_fail_their_dataset(spark, config, tmp_path):
+    put(tmp_path / "landing/exp/EXP_2022.csv/part-0.csv", EXPORT_HEADER, export(2022, 1))
+    put(tmp_path / "landing/exp/EXP_2022.csv/part-1.csv", ";".join(reversed(EXPORT_HEADER.split(";"))), export(2022, 1))
+    put(tmp_path / "landing/exp/EXP_2023.csv", "")
+    found = {row.arquivo: (row.status, row.motivo) for row in ingest.convert(spark, config).collect()}
+    assert found["EXP_2022"][0] == "FAILED" and "different headers" in found["EXP_2022"][1]
+    assert found["EXP_2023"][0] == "FAILED" and "lacks CO_ANO" in found["EXP_2023"][1]
+    assert found["EXP_2020"][0] == "OK"
+
+
+def marts_of(spark, layout):
+    return {name: rows_of(frame) for name, frame in pipeline.stored_marts(spark, layout).items()}
+
+
+def test_failing_mart_test_leaves_the_whole_last_warehouse(spark, config, tmp_path, monkeypatch):
+    pipeline.run(spark, config)
+    before, fact = marts_of(spark, config.layout), pipeline.stored_core(spark, config.layout)["core_comercio"].count()
+    put(tmp_path / "landing/exp/EXP_2021.csv", EXPORT_HEADER, export(2021, 70), export(2021, 1))
+    plain = marts.trade_balance
+    monkeypatch.setattr(marts, "trade_balance", lambda t: plain(t).selectExpr("* EXCEPT (sg_uf)", "CAST(NULL AS STRING) AS sg_uf"))
+    with pytest.raises(quality.QualityError, match="mart_balanca_comercial.sg_uf not_null"):
+        pipeline.run(spark, config)
+    assert marts_of(spark, config.layout) == before
+    assert pipeline.stored_core(spark, config.layout)["core_comercio"].count() == fact
+    for table in (*marts.TOTALS, "core_comercio", "core_produtos"):
+        assert len(list((tmp_path / "warehouse/core" / table).glob("versao=*"))) == 1
+    monkeypatch.undo()
+    pipeline.run(spark, config)
+    assert marts_of(spark, config.layout) != before
+
+
+def test_publish_that_dies_leaves_a_readable_warehouse(spark, config, monkeypatch):
+    pipeline.run(spark, config)
+    before = marts_of(spark, config.layout)
+    # Dies while the snapshot is written: its folder exists, without a committed file.
+    number = snapshots._newest(spark, config.layout) + 1
+    path = snapshots._path(config.layout, number)
+    (pathlib.Path(path) / "_temporary/0").mkdir(parents=True)
+    (pathlib.Path(path) / "_temporary/0/part-0.parquet").write_bytes(b"half")
+    assert marts_of(spark, config.layout) == before
+    assert snapshots._newest(spark, config.layout) == number - 1
+
+
+def test_nothing_is_renamed_when_a_build_is_published(spark, config, monkeypatch):
+    ingest.convert(spark, config)
+    renamed = []
+    publish = sinks.publish
+    monkeypatch.setattr(sinks, "publish", lambda s, staged, path: (renamed.append(path), publish(s, staged, path))[1])
+    for _ in range(4):
+        pipeline.build(spark, config, pipeline.stored_raw(spark, config.layout))
+    assert {path.rsplit("/", 2)[1] for path in renamed} == {"quality"}
+    # Old builds go, the last ones stay for readers under way.
+    assert len(list(pathlib.Path(config.layout.core("core_comercio")).glob("versao=*"))) == snapshots.KEPT
+    assert len(list(pathlib.Path(config.layout.snapshots()).glob("0*"))) == snapshots.KEPT
+
+
+def test_refresh_of_a_file_equals_a_whole_build_and_reads_no_other_fact(spark, config, tmp_path):
+    put(tmp_path / "landing/exp/EXP_2022.csv", EXPORT_HEADER, export(2022, 5), export(2021, 6), export(2020, 7, state="RO"))
+    pipeline.run(spark, config)
+    others = [e for e in snapshots.current(spark, config.layout) if e.part and e.part != "EXP_2022"]
+    put(tmp_path / "landing/exp/EXP_2022.csv", EXPORT_HEADER, export(2022, 50, ncm="99999999"), export(2021, 60))
+    # The stored fact of the other files cannot be read while the refresh runs.
+    hidden = [f for e in others if e.table == "core_comercio" for f in pathlib.Path(e.folder).rglob("*.parquet")]
+    kept = {f: f.read_bytes() for f in hidden}
+    for f in hidden:
+        f.with_name(f".{f.name}.crc").unlink(missing_ok=True)
+        f.write_bytes(b"no parquet")
+    report = pipeline.run(spark, replace(config, force=False, revised=True))
+    for f, content in kept.items():
+        f.write_bytes(content)
+    assert hidden and report.where("status = 'fail'").count() == 0
+    warned = rows_of(report.where("status = 'warn'"), "model", "columns", "failures")
+    assert warned == [("core_comercio", "co_ncm", 2), ("stg_exportacoes", "co_ncm", 2)]
+    refreshed, status = marts_of(spark, config.layout), pipeline.freshness(spark, config.layout).first()
+
+    whole = replace(config, warehouse_root=str(tmp_path / "whole"))
+    pipeline.run(spark, whole)
+    assert refreshed == marts_of(spark, whole.layout)
+    assert status[:3] == pipeline.freshness(spark, whole.layout).first()[:3] == (6, 2020, 2022)
+    assert rows_of(pipeline.stored_core(spark, config.layout)["core_comercio"]) == rows_of(
+        pipeline.stored_core(spark, whole.layout)["core_comercio"]
+    )
+
+
+def test_refresh_follows_emptied_files_and_other_windows(spark, config, tmp_path):
+    pipeline.run(spark, config)
+    put(tmp_path / "landing/exp/EXP_2021.csv", EXPORT_HEADER)
+    revised = replace(config, force=False, revised=True)
+    pipeline.run(spark, revised)
+    assert pipeline.freshness(spark, config.layout).first()[:3] == (3, 2020, 2020)
+    # Built for other years: everything is built.
+    pipeline.run(spark, replace(revised, first_year=2021))
+    assert pipeline.freshness(spark, config.layout).first()[:3] == (0, None, None)
+    pipeline.run(spark, revised)
+    assert pipeline.freshness(spark, config.layout).first()[:3] == (3, 2020, 2020)
+
+
+def test_revised_files_are_found_by_the_ledger(spark, config, tmp_path):
+    ingest.convert(spark, config)
+    revised = replace(config, force=False, revised=True)
+    assert set(statuses(ingest.convert(spark, revised)).values()) == {"SKIPPED"}
+    put(tmp_path / "landing/exp/EXP_2021.csv", EXPORT_HEADER, export(2021, 7), export(2021, 8))
+    put(tmp_path / "landing/imp/IMP_2021.csv", IMPORT_HEADER)
+    put(tmp_path / "landing/aux/VIA.csv", "CO_VIA;NO_VIA", "01;Marítima", "02;Fluvial")
+    landed = landing.inventory(spark, config.landing_root)
+    assert rows_of(ledger.pending(spark, config.layout, landed), SOURCE) == [("EXP_2021",), ("IMP_2021",), ("VIA",)]
+    found = statuses(ingest.convert(spark, revised))
+    assert sorted(k for k, v in found.items() if v == "OK") == ["EXP_2021", "IMP_2021", "VIA"]
+    assert rows_of(spark.read.parquet(config.layout.raw("EXP")).where("arquivo = 'EXP_2021'"), "VL_FOB") == [(7,), (8,)]
+    assert set(statuses(ingest.convert(spark, revised)).values()) == {"SKIPPED"}
+    # A failed conversion is no conversion.
+    put(tmp_path / "landing/exp/EXP_2021.csv", EXPORT_HEADER, export(2021, "bad"))
+    for _ in range(2):
+        assert statuses(ingest.convert(spark, revised))["EXP_2021"] == "FAILED"
+
+
+def test_fact_tests_do_not_read_the_fact(spark, config, monkeypatch):
+    """Row-level tests are counted in the write, references from the totals."""
+    ingest.convert(spark, config)
+    scanned = []
+    row_level, orphans = quality._row_level, quality._orphans
+    monkeypatch.setattr(quality, "_row_level", lambda df, checks: (scanned.append(checks[0].model), row_level(df, checks))[1])
+    monkeypatch.setattr(
+        quality, "_orphans", lambda models, checks, counted: (scanned.extend(
+            c.model for c in checks if (c.model, c.columns[0]) not in counted), orphans(models, checks, counted))[1]
+    )
+    report = pipeline.build(spark, config, pipeline.stored_raw(spark, config.layout))
+    assert not {"core_comercio", "stg_exportacoes", "stg_importacoes"} & set(scanned)
+    assert report.where("model = 'core_comercio'").count() == 8
+
+
+def test_status_reads_the_snapshot_only(spark, config):
+    pipeline.run(spark, config)
+    plan = pipeline.freshness(spark, config.layout)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 1
+    place = scans[0].split("Location")[1].split("PartitionFilters")[0]
+    assert "/published/" in place and "/core/" not in place
+
+
+def test_schemas_of_many_datasets_take_a_fixed_number_of_jobs(spark, config):
+    def stored(n, old):
+        root = f"{config.warehouse_root}/many-{n}-{old}"
+        for k in range(n):
+            rows = spark.createDataFrame([(k, 5, "2019") if k < old else (k, "00005", "2020")],
+                                         f"VL_FOB bigint, CO_NCM {'bigint' if k < old else 'string'}, CO_ANO string")
+            rows.write.parquet(f"{root}/d-{k:02d}")
+        return [f"{root}/d-{k:02d}" for k in range(n)]
+
+    def jobs(paths):
+        return jobs_of(spark, lambda: read_parquet_by_name(spark, paths, RAW_EXPORTS, {"ano": "int(CO_ANO)"}))
+
+    assert jobs(stored(4, 0)) == jobs(stored(16, 0)) == 1
+    mixed = stored(16, 8)
+    assert jobs(mixed) <= 3
+    rows = rows_of(read_parquet_by_name(spark, mixed, RAW_EXPORTS, {"ano": "int(CO_ANO)"}), "VL_FOB", "CO_NCM", "ano")
+    assert sorted(rows) == [(k, "5", 2019) if k < 8 else (k, "00005", 2020) for k in range(16)]

@@ -5,7 +5,7 @@ import random
 from frames import rows_of, table, trade
 from pyspark.sql import functions as F
 
-from fairlead.operators.ranking import share_and_rank, share_and_rank_small
+from fairlead.operators.ranking import share_and_rank, share_and_rank_small, top_ranked
 from fairlead.plans import marts
 from fairlead.schemas import TRADE
 
@@ -77,3 +77,25 @@ def test_stored_fact_is_scanned_once(spark, tmp_path):
         chosen = ranked.select(*columns)
         assert chosen.count() == 50
         assert path not in chosen._jdf.queryExecution().executedPlan().toString()
+
+
+def test_leading_rows_equal_the_whole_rank_on_ties_and_nulls(spark):
+    pick = random.Random(11)
+    rows = [
+        (2020 + i % 3, pick.choice(["EXP", "IMP"]), str(i), pick.choice([None, 1.0, 1.0, 2.0, 7.0, float(pick.randint(-9, 9))]), 1)
+        for i in range(900)
+    ]
+    rows += [(2030, "EXP", "only null", None, 1), (2031, "EXP", "a", None, 1), (2031, "EXP", "b", 3.0, 1)]
+    df = table(spark, COLUMNS, *rows).repartition(6)
+    whole = share_and_rank_small(df, KEYS, "v", "peso", "posicao")
+    for n in (1, 3, 40, 5000):
+        assert rows_of(top_ranked(df, KEYS, "v", n, "peso", "posicao")) == rows_of(whole.where(f"posicao <= {n}"))
+
+
+def test_leading_rows_are_cut_before_they_move(spark):
+    df = spark.range(400_000, numPartitions=6).selectExpr("2020 AS ano", "'EXP' AS direcao", "id AS item", "double(id) AS v")
+    best = top_ranked(df, KEYS, "v", 10, "peso", "posicao")
+    text = best._jdf.queryExecution().executedPlan().toString()
+    below = text.split("Exchange hashpartitioning(ano")[1:]
+    assert any("WindowGroupLimit" in part and "Partial" in part for part in below)
+    assert [row.item for row in best.orderBy("posicao").collect()] == list(range(399_999, 399_989, -1))
