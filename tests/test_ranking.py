@@ -93,7 +93,9 @@ def test_leading_rows_equal_the_whole_rank_on_ties_and_nulls(spark):
 
 
 def test_leading_rows_are_cut_before_they_move(spark):
-    df = spark.range(400_000, numPartitions=6).selectExpr("2020 AS ano", "'EXP' AS direcao", "id AS item", "double(id) AS v")
+    df = spark.range(400_000, numPartitions=6).selectExpr(
+        "2020 + id % 1 AS ano", "if(id >= 0, 'EXP', 'IMP') AS direcao", "id AS item", "double(id) AS v"
+    )
     best = top_ranked(df, KEYS, "v", 10, "peso", "posicao")
     text = best._jdf.queryExecution().executedPlan().toString()
     below = text.split("Exchange hashpartitioning(ano")[1:]
