@@ -38,6 +38,51 @@ FEW_SYMBOLS = 48
 GROUP_WORDS = 4096
 
 
+class PairTable:
+    """Rows of 64-bit keys, found with two lookups each.
+
+    Keys fall into small groups, and each group has a shift that sends its keys to slots of their own.
+    """
+
+    _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+
+    def __init__(self, keys: np.ndarray):
+        bits = max(4, int(len(keys)).bit_length() + 1)
+        self._group_bits, self._slots = np.uint64(64 - max(2, bits - 3)), (1 << bits) - 1
+        self._shifts = np.zeros(1 << max(2, bits - 3), dtype=np.int64)
+        self._keys = np.full(1 << bits, ~np.uint64(0))
+        self._rows = np.zeros(1 << bits, dtype=np.int32)
+        self._missing = np.int32(len(keys))
+        group, spot = self._hashes(keys)
+        order = np.argsort(group, kind="stable")
+        members = np.split(order, np.flatnonzero(np.diff(group[order])) + 1) if len(keys) else []
+        free = bytearray(b"\1") * (1 << bits)
+        for rows in sorted(members, key=len, reverse=True):
+            spots = spot[rows].tolist()
+            shift = 0
+            while True:
+                slots = {(x + shift * (1 + 2 * (x >> 20))) & self._slots for x in spots}
+                if len(slots) == len(spots) and all(free[x] for x in slots):
+                    break
+                shift += 1
+            self._shifts[group[rows[0]]] = shift
+            for row, x in zip(rows.tolist(), spots):
+                slot = (x + shift * (1 + 2 * (x >> 20))) & self._slots
+                free[slot] = 0
+                self._keys[slot], self._rows[slot] = keys[row], row
+
+    def _hashes(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        group = ((keys * self._A) >> self._group_bits).astype(np.int64)
+        return group, ((keys * self._B) >> np.uint64(24)).astype(np.int64)
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The row of each pair; the number of rows for a pair that has none, or a negative part."""
+        wanted = (left.astype(np.int64) << 32 | (right.astype(np.int64) & 0xFFFFFFFF)).astype(np.uint64)
+        group, spot = self._hashes(wanted)
+        slot = (spot + self._shifts[group] * (1 + 2 * (spot >> 20))) & self._slots
+        return np.where(self._keys[slot] == wanted, self._rows[slot], self._missing)
+
+
 class Pieces:
     """The pieces of a merge-type model with byte fallback, without its own encoder."""
 
@@ -78,9 +123,11 @@ class Pieces:
         self.beginnings = {piece[:k] for piece in self.ids for k in range(2, len(piece) + 1)}
         pairs.sort()
         keys, pieces, costs = zip(*pairs)
-        self.pair_keys = np.array(keys, dtype=np.int64)
-        self.pair_pieces = np.array(pieces, dtype=np.int32)
-        self.pair_costs = np.array(costs, dtype=np.float64)
+        self.pairs = PairTable(np.array(keys, dtype=np.uint64))
+        # One row more for pairs that form no piece.
+        self.pair_pieces = np.array([*pieces, 0], dtype=np.int32)
+        self.pair_costs = np.array([*costs, np.inf], dtype=np.float64)
+        self.pair_chars = self.chars_of[self.pair_pieces]
 
     def segment(self, words: list[bytes], dropout: float, keys: np.ndarray) -> list[bytes]:
         """Little-endian 32-bit ids of each word with its leading spaces; ``keys`` are 64-bit.
@@ -91,22 +138,39 @@ class Pieces:
         of usual length advance together, one merge each at a time.
         """
         bound = int(dropout * 65536)
-        texts = [w.decode("utf-8", "replace") for w in words]
-        lengths = np.array([len(t) for t in texts])
-        points = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), dtype="<u4")
-        chars = self.char_ids[points]
+        chars, lengths = self._chars(words)
         first = np.cumsum(lengths) - lengths
-        plain = np.minimum.reduceat(chars, first) >= 0
+        few = self._few(chars, first, lengths)
         out: list[bytes] = [b""] * len(words)
-        few = np.flatnonzero(plain & (lengths <= FEW_SYMBOLS))
         # Words of similar length share a table, so that little of it is padding.
-        for group in np.split(few[np.argsort(lengths[few], kind="stable")], np.arange(GROUP_WORDS, len(few), GROUP_WORDS)):
-            if len(group):
-                self._merge_together(group, chars, first, lengths, bound, keys, out)
-        for k in np.flatnonzero(~(plain & (lengths <= FEW_SYMBOLS))).tolist():
-            out[k] = np.array(self._merge_one(texts[k], bound, int(keys[k])), dtype="<u4").tobytes()
+        for group in _alike(few, lengths):
+            self._merge_together(group, chars, first, lengths, bound, keys, out)
+        others = np.ones(len(words), dtype=bool)
+        others[few] = False
+        for k in np.flatnonzero(others).tolist():
+            out[k] = np.array(self._merge_one(words[k].decode("utf-8", "replace"), bound, int(keys[k])), dtype="<u4").tobytes()
         return out
 
+    def _chars(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all characters, one word after the other, and the number of each word's."""
+        joined = b"".join(words)
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        points = np.frombuffer(joined, dtype=np.uint8)
+        if not joined.isascii():
+            try:
+                text = joined.decode()
+                starts = np.cumsum(lengths) - lengths
+                lengths = np.add.reduceat((points & 0xC0) != 0x80, starts, dtype=np.int64)
+            except UnicodeDecodeError:
+                texts = [w.decode("utf-8", "replace") for w in words]
+                text, lengths = "".join(texts), np.array([len(t) for t in texts])
+            points = np.frombuffer(text.encode("utf-32-le", "replace"), dtype="<u4")
+        return self.char_ids[points], lengths
+
+    def _few(self, chars: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Words of usual length whose characters all have ids."""
+        return np.flatnonzero((np.minimum.reduceat(chars, first) >= 0) & (lengths <= FEW_SYMBOLS))
+
     def candidates(self, word: bytes) -> list[tuple[int, int]]:
         """(place, length) of all merges that any segmentation of a word may make."""
         text = word.decode("utf-8", "replace").replace(SPACE, "\0").replace(" ", SPACE)
@@ -120,55 +184,65 @@ class Pieces:
                     found.append((a, b - a))
         return found
 
-    def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(cost, piece) of adjacent pieces; infinite where they form none."""
-        wanted = left.astype(np.int64) << 32 | np.maximum(right, 0)
-        at = np.minimum(np.searchsorted(self.pair_keys, wanted), len(self.pair_keys) - 1)
-        hit = (self.pair_keys[at] == wanted) & (left >= 0) & (right >= 0)
-        return np.where(hit, self.pair_costs[at], np.inf), self.pair_pieces[at]
-
     def _merge_together(self, group, chars, first, lengths, bound, keys, out) -> None:
-        width = int(lengths[group].max())
-        column = np.arange(width)
+        """Words side by side in a table: a symbol stays in the column where it begins.
+
+        ``after`` and ``before`` link the symbols that are left; merged ones are -1. A last column
+        of -1 ends every word.
+        """
+        n, width = len(group), int(lengths[group].max())
+        column = np.arange(width + 1)
         inside = column < lengths[group][:, None]
         ids = np.where(inside, chars[np.minimum(first[group][:, None] + column, len(chars) - 1)], -1)
-        start = np.broadcast_to(column, ids.shape).copy()
         key = keys[group]
 
         def agenda(left, right, place, key_of):
-            cost, piece = self._pairs(left, right)
+            found = self.pairs.find(left, right)
+            cost = self.pair_costs[found]
             if bound:
-                cost = np.where(_draws(key_of, place, self.chars_of[piece]) < bound, np.inf, cost)
-            return cost, piece
+                cost[_draws(key_of, place, self.pair_chars[found]) < bound] = np.inf
+            return cost, found
 
         def finish(rows: np.ndarray) -> None:
-            table = ids[rows].astype("<u4")
-            for k, n, row in zip(group[rows].tolist(), (ids[rows] >= 0).sum(axis=1).tolist(), table):
-                out[k] = row[:n].tobytes()
-
-        cost, piece = agenda(ids[:, :-1], ids[:, 1:], start[:, :-1], key[:, None])
-        while cost.shape[1]:
+            table = ids[rows]
+            there = table >= 0
+            blob = table[there].astype("<u4").tobytes()
+            ends = (4 * np.cumsum(there.sum(axis=1))).tolist()
+            for k, a, b in zip(group[rows].tolist(), [0, *ends], ends):
+                out[k] = blob[a:b]
+
+        cost, found = np.full((n, width + 1), np.inf), np.zeros((n, width + 1), dtype=np.int32)
+        cost[:, :-1], found[:, :-1] = agenda(ids[:, :-1], ids[:, 1:], column[:-1], key[:, None])
+        after = np.broadcast_to(column + 1, ids.shape).copy()
+        before = np.broadcast_to(column - 1, ids.shape).copy()
+        while True:
             at = cost.argmin(axis=1)
-            rows = np.arange(len(at))
-            going = np.isfinite(cost[rows, at])
-            if not going.all():
+            going = np.isfinite(cost[np.arange(len(at)), at])
+            left = int(going.sum())
+            if left <= 0.75 * len(at):
                 finish(np.flatnonzero(~going))
-                group, key, ids, start, cost, piece, at = (x[going] for x in (group, key, ids, start, cost, piece, at))
-                if not len(group):
+                if not left:
                     return
-                rows = np.arange(len(at))
-            ids[rows, at] = piece[rows, at]
-            columns = np.arange(ids.shape[1] - 1)
-            source = columns + (columns > at[:, None])
-            ids, start = np.take_along_axis(ids, source, axis=1), np.take_along_axis(start, source, axis=1)
-            source = columns[:-1] + (columns[:-1] >= at[:, None])
-            cost, piece = np.take_along_axis(cost, source, axis=1), np.take_along_axis(piece, source, axis=1)
-            for shift in (-1, 0):
-                place = at + shift
-                there = np.flatnonzero((place >= 0) & (place < cost.shape[1]))
-                k = place[there]
-                cost[there, k], piece[there, k] = agenda(ids[there, k], ids[there, k + 1], start[there, k], key[there])
-        finish(np.arange(len(group)))
+                group, key, ids, cost, found, after, before, at = (
+                    x[going] for x in (group, key, ids, cost, found, after, before, at)
+                )
+                rows = np.arange(left)
+            else:
+                rows = np.flatnonzero(going)
+                at = at[rows]
+            gone = after[rows, at]
+            onward = after[rows, gone]
+            ids[rows, at] = self.pair_pieces[found[rows, at]]
+            ids[rows, gone] = -1
+            cost[rows, gone] = np.inf
+            after[rows, at] = onward
+            before[rows, onward] = at
+            back = before[rows, at]
+            kept = np.flatnonzero(back >= 0)
+            r = np.concatenate([rows, rows[kept]])
+            a = np.concatenate([at, back[kept]])
+            b = np.concatenate([onward, at[kept]])
+            cost[r, a], found[r, a] = agenda(ids[r, a], ids[r, b], a, key[r])
 
     def _merge_one(self, text: str, bound: int, key: int) -> list[int]:
         """The same for one word with a heap and linked symbols, so any length is affordable."""
@@ -213,6 +287,12 @@ class Pieces:
         return b"".join([decoded[i] for i in ids.tolist()])[1:]
 
 
+def _alike(few: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+    """Groups of words of similar length."""
+    groups = np.split(few[np.argsort(lengths[few], kind="stable")], np.arange(GROUP_WORDS, len(few), GROUP_WORDS))
+    return [g for g in groups if len(g)]
+
+
 def _draw(key: int, place: int, length: int) -> int:
     return (((key ^ (place * _PLACE + length * _LENGTH)) * _MIX) & _M64) >> 48
 
@@ -235,6 +315,14 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> u(31))
 
 
+class _Numbers(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class Encoder:
     """Draws for every word of every text; remembers the ids by word and skipped merges."""
 
@@ -243,7 +331,7 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.numbers: dict[bytes, int] = {}
+        self.numbers = _Numbers()
         # Per word: its occurrences, where its candidate merges begin, how many they are (-1: not
         # known yet, -2: too many to remember).
         self.seen, self.salts, self.first, self.merges = array("q"), array("Q"), array("q"), array("q")
@@ -287,11 +375,10 @@ class Encoder:
     def _block(self, words: list[bytes], keys: np.ndarray) -> list[bytes]:
         if len(self.numbers) + len(self.known) > CACHE_WORDS:
             self._clear()
-        fresh = set(words).difference(self.numbers)
-        self.numbers.update(zip(fresh, range(len(self.numbers), len(self.numbers) + len(fresh))))
-        for column, value in ((self.seen, 0), (self.first, 0), (self.merges, -1)):
-            column.extend([value] * len(fresh))
         number = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+        fresh = len(self.numbers) - len(self.seen)
+        for column, value in ((self.seen, 0), (self.first, 0), (self.merges, -1)):
+            column.extend([value] * fresh)
         seen = np.frombuffer(self.seen, dtype=np.int64)
         seen += np.bincount(number, minlength=len(seen))
         merges = np.frombuffer(self.merges, dtype=np.int64)
@@ -314,16 +401,19 @@ class Encoder:
             # Sums of different powers of two below 2 ** 53 are exact.
             wanted += np.bincount(owner, np.ldexp(1.0, bit), len(words)).astype(np.int64)
         known = self.known
-        listed, at = np.unique(wanted[~many], return_index=True)
+        listed, at, which = np.unique(wanted[~many], return_index=True, return_inverse=True)
         at = np.flatnonzero(~many)[at]
-        new = np.array([k for k, x in zip(at.tolist(), listed.tolist()) if x not in known], dtype=np.int64)
-        some = np.concatenate([new, np.flatnonzero(many)])
+        ids = list(map(known.get, listed.tolist()))
+        new = [k for k, x in enumerate(ids) if x is None]
+        some = np.concatenate([at[new], np.flatnonzero(many)])
         merged = self.pieces.segment([words[k] for k in some], self.dropout, keys[some]) if len(some) else []
-        known.update(zip(wanted[new].tolist(), merged))
-        found = list(map(known.get, wanted.tolist()))
-        for k, ids in zip(some[len(new) :].tolist(), merged[len(new) :]):
-            found[k] = ids
-        return found
+        known.update(zip(listed[new].tolist(), merged))
+        for k, x in zip(new, merged):
+            ids[k] = x
+        found = np.empty(len(words), dtype=object)
+        found[~many] = np.array([*ids, None], dtype=object)[which]
+        found[many] = np.array([*merged[len(new) :], None], dtype=object)[:-1]
+        return found.tolist()
 
     def _learn(self, word: bytes) -> None:
         number = self.numbers[word]
@@ -371,12 +461,16 @@ def encode(
             kept = [part["_piece_text" if n == "text" else n] for n in keep]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(found, pa.binary())], [*keep, "ids"])
 
-    given = docs.select(
+    return _drawn(docs, keep).mapInArrow(rows, f"{kept_fields(docs, keep)}, ids binary")
+
+
+def _drawn(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """What the encoder needs: the text, and the number that the draws of a document start from."""
+    return docs.select(
         *[n for n in keep if n != "text"],
         F.col("text").cast("string").alias("_piece_text"),
         F.xxhash64("doc_id", F.col("text").cast("string")).alias("_piece_document"),
     )
-    return given.mapInArrow(rows, f"{kept_fields(docs, keep)}, ids binary")
 
 
 def decode(encoded: DataFrame, model: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -395,11 +489,28 @@ def decode(encoded: DataFrame, model: str, keep: tuple[str, ...] = ("doc_id",))
     return given.mapInArrow(rows, f"{kept_fields(encoded, keep)}, decoded string")
 
 
+def round_trip(
+    docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = 1, keep: tuple[str, ...] = ("doc_id",)
+) -> DataFrame:
+    """The ``keep`` columns, ``ids`` as ``encode`` gives them, and ``decoded``: their text, read back from the ids."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = _pieces(model)
+        encoder = Encoder(pieces, dropout, seed)
+        for part in slices(batches, "_piece_text", CHUNK_BYTES):
+            found = encoder.encode(byte_values(part["_piece_text"]), part["_piece_document"].to_pylist())
+            texts = [pieces.decode(np.frombuffer(x, dtype="<u4")).decode("utf-8", "replace") for x in found]
+            kept = [part["_piece_text" if n == "text" else n] for n in keep]
+            columns = [*kept, pa.array(found, pa.binary()), pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, [*keep, "ids", "decoded"])
+
+    return _drawn(docs, keep).mapInArrow(rows, f"{kept_fields(docs, keep)}, ids binary, decoded string")
+
+
 def digest(docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = 1) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_ids, ids_crc32, decoded_sha256, lossless."""
-    encoded = encode(docs.select("doc_id", "text"), model, dropout, seed, keep=("doc_id", "text"))
-    decoded = decode(encoded, model, keep=("doc_id", "text", "ids"))
-    return decoded.select(
+    both = round_trip(docs.select("doc_id", "text"), model, dropout, seed, keep=("doc_id", "text"))
+    return both.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_ids"),
         F.crc32("ids").alias("ids_crc32"),
