@@ -21,7 +21,7 @@ TOP_TERMS = 10
 GROUP_BLOCK = 48
 TERM_BLOCK = 4096
 # Entries of the counters that a task holds before it hands them on.
-HELD_TERMS = 200_000
+HELD_TERMS = 500_000
 # Bytes of a text that are cut into words at a time.
 SEGMENT_BYTES = 4 << 20
 
