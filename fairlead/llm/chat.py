@@ -57,8 +57,18 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     return [(_unescape_role(m[1]), unescape(m[2])) for m in _TURN.finditer(formatted)]
 
 
+def _plain(turns: DataFrame) -> DataFrame:
+    """conv_id, turn, role, text; role and text never null."""
+    return turns.select(
+        F.col("conv_id").cast("long").alias("conv_id"),
+        F.col("turn").cast("long").alias("turn"),
+        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+    )
+
+
 def _counted(turns: DataFrame, tokenizer: str) -> DataFrame:
-    """conv_id, turn, role, text (never null) and the tokens of the rendered turn."""
+    """Adds the tokens of each rendered turn."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import Tokenizer
@@ -73,28 +83,22 @@ def _counted(turns: DataFrame, tokenizer: str) -> DataFrame:
                 [*[part[n] for n in part.schema.names], pa.array(counts, pa.int64())], [*part.schema.names, "tokens"]
             )
 
-    given = turns.select(
-        F.col("conv_id").cast("long").alias("conv_id"),
-        F.col("turn").cast("long").alias("turn"),
-        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    )
-    return given.mapInArrow(rows, "conv_id long, turn long, role string, text string, tokens long")
+    return turns.mapInArrow(rows, "conv_id long, turn long, role string, text string, part int, tokens long")
 
 
 _ORDER = ("turn", "role", "text")
 
 
-def _placed(counted: DataFrame) -> DataFrame:
+def _placed(turns: DataFrame, tokenizer: str) -> DataFrame:
     """Adds ``before``: the tokens of the conversation's earlier turns, and ``place``, their number.
 
     Range partitions split a long conversation; each sums its own part, and the sums of the
-    parts before it, one row per conversation and partition, are added.
+    parts before it, one row per conversation and partition, are added. Turns are tokenised
+    after they have moved: finding the ranges reads them once more, but plain.
     """
-    parts = shuffle_partitions(counted.sparkSession)
-    ranged = stored(
-        counted.repartitionByRange(parts, "conv_id", *_ORDER).withColumn("part", F.spark_partition_id()), "chat-ranges"
-    )
+    parts = shuffle_partitions(turns.sparkSession)
+    moved = _plain(turns).repartitionByRange(parts, "conv_id", *_ORDER).withColumn("part", F.spark_partition_id())
+    ranged = stored(_counted(moved, tokenizer), "chat-ranges")
     sums = ranged.groupBy("conv_id", "part").agg(F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
@@ -123,8 +127,8 @@ def format_conversations(
     turn, and then the latest earlier turns of at most ``history`` tokens; ``repeated``
     counts these turns at its front. ``loss`` lists the places of the new assistant texts in
     ``formatted`` (code points, end exclusive); repeated turns are never among them.
-    ``tokens`` exceeds the budget only where one turn alone does; a system turn of more than
-    half the budget is not repeated.
+    ``tokens`` exceeds the budget only where one turn alone does; the system turn is left out only
+    of windows where it does not fit together with the first new turn.
 
     A conversation is cut into blocks of ``BLOCK_BUDGETS`` budgets, so no task holds a long
     one; the first window of a block repeats history from the block before.
@@ -134,7 +138,7 @@ def format_conversations(
     other columns are not read, and an empty table gives no rows. Control strings in texts
     and roles are escaped reversibly.
     """
-    placed = stored(_placed(_counted(turns, tokenizer)), "chat-turns")
+    placed = stored(_placed(turns, tokenizer), "chat-turns")
     size = BLOCK_BUDGETS * budget
     block = F.expr(f"before div {size}")
     own = placed.withColumns({"block": block, "kind": F.lit(2)})
@@ -190,13 +194,11 @@ def _block_windows(key: tuple, rows: list[tuple], budget: int, history: int) ->
         system, first_free = turns[0], 1  # the system turn of the first block is never history
     else:
         first_free = 0
-    if system is not None and 2 * system[5] > budget:
-        system = None
     prefix = np.concatenate([[0], np.cumsum([r[5] for r in turns])])
     out = []
     at = copied
     while at < len(turns):
-        has_system = system is not None and not (first_free and at == 0)
+        has_system = system is not None and not (first_free and at == 0) and system[5] + turns[at][5] <= budget
         base = system[5] if has_system else 0
         room = max(0, min(history, budget - base - turns[at][5]))
         back = int(np.searchsorted(prefix, prefix[at] - room))

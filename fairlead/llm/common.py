@@ -28,6 +28,24 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lowest(df: DataFrame, hashed: str, limit: int) -> DataFrame:
+    """Rows of ``df``, stored, whose ``hashed`` number may be among the ``limit`` lowest.
+
+    All of those and not many more, so that sorting and collecting what is left costs no
+    more than the limit asks for, however many partitions there are: a limit by itself takes that
+    many rows of each.
+    """
+    rows = df.count()
+    share = 4 * limit / rows if rows else 1.0
+    while share < 1:
+        bound = df.select(F.percentile_approx(hashed, share, 1_000_000)).first()[0]
+        few = df.where(F.col(hashed) <= bound)
+        if few.count() >= limit:
+            return few
+        share *= 4
+    return df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

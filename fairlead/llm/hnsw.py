@@ -187,20 +187,23 @@ class Graph:
         return ids, sims, pairs
 
     def above(self, q: np.ndarray, floor: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query, node) pairs with a cosine of at least ``floor``, as far as the search finds them.
+        """(query, node) pairs with a cosine of at least ``floor``; a beam widens until it compares with all nodes."""
+        queries, nodes, left = self.search(q, floor, beam, len(self.vectors))
+        x, y = np.nonzero(q[left] @ self.vectors.T >= floor)
+        return np.concatenate([queries, left[x]]), np.concatenate([nodes, y])
+
+    def search(self, q: np.ndarray, floor: float, beam: int, widest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, node) pairs with a cosine of at least ``floor``, as far as the search finds them, and the
+        queries that are left.
 
         A beam that is full of such nodes may have missed more: its query is searched again
-        with twice the beam, up to all nodes, where it is compared with each.
+        with twice the beam, up to ``widest``. Queries whose widest beam is full have no pairs and are left
+        to comparison with all nodes.
         """
         n = len(self.vectors)
         asked = np.arange(len(q))
-        queries, nodes = [], []
-        while len(asked):
-            if beam >= n:
-                x, y = np.nonzero(q[asked] @ self.vectors.T >= floor)
-                queries.append(asked[x])
-                nodes.append(y)
-                break
+        queries, nodes = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
+        while len(asked) and beam < n:
             again = []
             for k in range(0, len(asked), BATCH):
                 part = asked[k : k + BATCH]
@@ -212,4 +215,6 @@ class Graph:
                 nodes.append(y[keep])
             asked = np.concatenate(again)
             beam *= 2
-        return np.concatenate(queries), np.concatenate(nodes)
+            if beam > widest:
+                break
+        return np.concatenate(queries), np.concatenate(nodes), asked

@@ -199,67 +199,77 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def improve(bins: list[list[int]], lengths: list[int], capacity: int, spare: int = 0) -> list[list[int]]:
-    """Swap-based local search over underfull bins.
-
-    The emptiest bin gives to the others whatever raises the sum of squared fills most: a
-    document moves, one is exchanged for a shorter one, or two for one. Every step raises
-    that sum and so the search ends; a bin that runs empty is gone. It stops at the least
-    possible number of bins, plus ``spare``.
+def improve(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
+    """Swap-based local search over underfull bins, until no step is left.
+
+    A bin gives to another whatever raises the sum of squared fills most: a document moves, one
+    is exchanged for a shorter one, or two for one. Every step raises that sum, so the search
+    ends; free space gathers in few bins, and one that runs empty is gone. Bins give in
+    turn, the emptiest first, in passes until a pass changes nothing. A bin that had nothing to give
+    looks only at bins that changed since.
     """
-    fill = [sum(lengths[k] for k in b) for b in bins]
-    least = -(-sum(fill) // capacity)
-    alive = {b for b in range(len(bins)) if bins[b]}
-    settled: set[int] = set()
-    while len(alive) > least + spare:
-        open_bins = [b for b in alive - settled if fill[b] < capacity]
-        if not open_bins:
-            break
-        source = min(open_bins, key=lambda b: (fill[b], b))
-        others = [b for b in alive if b != source and fill[b] < capacity]
-        while bins[source]:
-            step = _best_step(source, others, bins, fill, lengths, capacity)
-            if step is None:
-                break
-            settled.clear()  # a change elsewhere may let a settled bin give again
-            target, given, taken = step
-            for k in given:
-                bins[source].remove(k)
-                bins[target].append(k)
-            for k in taken:
-                bins[target].remove(k)
-                bins[source].append(k)
-            gain = sum(lengths[k] for k in given) - sum(lengths[k] for k in taken)
-            fill[source] -= gain
-            fill[target] += gain
-            if fill[target] == capacity:
-                others.remove(target)
-        if bins[source]:
-            settled.add(source)
-        else:
-            alive.remove(source)
-    return [bins[b] for b in sorted(alive)]
-
-
-def _best_step(source, others, bins, fill, lengths, capacity):
-    """(target, given, taken) of the step that raises the sum of squared fills most; None for none.
+    items = np.array([k for b in bins for k in b], dtype=np.int64)
+    sizes = np.array(lengths, dtype=np.int64)[items]
+    where = np.repeat(np.arange(len(bins)), [len(b) for b in bins])
+    fill = np.bincount(where, weights=sizes, minlength=len(bins)).astype(np.int64)
+    changed = np.zeros(len(bins), dtype=np.int64)  # the step at which a bin last changed
+    looked = np.full(len(bins), -1, dtype=np.int64)  # the step until which a bin has found nothing to give
+    step, before = 0, -1
+    while before < step:
+        before = step
+        giving = np.flatnonzero((fill > 0) & (fill < capacity))
+        for source in giving[np.argsort(fill[giving], kind="stable")].tolist():
+            while 0 < fill[source] < capacity:
+                since = looked[source] if changed[source] <= looked[source] else -1
+                best = _best_step(source, sizes, where, fill, changed, since, capacity)
+                if best is None:
+                    looked[source] = step
+                    break
+                target, given, taken = best
+                where[given] = target
+                gain = int(sizes[given].sum())
+                if taken >= 0:
+                    where[taken] = source
+                    gain -= int(sizes[taken])
+                fill[source] -= gain
+                fill[target] += gain
+                step += 1
+                changed[source] = changed[target] = step
+    order = np.argsort(where, kind="stable")
+    cuts = np.flatnonzero(np.diff(where[order])) + 1
+    return [part.tolist() for part in np.split(items[order], cuts)] if len(items) else []
+
+
+def _best_step(
+    source: int, sizes: np.ndarray, where: np.ndarray, fill: np.ndarray, changed: np.ndarray, since: int, capacity: int
+) -> tuple[int, list[int], int] | None:
+    """(target bin, items given, item taken or -1) that raises the sum of squared fills most; None for none.
 
     Moving g tokens from a bin filled f to one filled h changes the sum by 2g(h - f + g).
     """
-    own = sorted(bins[source], key=lambda k: -lengths[k])
-    pairs = [(a, b) for i, a in enumerate(own) for b in own[i + 1 :]]
-    best, step = 0, None
-    for target in others:
-        room, lead = capacity - fill[target], fill[target] - fill[source]
-        offers = [((a,), (), lengths[a]) for a in own if lengths[a] <= room]
-        if not offers:
-            for b in bins[target]:
-                offers += [((a,), (b,), lengths[a] - lengths[b]) for a in own]
-                offers += [((a, c), (b,), lengths[a] + lengths[c] - lengths[b]) for a, c in pairs]
-        for given, taken, gain in offers:
-            if 0 < gain <= room and 2 * gain * (lead + gain) > best:
-                best, step = 2 * gain * (lead + gain), (target, given, taken)
-    return step
+    open_bins = (fill > 0) & (fill < capacity) & (changed > since)
+    open_bins[source] = False
+    theirs = np.flatnonzero(open_bins[where])
+    targets = np.flatnonzero(open_bins)
+    # What a target gives back: one of its items, or nothing.
+    back = np.concatenate([sizes[theirs], np.zeros(len(targets), dtype=np.int64)])
+    bin_of = np.concatenate([where[theirs], targets])
+    room, lead = capacity - fill[bin_of], fill[bin_of] - fill[source]
+    own = np.flatnonzero(where == source)
+    own = own[np.argsort(sizes[own], kind="stable")]
+    own = own[np.append([True, True], sizes[own[2:]] != sizes[own[:-2]])[: len(own)]]  # more of a size offer nothing new
+    offers: list[list[int]] = [[int(a)] for a in own]
+    offers += [[int(a), int(c)] for i, a in enumerate(own) for c in own[i + 1 :]]
+    best, found = 0, None
+    for given in offers:
+        gain = sizes[given].sum() - back
+        if len(given) == 2:
+            gain[len(theirs) :] = 0  # two documents go for one, not for none
+        value = np.where((gain > 0) & (gain <= room), 2 * gain * (lead + gain), 0)
+        at = int(value.argmax()) if len(value) else 0
+        if len(value) and value[at] > best:
+            best, found = int(value[at]), (int(bin_of[at]), given, int(theirs[at]) if at < len(theirs) else -1)
+    return found
 
 
 def _group_packer(round_: int, last: bool, capacity: int):
@@ -268,8 +278,7 @@ def _group_packer(round_: int, last: bool, capacity: int):
     def pack_group(key, frame):
         frame = frame.sort_values(["length", "key"], ascending=False, kind="stable")
         lengths = frame["length"].tolist()
-        # One spare bin is as good as none before the last round: it is dissolved for the next.
-        bins = improve(best_fit(lengths, capacity), lengths, capacity, spare=0 if last else 1)
+        bins = improve(best_fit(lengths, capacity), lengths, capacity)
         item = np.array([x for b in bins for x in b], dtype=np.int64)
         sizes = frame["length"].to_numpy()[item]
         ends = np.cumsum(sizes)
@@ -295,18 +304,18 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     Full pieces are sequences by themselves. The others are dealt to groups of bounded size,
     packed best fit and improved by local search; bins that stay underfull are dissolved and
-    meet those of other groups in the next round, until one group holds them all or a round
-    no longer halves them.
+    meet those of other groups in the next round, until one group holds them all. Where a round
+    does not halve the loose pieces, the next one is the last.
     """
     label = "packing-round"
     # A full piece's sequence is numbered by its key, a bin by a negative number.
     placed = [pieces.where(F.col("length") >= capacity).select("key", F.col("key").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))]
     loose = pieces.where(F.col("length") < capacity).select("key", "length")
     left = loose.count()
-    k = 0
+    k, closing = 0, False
     while left:
         groups = -(-left // GROUP_PIECES)
-        last = groups == 1
+        last = closing or groups == 1
 
         dealt = loose.withColumn("g", F.expr(f"pmod(xxhash64({k}, key), {groups})"))
         done = stored(
@@ -314,8 +323,8 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             f"{label}-{k}",
         )
         again = done.where("NOT settled").count()
-        if again > left // 2 and k:
-            again = 0
+        # Bins that hardly ever fill up: they meet those of other groups once more, and that is all.
+        closing = again > left // 2
         if not again:
             placed.append(done.select("key", "sequence_id", "offset"))
             break
@@ -345,14 +354,10 @@ class Packed:
         A sequence has at most ``CAPACITY`` ids, so gathering its pieces is bounded.
         """
         own = self.pieces.select("key", "doc_id", "length", "ids").join(self.places, "key")
-        gathered = own.groupBy("sequence_id").agg(
-            F.sum("length").alias("length"), F.array_sort(F.collect_list(F.struct("offset", "ids", "doc_id"))).alias("p")
-        )
-        return gathered.selectExpr(
-            "sequence_id",
-            "length",
-            "unhex(array_join(transform(p, x -> hex(x.ids)), '')) AS ids",
-            "transform(p, x -> x.doc_id) AS doc_ids",
+        return own.groupBy("sequence_id").agg(
+            F.sum("length").alias("length"),
+            F.expr("listagg(ids) WITHIN GROUP (ORDER BY offset) AS ids"),
+            F.expr("transform(array_sort(collect_list(struct(offset, doc_id))), x -> x.doc_id) AS doc_ids"),
         )
 
 

@@ -7,15 +7,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairlead.llm.common import byte_values, kept_fields, slices
+from fairlead.llm.common import byte_values, kept_fields, lowest, slices, stored
 from fairlead.llm.words import Spans, normalised
 
-# Bounds of the training sample: labelled documents, and lines taken of each.
+# Bounds of the training sample: labelled documents, and the lines of all of them together.
 SAMPLE_DOCS = 4000
-SAMPLE_LINES = 128
+SAMPLE_LINES = 200_000
 THRESHOLD = 0.3
 CHUNK_BYTES = 2 << 20
 
@@ -212,9 +212,10 @@ def held_out(doc_id) -> F.Column:
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_lines: int = SAMPLE_LINES) -> Model:
     """Fits the field on at most ``sample_docs`` labelled documents that are not held out.
 
-    The sample takes the smallest hashes of the id; of each document its first
-    ``sample_lines`` lines. An id labelled several times counts with its largest label.
-    Null labels are ignored. The driver receives line features of the sample only.
+    The sample takes the smallest hashes of the id, and whole documents, until they have
+    ``sample_lines`` lines together; a document of more lines than that is no part of it. An id labelled
+    several times counts with its largest label. Null labels are ignored. The driver
+    receives line features of the sample only.
     """
     chosen = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
@@ -231,21 +232,22 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sa
         for part in slices(batches, "text", CHUNK_BYTES):
             found = []
             for text in byte_values(part["text"]):
-                features, _, _ = line_features([b"\n".join(text.split(b"\n", sample_lines)[:sample_lines])])
-                found.append(features.astype(np.float32).tobytes())
+                fits = text.count(b"\n") < sample_lines
+                found.append(line_features([text])[0].astype(np.float32).tobytes() if fits else None)
             yield pa.RecordBatch.from_arrays(
                 [part["doc_id"], part["quality"], part["h"], pa.array(found, pa.binary())], ["doc_id", "quality", "h", "features"]
             )
 
     # At most ``sample_docs`` rows of two numbers: bounded, whatever the input.
     sample = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", F.xxhash64("doc_id", "text").alias("h"), "text")
-    taken = (
-        sample.mapInArrow(rows, "doc_id long, quality int, h long, features binary")
-        .orderBy("h", "doc_id", "features")
-        .limit(sample_docs)
-        .select("quality", "features")
-        .collect()
+    fitting = stored(
+        sample.mapInArrow(rows, "doc_id long, quality int, h long, features binary").where("features IS NOT NULL"),
+        "quality-sample",
     )
+    by_hash = Window.orderBy("h", "doc_id", "features").rowsBetween(Window.unboundedPreceding, 0)
+    few = lowest(fitting, "h", sample_docs).orderBy("h", "doc_id", "features").limit(sample_docs)
+    lines = few.withColumn("lines", F.sum(F.length("features")).over(by_hash) / (4 * WIDTH))
+    taken = lines.where(F.col("lines") <= sample_lines).orderBy("h", "doc_id", "features").select("quality", "features").collect()
     each = [np.frombuffer(r.features, dtype=np.float32).reshape(-1, WIDTH) for r in taken]
     stacked = np.concatenate(each) if each else np.empty((0, WIDTH), dtype=np.float32)
     return fit(stacked, np.array([len(x) for x in each], dtype=np.int64), np.array([r.quality for r in taken], dtype=np.int64))

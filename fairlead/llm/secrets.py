@@ -9,15 +9,21 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fairlead.llm.automata import infer, likelihood
-from fairlead.llm.common import byte_values, kept_fields, slices, stored
+from fairlead.llm.common import byte_values, kept_fields, lowest, slices, stored
 
-# Bounds of the samples the automata are inferred from: distinct values a kind, and of other words.
+# Bounds of the samples the automata are inferred from: distinct values a kind, and of other
+# words, and the bytes of each sample.
 SAMPLE_VALUES = 1000
 SAMPLE_WORDS = 4000
+SAMPLE_BYTES = 16 << 20
+# Held-out values below which their worst hundredth is reckoned from their spread.
+FEW_VALUES = 100
+# One value to infer a format from, one to set its bounds.
+LEAST_VALUES = 2
 # About 3.4 standard deviations above the median, were the ratios of words normal.
 WORD_SPREADS = 5.0
 CHUNK_BYTES = 4 << 20
@@ -114,9 +120,9 @@ def learn(credentials: dict[int, list[bytes]], words: list[bytes]) -> Formats:
     have no larger share of unseen characters than all but a hundredth of the credentials,
     and a likelihood ratio above that of the worst hundredth of the credentials and above
     ``WORD_SPREADS`` times the median's distance to the lower quartile over the median of the
-    words. The words are unlabelled, so credentials may be among them: neither quartile nor
+    words; with fewer than ``FEW_VALUES`` values kept, the first two are reckoned from the spread of those. The words are unlabelled, so credentials may be among them: neither quartile nor
     median lets a few of those set the bound. Words found to be credentials are left out of a
-    second inference. A kind with fewer than 20 values gets no automaton.
+    second inference. A kind with fewer than ``LEAST_VALUES`` values gets no automaton.
     """
     formats = _fitted(credentials, words)
     plain = formats.kinds and [x for x in words if formats.kind_of(x) < 0]
@@ -129,52 +135,82 @@ def _fitted(credentials: dict[int, list[bytes]], words: list[bytes]) -> Formats:
         return formats
     formats.words = infer(words[::2]).tables()
     for kind, values in credentials.items():
-        if len(values) < 20:
+        if len(values) < LEAST_VALUES:
             continue
         formats.kinds[kind] = infer(values[::2]).tables()
         own, unseen = np.array([formats.fit(kind, x) for x in values[1::2]]).T
         low, middle = np.quantile([formats.fit(kind, x)[0] for x in words], [0.25, 0.5])
         other = float(middle + WORD_SPREADS * (middle - low))
         # Just below the quantile: with few values it is the least one, which must pass itself.
-        formats.least[kind] = max(float(np.quantile(own, 0.01)) - 1e-9, other, 0.0)
-        formats.unseen[kind] = float(np.quantile(unseen, 0.99))
+        worst, most = float(np.quantile(own, 0.01)) - 1e-9, float(np.quantile(unseen, 0.99))
+        if len(own) < FEW_VALUES:
+            # The worst of a few is not the worst hundredth: reckon with the spread, and one character more.
+            worst = min(worst, float(np.median(own) - WORD_SPREADS * (np.median(own) - np.quantile(own, 0.25))))
+            most += 1.5 / min(map(len, values))
+        formats.least[kind] = max(worst, other, 0.0)
+        formats.unseen[kind] = most
     return formats
 
 
-def train(docs: DataFrame, sample_values: int = SAMPLE_VALUES, sample_words: int = SAMPLE_WORDS) -> Formats:
+def train(
+    docs: DataFrame,
+    sample_values: int = SAMPLE_VALUES,
+    sample_words: int = SAMPLE_WORDS,
+    sample_bytes: int = SAMPLE_BYTES,
+) -> Formats:
     """Learns the formats of ``docs``: its base matches are the labelled credentials.
 
     Each kind takes its ``sample_values`` distinct values of smallest hash, ordinary words
-    likewise, so the sample does not depend on the order of rows. Whole texts are read.
+    likewise, so the sample does not depend on the order of rows. Whole texts are read and whole
+    values taken: in that order, until ``sample_bytes`` are reached. A value longer than that is no
+    part of the sample; it is scored like any other.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A task sends no more than the smallest hashes it has met: they hold the smallest of all.
+        held: dict[tuple[int, bytes], int] = {}
         for part in slices(batches, "text", CHUNK_BYTES):
-            kinds, values = [], []
-            seen: set[bytes] = set()
             for text in byte_values(part["text"]):
                 spans = base_spans(text)
                 for _, kind, end, start in spans:
-                    kinds.append(kind)
-                    values.append(text[start:end])
-                seen.update(m.group()[:256] for m in _outside(text, spans))
-            # The sample takes the smallest hashes, so each slice needs to send no more than those.
-            lowest = sorted(seen, key=lambda x: xxhash_of(x))[:sample_words]
-            kinds += [len(KINDS)] * len(lowest)
-            values += lowest
-            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(values, pa.binary())], ["kind", "value"])
+                    held.setdefault((kind, text[start:end]), 0)
+                for m in _outside(text, spans):
+                    held.setdefault((len(KINDS), m.group()), 0)
+            held = _smallest(held, sample_values, sample_words, sample_bytes)
+        kinds, values = [k for k, _ in held], [v for _, v in held]
+        yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(values, pa.binary())], ["kind", "value"])
 
     found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(rows, "kind int, value binary")
-    hashed = found.where(F.length("value") <= 4096).select("kind", "value", F.xxhash64("value").alias("h"))
-    distinct = stored(hashed.distinct(), "secret-values")
+    distinct = stored(found.select("kind", "value", F.xxhash64("value").alias("h")).distinct(), "secret-values")
+    # Over a sample, which is small: one task may sort it.
+    by_hash = Window.orderBy("h", "value").rowsBetween(Window.unboundedPreceding, 0)
     taken = []
     for kind in range(len(KINDS) + 1):
         limit = sample_words if kind == len(KINDS) else sample_values
-        rows_of = distinct.where(F.col("kind") == kind).orderBy("h", "value").limit(limit).select("value").collect()
-        taken.append([bytes(r.value) for r in rows_of])
+        few = lowest(distinct.where(F.col("kind") == kind), "h", limit).orderBy("h", "value").limit(limit)
+        sizes = few.select("h", "value", F.sum(F.length("value")).over(by_hash).alias("bytes"))
+        chosen = sizes.where(F.col("bytes") <= sample_bytes).orderBy("h", "value").select("value").collect()
+        taken.append([bytes(r.value) for r in chosen])
     return learn({k: taken[k] for k in range(len(KINDS))}, taken[len(KINDS)])
 
 
+def _smallest(
+    held: dict[tuple[int, bytes], int], sample_values: int, sample_words: int, sample_bytes: int
+) -> dict[tuple[int, bytes], int]:
+    """Of each kind what the sample may take, by hash; hashes are kept once worked out."""
+    out: dict[tuple[int, bytes], int] = {}
+    for kind in range(len(KINDS) + 1):
+        limit = sample_words if kind == len(KINDS) else sample_values
+        mine = sorted((h or xxhash_of(v), v) for (k, v), h in held.items() if k == kind and len(v) <= sample_bytes)
+        room = sample_bytes
+        for h, value in mine[:limit]:
+            room -= len(value)
+            if room < 0:
+                break
+            out[kind, value] = h
+    return out
+
+
 def xxhash_of(value: bytes) -> int:
     """Spark's xxhash64 of a binary value, signed."""
     h = xxhash.xxh64_intdigest(value, 42)

@@ -10,11 +10,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fairlead.config import scratch_dir
-from fairlead.llm.common import shuffle_partitions, text_bytes
+from fairlead.llm.common import shuffle_partitions, stored, text_bytes
 
 # Bytes of text that one bucket should hold; a task shuffles one bucket in memory.
 BUCKET_BYTES = 16 << 20
 LAW = "rows"
+# Buckets whose rows are added up together, and copies of a row that one row makes again.
+BUCKET_GROUP = 1024
+COPIES = 1000
+_COPY = "_copy"
 
 
 def write_shards(docs: DataFrame, path: str, shards: int, seed: int) -> DataFrame:
@@ -24,26 +28,25 @@ def write_shards(docs: DataFrame, path: str, shards: int, seed: int) -> DataFram
     shards in turn, so counts differ by one at most and slots have no gap. Files of shard s
     lie below ``shard=s``, each in the order of slots.
 
-    First pass: a seeded hash of doc_id and text scatters rows uniformly to buckets that fit
-    in memory, whatever ids, sources or copies are frequent. Second pass: a task sorts a
-    bucket, so that a rerun sees the same order, and shuffles it by Fisher and Yates with a
-    generator seeded for that bucket. The order depends on the rows and the seed only, not
-    on files or partitions. Rows that repeat both doc_id and text share a bucket; they are
-    alike, so no order of theirs matters.
+    First pass: a seeded hash of doc_id, text and the number of the copy scatters rows
+    uniformly to buckets that fit in memory, whatever ids, sources or copies are frequent. Second
+    pass: a task sorts a bucket, so that a rerun sees the same order, and shuffles it by Fisher
+    and Yates with a generator seeded for that bucket. The order depends on the rows and the
+    seed only, not on files or partitions. Rows that repeat as a whole are counted first and
+    their copies numbered, so they scatter like any others.
 
     Every column is kept, but ``shard`` and ``slot`` must not be taken. Null ids and texts
     are hashed as nulls and kept; an empty table gives no rows.
     """
     spark = docs.sparkSession
     buckets = max(2 * shuffle_partitions(spark), -(-text_bytes(docs) // BUCKET_BYTES))
-    bucket = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(buckets))
-    counted = docs.groupBy(bucket.alias("bucket")).count()
-    # One row per bucket: 16 bytes for each BUCKET_BYTES of text.
-    before = F.sum("count").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counted.select("bucket", F.coalesce(before, F.lit(0)).alias("offset"))
-    if buckets <= 1_000_000:
+    columns = docs.columns
+    docs = _numbered(docs)
+    bucket = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text", _COPY), F.lit(buckets))
+    offsets = _offsets(docs.groupBy(bucket.alias("bucket")).count())
+    if buckets <= 1_000_000:  # 16 bytes a row
         offsets = F.broadcast(offsets)
-    given = docs.select(F.struct(*docs.columns).alias("row"), bucket.alias("bucket"), F.xxhash64("doc_id", "text").alias("key"))
+    given = docs.select(F.struct(*columns).alias("row"), bucket.alias("bucket"), F.xxhash64("doc_id", "text").alias("key"))
     scattered = (
         given.join(offsets, "bucket")
         .repartition(max(shuffle_partitions(spark), buckets // 2), "bucket")
@@ -61,6 +64,35 @@ def write_shards(docs: DataFrame, path: str, shards: int, seed: int) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with the number of each row among rows that are equal as a whole.
+
+    Mostly no row repeats, and all numbers are 0. Where rows do, equal ones are counted before they
+    move, and their copies made again, some at a time in any task.
+    """
+    repeated = docs.groupBy("doc_id", F.xxhash64("text")).count().where("count > 1")
+    if repeated.isEmpty():
+        return docs.withColumn(_COPY, F.lit(0).cast("long"))
+    unique = stored(docs.groupBy(*docs.columns).agg(F.count(F.lit(1)).alias("_n")), "shard-rows")
+    spans = unique.withColumn("_from", F.explode(F.expr(f"sequence(0, _n - 1, {COPIES})")))
+    parts = shuffle_partitions(docs.sparkSession)
+    dealt = spans.repartition(parts, F.xxhash64("doc_id", "text", "_from"))
+    last = F.expr(f"least(_from + {COPIES}, _n) - 1")
+    return dealt.select(*docs.columns, F.explode(F.sequence("_from", last)).alias(_COPY))
+
+
+def _offsets(counted: DataFrame) -> DataFrame:
+    """(bucket, rows in all buckets before it), summed in groups of buckets first."""
+    grouped = counted.withColumn("group", F.expr(f"bucket div {BUCKET_GROUP}"))
+    sums = grouped.groupBy("group").agg(F.sum("count").alias("rows"))
+    ahead = F.sum("rows").over(Window.orderBy("group").rowsBetween(Window.unboundedPreceding, -1))
+    inside = F.sum("count").over(Window.partitionBy("group").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sums.select("group", F.ifnull(ahead, F.lit(0)).alias("start"))
+    return grouped.withColumn("before", F.ifnull(inside, F.lit(0))).join(starts, "group").select(
+        "bucket", (F.col("start") + F.col("before")).alias("offset")
+    )
+
+
 def _shuffled(batches: Iterator[pa.RecordBatch], seed: int, shards: int) -> Iterator[pa.RecordBatch]:
     held: list[pa.RecordBatch] = []
     current = offset = None
