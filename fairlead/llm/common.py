@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -10,24 +11,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.config import scratch_dir
+from fairlead.sinks import stored
 
 # Bytes that separate words: space, and the controls from tab to carriage return.
 SPACE_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
+_LIBC = ctypes.CDLL(None)
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """The same rows, read from a table written below ``spark.checkpoint.dir``.
-
-    Cuts the lineage: a lost executor costs the tasks that read the table, not those that made it.
-    """
-    spark = df.sparkSession
-    path = scratch_dir(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def lowest(df: DataFrame, hashed: str, limit: int) -> DataFrame:
     """Rows of ``df``, stored, whose ``hashed`` number may be among the ``limit`` lowest.
 
@@ -63,7 +54,8 @@ def byte_values(column: pa.Array) -> list[bytes]:
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Record batches cut into consecutive slices of about ``limit`` bytes of ``column``.
 
-    A single longer text makes a slice of its own.
+    A single longer text makes a slice of its own. Workers go on to other tasks: what a batch has
+    used is given back to the system when it is done, so that peaks of different stages do not add up.
     """
     for batch in batches:
         sizes = np.array([0 if x is None else x for x in pc.binary_length(batch[column]).to_pylist()])
@@ -75,6 +67,16 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
             held += int(size)
         if start < batch.num_rows:
             yield batch.slice(start)
+        del batch
+        give_back()
+
+
+def give_back() -> None:
+    """Return memory that is no longer used to the system, where its allocators would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_LIBC, "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def word_segments(text: bytes, size: int, overlap: int) -> Iterator[tuple[list[bytes], int]]:
