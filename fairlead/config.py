@@ -79,8 +79,8 @@ class Layout:
         return f"{self.root}/quality/{layer}"
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder every executor can reach, below ``spark.checkpoint.dir``.
+def scratch_root(spark: SparkSession) -> str:
+    """Where this application keeps its scratch tables: below ``spark.checkpoint.dir``, for all executors.
 
     Only a local session may go without that setting; it gets a temporary folder
     that goes when the process ends.
@@ -94,4 +94,9 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         # Executors of a local session are its driver; one folder serves the whole session.
         spark.conf.set("spark.checkpoint.dir", shared)
         atexit.register(shutil.rmtree, shared, ignore_errors=True)
-    return f"{shared.rstrip('/')}/fairlead/{label}-{uuid.uuid4().hex}"
+    return f"{shared.rstrip('/')}/fairlead/{spark.sparkContext.applicationId}"
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A new folder every executor can reach; see ``sinks.release_scratch``."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"

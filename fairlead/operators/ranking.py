@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fairlead.config import scratch_dir
 from fairlead.functions.codes import share
+from fairlead.sinks import stored
 
 def share_and_rank_small(
     df: DataFrame, keys: Sequence[str], value: str, share_as: str, rank_as: str
@@ -44,11 +44,11 @@ def share_and_rank(df: DataFrame, keys: Sequence[str], value: str, share_as: str
     neither share nor rank.
     """
     spark = df.sparkSession
-    rows = _stored(df, "ranked-rows")
+    rows = stored(df, "ranked-rows")
     levels = rows.groupBy(*keys, F.col(value).alias("_value")).agg(F.expr("count(1) AS _rows"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [*[F.col(k) for k in keys], F.desc_nulls_last("_value")]
-    ranged = _stored(
+    ranged = stored(
         levels.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), "ranked-values"
     )
     group = f"PARTITION BY {', '.join(keys)}"
@@ -91,11 +91,5 @@ def top_ranked(
     )
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
-    path = scratch_dir(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _equal(keys: Sequence[str], prefix: str, last: str):
     return F.expr(" AND ".join([f"{key} = {prefix}{key}" for key in keys] + [last]))

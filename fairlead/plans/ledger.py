@@ -39,6 +39,9 @@ def record(spark: SparkSession, config: JobConfig, landed: DataFrame, labels: It
 
     Written after the rows: if a run dies in between, the file is converted again.
     """
+    labels = list(labels)
+    if not labels:
+        return
     done = spark.createDataFrame([(label,) for label in labels], f"{SOURCE} string")
     new = landed.join(done, SOURCE, "left_semi").select(
         SOURCE, "bytes", "modificado", F.current_timestamp().alias("convertido_em")

@@ -8,6 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fairlead.config import scratch_dir, scratch_root
 from fairlead.sources.files import CSV_FORMAT, SOURCE
 from fairlead.sources.landing import list_files
 
@@ -35,6 +36,21 @@ def write_new(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str
     return path
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The same rows, read from a scratch table every executor can reach.
+
+    Cuts the lineage: a lost executor costs the tasks that read the table, not those that made it.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    _writer(df, ()).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Drop all scratch tables of this application, once every result that reads them has been written."""
+    discard(spark, scratch_root(spark))
+
+
 def write_unpublished(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     """Write what is to become the table at ``path``; returns where it waits for ``publish``."""
     parent, name = path.rstrip("/").rsplit("/", 1)

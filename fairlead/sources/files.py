@@ -11,7 +11,7 @@ from urllib.parse import unquote
 import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,8 +48,8 @@ class MissingColumns(BadHeader):
 def first_lines(spark: SparkSession, paths: Iterable[str]) -> dict[str, list[list[str]]]:
     """The distinct headers of each CSV dataset, over all its files; none for a dataset without lines.
 
-    One job for all datasets: every file is one task that stops after its first lines, so
-    little is read of a file of any size. Only the distinct headers come back.
+    One job for all datasets: every file is one task that stops after its first line, so
+    little is read of a file of any size. A row per file comes back.
     """
     paths = list(paths)
     if not paths:
@@ -59,23 +59,36 @@ def first_lines(spark: SparkSession, paths: Iterable[str]) -> dict[str, list[lis
     for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
         apart.conf.set(key, str(1 << 44))
     apart.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
-    lines = apart.read.text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary"))
-    dataset = F.regexp_extract("path", DATASET, 1)
-    headers = lines.mapInArrow(_first_line, "path string, value binary").select(dataset.alias("dataset"), "value")
-    found: dict[str, list[list[str]]] = {_bare(path): [] for path in paths}
-    for row in headers.distinct().collect():
-        text = bytes(row["value"]).decode(CSV_FORMAT["encoding"])
-        found[_bare(unquote(row["dataset"]))].append(next(csv.reader([text], delimiter=CSV_FORMAT["sep"])))
-    return {path: sorted(found[_bare(path)]) for path in paths}
-
-
-def _first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first line of a file that is not blank."""
+    text = apart.read.text(paths)
+    lines = text.select("_metadata.file_path", "_metadata.file_block_start", F.col("value").cast("binary"))
+    begun = lines.where("file_block_start = 0").select(F.col("file_path").alias("path"), "value")
+
+    def headers(first_only: bool) -> list[Row]:
+        found = begun.mapInArrow(lambda batches: _first_lines(batches, first_only), "path string, value binary")
+        return found.collect()
+
+    rows = headers(True)
+    if len(rows) < len(text.inputFiles()):
+        # Files without lines, or a session that packs several files into a task: no task may stop early.
+        rows = headers(False)
+    found: dict[str, set[tuple[str, ...]]] = {_bare(path): set() for path in paths}
+    for row in rows:
+        dataset = re.match(DATASET, unquote(row["path"]))[1]
+        line = bytes(row["value"]).decode(CSV_FORMAT["encoding"])
+        found[_bare(dataset)].add(tuple(next(csv.reader([line], delimiter=CSV_FORMAT["sep"]))))
+    return {path: [list(header) for header in sorted(found[_bare(path)])] for path in paths}
+
+
+def _first_lines(batches: Iterator[pa.RecordBatch], first_only: bool) -> Iterator[pa.RecordBatch]:
+    """The first line of each file that is not blank, or of the first file only."""
+    seen: set[str] = set()
     for batch in batches:
-        for row, line in enumerate(batch["value"].to_pylist()):
-            if line.strip():
+        for row, (path, line) in enumerate(zip(batch["path"].to_pylist(), batch["value"].to_pylist())):
+            if path not in seen and line.strip():
+                seen.add(path)
                 yield batch.slice(row, 1)
-                return
+                if first_only:
+                    return
 
 
 def _bare(path: str) -> str:

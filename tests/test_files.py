@@ -8,7 +8,7 @@ from fairlead import sinks
 from fairlead.plans.ingest import JOB_FAILURES
 from fairlead.schemas import RAW_EXPORTS
 from fairlead.sources import landing
-from fairlead.sources.files import SOURCE, MissingColumns, read_code_csv, read_parquet_by_name, read_trade_csv
+from fairlead.sources.files import SOURCE, MissingColumns, first_lines, read_code_csv, read_parquet_by_name, read_trade_csv
 
 HEADER = '"CO_ANO";"CO_MES";"CO_NCM";"CO_UNID";"CO_PAIS";"SG_UF_NCM";"CO_VIA";"CO_URF";"QT_ESTAT";"KG_LIQUIDO";"VL_FOB"'
 
@@ -143,3 +143,28 @@ def test_tables_are_compressed_with_zstd(spark, tmp_path):
     sinks.write_table(spark.range(3), str(tmp_path / "t"))
     assert [p.name.endswith(".zstd.parquet") for p in (tmp_path / "t").glob("*.parquet")]
     assert all(p.name.endswith(".zstd.parquet") for p in (tmp_path / "t").glob("*.parquet"))
+
+
+@pytest.mark.parametrize("settings_hold", [True, False])
+def test_headers_of_many_files_whatever_shares_a_task(spark, tmp_path, monkeypatch, settings_hold):
+    paths = []
+    for k in range(30):
+        folder = tmp_path / f"EXP_{2000 + k}.csv"
+        header = ";".join(f'"C{k}_{j}"' for j in range(3))
+        write(folder / "part-0.csv", "", " ", header, *["1;2;3"] * 50)
+        write(folder / "part-1.csv", header if k % 5 else '"other; one"', "4;5;6")
+        paths.append(str(folder))
+    (tmp_path / "EXP_1999.csv").write_bytes(b"")
+    if not settings_hold:
+        # Several files in a task, and some cut into several.
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+        monkeypatch.setattr(type(spark.conf), "set", lambda self, key, value: None)
+    try:
+        found = first_lines(spark, [*paths, str(tmp_path / "EXP_1999.csv")])
+    finally:
+        monkeypatch.undo()
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    for k, path in enumerate(paths):
+        own = [f"C{k}_{j}" for j in range(3)]
+        assert found[path] == sorted([own] if k % 5 else [own, ["other; one"]])
+    assert found[str(tmp_path / "EXP_1999.csv")] == []
