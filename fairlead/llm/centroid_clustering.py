@@ -105,13 +105,15 @@ def cluster_vectors(
     blocks = _bucketed(kept.mapInArrow(_to_blocks(dimensions), _BLOCK), "kmeans-blocks", buckets)
     sums = np.zeros((k, dimensions + 1), dtype=object)  # the last column counts; Python integers do not overflow
     drift = np.zeros(k)
-    state = None
+    tables = [blocks]
     for _ in range(rounds + 1 if k else 0):
         step = _assign(centroids, drift, exact)
-        source = blocks if state is None else blocks.join(state, "block")
-        state = _bucketed(source.mapInArrow(step, _STATE), "kmeans-state", buckets)
+        source = spark.table(blocks)
+        if len(tables) > 1:
+            source = source.join(spark.table(tables[-1]), "block")
+        tables.append(_bucketed(source.mapInArrow(step, _STATE), "kmeans-state", buckets))
         final = centroids
-        changed = state.select(F.inline("changed")).groupBy("place").agg(F.sum("delta").alias("delta")).collect()
+        changed = spark.table(tables[-1]).select(F.inline("changed")).groupBy("place").agg(F.sum("delta").alias("delta")).collect()
         for place, delta in changed:
             sums[divmod(place, dimensions + 1)] += delta
         centroids = final.copy()
@@ -119,11 +121,14 @@ def cluster_vectors(
             if sums[c, -1]:
                 centroids[c] = [x // sums[c, -1] for x in sums[c, :-1]]
         drift = drift + _drifts(final, centroids)
-    if state is None:
+    if len(tables) == 1:
         placed = spark.createDataFrame([], _PLACED)
         final = np.zeros((0, dimensions), dtype=np.int64)
     else:
-        placed = stored(blocks.join(state, "block").mapInArrow(_distances(final, exact), _PLACED), "kmeans-placed")
+        both = spark.table(blocks).join(spark.table(tables[-1]), "block")
+        placed = stored(both.mapInArrow(_distances(final, exact), _PLACED), "kmeans-placed")
+    for name in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     return _with_totals(spark, placed, final)
 
 
@@ -144,14 +149,14 @@ def _with_totals(spark: SparkSession, placed: DataFrame, final: np.ndarray) -> D
     )
 
 
-def _bucketed(df: DataFrame, label: str, buckets: int) -> DataFrame:
-    """The rows as a table in buckets by block, so that blocks and states meet without a shuffle."""
+def _bucketed(df: DataFrame, label: str, buckets: int) -> str:
+    """Name of a table of the rows in buckets by block, so that blocks and states meet without a shuffle."""
     spark = df.sparkSession
     name = f"{label.replace('-', '_')}_{uuid.uuid4().hex}"
     rows = df.repartition(buckets, "block") if label == "kmeans-blocks" else df
     writer = rows.write.bucketBy(buckets, "block").sortBy("block").option("compression", "zstd")
     writer.option("path", scratch_dir(spark, label)).saveAsTable(name)
-    return spark.table(name)
+    return name
 
 
 def _to_blocks(dimensions: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

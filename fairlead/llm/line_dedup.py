@@ -115,6 +115,12 @@ class LineRuns:
     def runs(self) -> list[str]:
         return [run for level in self.levels for run in level]
 
+    def close(self) -> None:
+        """Take the runs' names out of the catalog; the runs stay and can be opened again."""
+        for name in self._tables.values():
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self._tables.clear()
+
     def _compact(self) -> None:
         """Merge every full level into one run of the next, lowest first."""
         level = 0
@@ -211,6 +217,7 @@ def dedup_lines(
     hashes = spark.read.schema(lines.schema).parquet(path)
     runs = LineRuns(spark, scratch_dir(spark, "line-runs"))
     gone = [runs.add(hashes.where(F.col("batch") == k).drop("batch"), hot_keys) for k in range(len(bounds) + 1)]
+    runs.close()
     return _without(docs, reduce(DataFrame.unionByName, gone), keep)
 
 

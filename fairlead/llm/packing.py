@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fairlead.llm.common import byte_values, slices, stored
+from fairlead.llm.common import byte_values, shuffle_partitions, slices, stored
 from fairlead.llm.words import distinct_words, normalised, ragged
 
 CAPACITY = 4096
@@ -23,6 +23,8 @@ CHUNK_BYTES = 4 << 20
 # Pieces one task packs together, and words whose ids one Python worker remembers.
 GROUP_PIECES = 2000
 CACHE_WORDS = 1_000_000
+# Groups that a task packs one after the other, in large jobs.
+GROUPS_A_TASK = 64
 # Bins filled less are dissolved and packed again with those of other groups.
 FULL_SHARE = 0.995
 
@@ -245,30 +247,35 @@ def _best_step(
 ) -> tuple[int, list[int], int] | None:
     """(target bin, items given, item taken or -1) that raises the sum of squared fills most; None for none.
 
-    Moving g tokens from a bin filled f to one filled h changes the sum by 2g(h - f + g).
+    Moving g tokens from a bin filled f to one filled h changes the sum by 2g(h - f + g): the more the
+    better, as far as it is above zero. So for each item of a target, and for its bare room, only the largest
+    offer that fits counts, and that is looked up among the sorted ones.
     """
     open_bins = (fill > 0) & (fill < capacity) & (changed > since)
     open_bins[source] = False
     theirs = np.flatnonzero(open_bins[where])
     targets = np.flatnonzero(open_bins)
-    # What a target gives back: one of its items, or nothing.
-    back = np.concatenate([sizes[theirs], np.zeros(len(targets), dtype=np.int64)])
-    bin_of = np.concatenate([where[theirs], targets])
-    room, lead = capacity - fill[bin_of], fill[bin_of] - fill[source]
     own = np.flatnonzero(where == source)
     own = own[np.argsort(sizes[own], kind="stable")]
     own = own[np.append([True, True], sizes[own[2:]] != sizes[own[:-2]])[: len(own)]]  # more of a size offer nothing new
-    offers: list[list[int]] = [[int(a)] for a in own]
-    offers += [[int(a), int(c)] for i, a in enumerate(own) for c in own[i + 1 :]]
+    a, c = np.triu_indices(len(own), 1)
+    singles = np.stack([sizes[own], own, np.full(len(own), -1)], axis=1)
+    pairs = np.stack([sizes[own[a]] + sizes[own[c]], own[a], own[c]], axis=1)
+    both = np.concatenate([singles, pairs])
+    both = both[np.argsort(both[:, 0], kind="stable")]
     best, found = 0, None
-    for given in offers:
-        gain = sizes[given].sum() - back
-        if len(given) == 2:
-            gain[len(theirs) :] = 0  # two documents go for one, not for none
-        value = np.where((gain > 0) & (gain <= room), 2 * gain * (lead + gain), 0)
-        at = int(value.argmax()) if len(value) else 0
-        if len(value) and value[at] > best:
-            best, found = int(value[at]), (int(bin_of[at]), given, int(theirs[at]) if at < len(theirs) else -1)
+    # A document, or two, for one; then a document for nothing.
+    for offers, bins, back, taken in (
+        (both, where[theirs], sizes[theirs], theirs),
+        (singles, targets, np.zeros(len(targets), dtype=np.int64), np.full(len(targets), -1)),
+    ):
+        at = np.searchsorted(offers[:, 0], back + capacity - fill[bins], side="right") - 1
+        gain = np.where(at >= 0, offers[at, 0] - back, 0)
+        value = np.where(gain > 0, 2 * gain * (fill[bins] - fill[source] + gain), 0)
+        k = int(value.argmax()) if len(value) else 0
+        if len(value) and value[k] > best:
+            given = [int(x) for x in offers[at[k], 1:] if x >= 0]
+            best, found = int(value[k]), (int(bins[k]), given, int(taken[k]))
     return found
 
 
@@ -318,6 +325,9 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         last = closing or groups == 1
 
         dealt = loose.withColumn("g", F.expr(f"pmod(xxhash64({k}, key), {groups})"))
+        # Groups are small but take a while each: by their bytes they would share a task.
+        parts = shuffle_partitions(loose.sparkSession)
+        dealt = dealt.repartition(min(groups, max(parts, groups // GROUPS_A_TASK)), "g")
         done = stored(
             dealt.groupBy("g").applyInPandas(_group_packer(k, last, capacity), "key long, length long, sequence_id long, offset long, settled boolean"),
             f"{label}-{k}",

@@ -93,6 +93,7 @@ def test_lines_of_a_hot_line_and_of_edge_rows(spark, edge_docs, no_docs):
     found = line_dedup.dedup_lines(edge_docs).collect()
     assert sorted(((r.doc_id, r.n_lines, r.n_dropped, r.kept) for r in found), key=repr) == plain_lines(rows)
     assert line_dedup.digest(line_dedup.dedup_lines(no_docs)).collect() == []
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("line_")]
 
 
 def test_a_text_of_many_lines_takes_linear_time(spark):
@@ -119,8 +120,7 @@ def test_runs_stay_levelled_merge_without_loss_and_can_be_opened_again(spark, tm
             # A run that a killed step left is not in the manifest; another session goes on from there.
             runs._write(spark.createDataFrame([(1, 2, 3, 4)], line_dedup._RUN))
             held = runs.runs()
-            for path in held:
-                spark.sql(f"DROP TABLE {runs._name(path)}")
+            runs.close()
             runs = line_dedup.LineRuns(spark, root, buckets=8)
             assert runs.runs() == held and runs.buckets == 3
     assert sorted(found, key=repr) == plain_lines(everything)
@@ -205,6 +205,7 @@ def test_clusters_of_few_or_no_vectors(spark):
     found = centroid_clustering.cluster_vectors(vector_frame(spark, few), 40, 5, 2).collect()
     assert sorted(map(tuple, found), key=repr) == plain_clusters(few, 40, 5, 2)
     assert centroid_clustering.cluster_vectors(vector_frame(spark, few).limit(0), 40, 5, 2).collect() == []
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("kmeans")]
     assert centroid_clustering.cluster_vectors(vector_frame(spark, [(1, None)]), 40, 5, 2).collect() == []
     with pytest.raises(ValueError, match="do not fit"):
         centroid_clustering.cluster_vectors(vector_frame(spark, [(1, [1e7, 0.0])]), 40, 5, 2)
