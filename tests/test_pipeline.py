@@ -314,7 +314,8 @@ def test_bad_files_cost_no_further_read_of_good_ones_nor_jobs_by_file(spark, tmp
         assert "1 malformed rows, such as: 2001;04" in found["EXP_2001"][2]
         # Everything once, then only the bad ones for their reason.
         assert [len(paths) for paths in read] == [n, n // 3]
-    assert jobs[0] == jobs[1]
+    # Nine files more; adaptive execution alone may add or save a job.
+    assert abs(jobs[0] - jobs[1]) <= 2
 
 
 def test_part_files_with_different_headers_fail_their_dataset(spark, config, tmp_path):
